@@ -29,6 +29,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return None if math.isnan(value) else round(value, 9)
@@ -44,6 +50,10 @@ def difference(spark_df, con, sql: str) -> str | None:
     expected = result.fetchall()
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} and {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in spark_df.dtypes:
+        if SAME_TYPE.get(kind) != types[name]:
+            return f"column {name} is {kind} and {types[name]}"
     rows = spark_df.select(*[f"`{n}`" for n in names]).collect()
     got = Counter(tuple(plain(v) for v in r) for r in rows)
     want = Counter(tuple(plain(v) for v in r) for r in expected)

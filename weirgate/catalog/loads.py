@@ -14,7 +14,7 @@ from weirgate.operators import upsert
 from weirgate.operators.latest import total_order
 from weirgate.plans import bronze, control
 from weirgate.plans.run import RunContext, documents, reprocess, run
-from weirgate.plans.snapshots import consolidate, export_by_day
+from weirgate.plans.snapshots import append_manifest, consolidate, export_by_day, read_manifest, snapshot_tables
 from weirgate.session import work_dir
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import document_frame
@@ -230,7 +230,7 @@ def empty_load(spark, sf_dir):
 """)
 def full_run_upsert(spark, sf_dir):
     customer, layout = table(spark, sf_dir, "customer"), Layout(work_dir(spark, "root"))
-    spec = DatasetSpec("customer", key="c_custkey", exclude=("c_acctbal",))
+    spec = DatasetSpec("customer", key="c_custkey", exclude=("c_acctbal",), rows_per_bucket=1000)
     longer = F.when(F.col("c_mktsegment") == "BUILDING", F.concat("c_name", F.lit(" Ltd"))).otherwise(F.col("c_name"))
     for n, source in enumerate((customer, customer.withColumn("c_name", longer)), start=1):
         run(RunContext(spark, layout, run_id=f"run-{n}"), {"customer": source}, [spec])
@@ -266,3 +266,15 @@ def consolidate_days(spark, sf_dir):
         f"{root}/out", {"events": ["user_id"]},
     )
     return done.select("table_name", "status", "linhas_lidas", "linhas_bronze")
+
+
+@query("snapshot_run", """
+  select 'customer' as source_table, 'OK' as status, count(*) as row_count, true as has_size from customer
+  union all select 'orders', 'OK', count(*), true from orders
+""")
+def snapshot_run(spark, sf_dir):
+    root = work_dir(spark, "snap")
+    tables = {name: table(spark, sf_dir, name) for name in ("customer", "orders")}
+    append_manifest(snapshot_tables(spark, tables, f"{root}/tables", "run-1", RUN_AT), f"{root}/manifest")
+    done = read_manifest(spark, f"{root}/manifest")
+    return done.select("source_table", "status", "row_count", (F.col("file_size_bytes") > 0).alias("has_size"))

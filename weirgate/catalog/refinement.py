@@ -134,7 +134,7 @@ def tolerant_timestamp(spark, sf_dir):
 
 @query("silver_flat", """
   select cast(s_suppkey as varchar) as _source_id, s_name as name, n_name as nation, r_name as region,
-    n_regionkey as region_key, s_acctbal as balance, cast(floor(s_acctbal) as integer) as whole_balance,
+    n_regionkey as region_key, s_acctbal as balance, cast(trunc(s_acctbal) as integer) as whole_balance,
     timestamp '2024-02-01 12:00:00' as _ingestion_timestamp, 'run-1' as _ingestion_id,
     cast(null as double) as rating
   from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey

@@ -61,9 +61,7 @@ def reconcile(
     if by:
         joined = expected.join(arrived, list(by), "full")
     else:
-        joined = expected.withColumn("_one", F.lit(1)).join(
-            arrived.withColumn("_one", F.lit(1)), "_one"
-        ).drop("_one")
+        joined = arrived.withColumn("source_count", expected.scalar())
     joined = joined.na.fill(0, ["source_count", "written_count", "null_keys", "duplicate_keys"])
     joined = joined.na.fill(0.0, ["null_key_pct"])
     for extra in (contracts, thresholds):

@@ -4,41 +4,67 @@ Rows live in hash buckets of their key.  An upsert rewrites the buckets it touch
 generation and then appends one small file that names the current generation per bucket.
 That append is the only step readers can see, so a crash at any point leaves either the old
 table or the new one.  One writer per table at a time.
+
+Buckets have a bounded size: when the table has grown past ``rows_per_bucket`` on average,
+the next upsert rewrites it into more of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.latest import latest_record
 from weirgate.session import read_table
 
-_HEADS_DDL = "bucket int, generation bigint, buckets int"
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS = 16
+
+_HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint"
+
+
+class Head(NamedTuple):
+    """Current generation of one bucket."""
+
+    generation: int
+    buckets: int
+    stored_rows: int
 
 
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def _heads(spark: SparkSession, path: str) -> dict[int, tuple[int, int]]:
-    """Current generation of each bucket: at most one row per bucket of a fixed number."""
-    rows = (
-        read_table(spark, f"{path}/heads", _HEADS_DDL)
-        .groupBy("bucket").agg(F.max("generation").alias("generation"), F.max("buckets").alias("buckets"))
-        .collect()
-    )
-    return {r["bucket"]: (r["generation"], r["buckets"]) for r in rows}
+def _heads(spark: SparkSession, path: str) -> dict[int, Head]:
+    """At most one row per bucket; heads of an earlier number of buckets are history."""
+    past = read_table(spark, f"{path}/heads", _HEADS_DDL)
+    newest = F.max_by(F.struct("generation", "buckets", "stored_rows"), "generation").alias("head")
+    rows = past.groupBy("bucket").agg(newest).select("bucket", "head.*").collect()
+    if not rows:
+        return {}
+    buckets = max(rows, key=lambda r: r["generation"])["buckets"]
+    return {
+        r["bucket"]: Head(r["generation"], r["buckets"], r["stored_rows"]) for r in rows if r["buckets"] == buckets
+    }
+
+
+def _bucket_count(rows: int, rows_per_bucket: int) -> int:
+    """Powers of two, so that growth is rare."""
+    wanted = MIN_BUCKETS
+    while wanted * rows_per_bucket < rows:
+        wanted *= 2
+    return wanted
 
 
 def _folder(path: str, generation: int, bucket: int) -> str:
     return f"{path}/data/_generation={generation}/_bucket={bucket}"
 
 
-def _read_buckets(spark: SparkSession, path: str, heads: dict, wanted: Sequence[int], ddl: str) -> DataFrame:
-    folders = [_folder(path, heads[b][0], b) for b in wanted if b in heads]
+def _read_buckets(spark: SparkSession, path: str, heads: dict[int, Head], wanted: Sequence[int], ddl: str) -> DataFrame:
+    folders = [_folder(path, heads[b].generation, b) for b in wanted if b in heads]
     if not folders:
         return spark.createDataFrame([], ddl)
     return spark.read.schema(ddl).parquet(*folders)
@@ -51,29 +77,40 @@ def read_keyed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 def stage_upsert(
-    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], buckets: int = 16
+    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Write the touched buckets as a new generation and return its heads, not yet visible.
 
-    The batch is first reduced to its newest row per key.  Then old and new rows are
-    partitioned by bucket once; the choice per key and the write both use that partitioning.
+    The batch is first reduced to its newest row per key, so a hot key is one row.  Then old
+    and new rows are partitioned by bucket once; the choice per key and the write both use
+    that partitioning.
     """
     spark = batch.sparkSession
     heads = _heads(spark, path)
-    if heads:
-        buckets = next(iter(heads.values()))[1]
+    stored_rows = sum(h.stored_rows for h in heads.values())
+    rows = stored_rows if heads else batch.count()
+    had = next(iter(heads.values())).buckets if heads else 0
+    buckets = max(had, _bucket_count(rows, rows_per_bucket))
+    if buckets == had:
+        touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]
+        if not touched:
+            return spark.createDataFrame([], _HEADS_DDL)
+        reread = touched
+    else:
+        reread = sorted(heads)
+    generation = 1 + max((h.generation for h in heads.values()), default=0)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
-    touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]
-    if not touched:
-        return spark.createDataFrame([], _HEADS_DDL)
-    generation = 1 + max((g for g, _ in heads.values()), default=0)
 
     incoming = latest_record(batch, [key], newest_first).withColumn("_incoming", F.lit(1))
-    stored = _read_buckets(spark, path, heads, touched, ddl).withColumn("_incoming", F.lit(0))
+    stored = _read_buckets(spark, path, heads, reread, ddl).withColumn("_incoming", F.lit(0))
     both = stored.unionByName(incoming).withColumn("_bucket", _bucket(key, buckets)).repartition("_bucket")
     merged = latest_record(both, ["_bucket", key], [F.col("_incoming").desc()]).drop("_incoming")
-    merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/data/_generation={generation}")
-    return spark.createDataFrame([(b, generation, buckets) for b in touched], _HEADS_DDL)
+    folder = f"{path}/data/_generation={generation}"
+    merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
+    written = read_table(spark, folder, f"{ddl}, _bucket int").groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame(
+        [(r["_bucket"], generation, buckets, r["n"]) for r in written.collect()], _HEADS_DDL
+    )
 
 
 def publish(heads: DataFrame, path: str) -> None:
@@ -82,16 +119,19 @@ def publish(heads: DataFrame, path: str) -> None:
 
 
 def upsert(
-    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], buckets: int = 16
+    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> None:
     """Replace rows whose key is stored, insert the others, delete nothing."""
-    publish(stage_upsert(batch, path, key, newest_first, buckets), path)
+    publish(stage_upsert(batch, path, key, newest_first, rows_per_bucket), path)
 
 
-def stale_generations(spark: SparkSession, path: str) -> list[str]:
-    """Folders that no reader needs any more: earlier generations of every bucket."""
-    past = read_table(spark, f"{path}/heads", _HEADS_DDL).select("bucket", "generation").distinct()
-    newest = F.max("generation").over(Window.partitionBy("bucket"))
-    ranked = past.withColumn("_newest", newest)
-    rows = ranked.where("generation < _newest").select("bucket", "generation").toLocalIterator()
-    return [_folder(path, r["generation"], r["bucket"]) for r in rows]
+def stale_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Folders that no reader needs any more, for a clean-up job."""
+    past = read_table(spark, f"{path}/heads", _HEADS_DDL)
+    heads = spark.createDataFrame(
+        [(b, h.generation) for b, h in _heads(spark, path).items()], "bucket int, generation bigint"
+    )
+    old = past.select("bucket", "generation").distinct().join(heads, ["bucket", "generation"], "left_anti")
+    return old.select(
+        F.format_string(f"{path}/data/_generation=%d/_bucket=%d", "generation", "bucket").alias("folder")
+    )

@@ -101,7 +101,7 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
             bronze.append_load(shaped.where(F.col("_source_id").isNull()), layout.bronze(spec.name), load_id)
         newest = [F.col(c).desc() for c in _NEWEST]
         path = layout.keyed(spec.name)
-        heads = stage_upsert(bronze.good_rows(shaped), path, "_source_id", newest, spec.buckets).persist()
+        heads = stage_upsert(bronze.good_rows(shaped), path, "_source_id", newest, spec.rows_per_bucket)
         generation = heads.agg(F.max("generation")).first()[0]
         staged = read_table(spark, f"{path}/data/_generation={generation}", BRONZE_DDL)
         written = staged.where(F.col("_ingestion_id") == load_id).count() if generation else 0
@@ -119,10 +119,8 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
     verdict = _verdict(ctx, spec, seen, written, metrics, not findings)
     if findings:
         _log_findings(ctx, spec, findings, load_id)
-    if heads is not None:
-        if verdict["status"] != FAILED:
-            publish(heads, layout.keyed(spec.name))
-        heads.unpersist()
+    if heads is not None and verdict["status"] != FAILED:
+        publish(heads, layout.keyed(spec.name))
     return dict(
         status=verdict["status"],
         qtd_lida_origem=seen,

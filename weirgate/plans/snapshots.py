@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.functions.columns import sanitize_columns
 from weirgate.operators.latest import dedup_report, deduplicate
-from weirgate.schemas import CONSOLIDATION_DDL
-from weirgate.session import path_exists
+from weirgate.schemas import CONSOLIDATION_DDL, MANIFEST_DDL
+from weirgate.session import folder_size, path_exists
 from weirgate.sources.files import read_days
 
 
@@ -23,14 +24,55 @@ def with_audit(df: DataFrame, run_id: str, source_table: str, at: dt.datetime) -
     })
 
 
-def export_by_day(df: DataFrame, path: str, day: Column, single_file: bool = False) -> None:
-    """Parquet by day.  Rows are gathered per day, and a day too large for one file is split
-    by Spark at run time.  ``single_file`` is for small tables that must be one file."""
+def export_by_day(df: DataFrame, path: str, day: Column, single_file_rows: int = 0) -> None:
+    """Parquet by day.
+
+    Rows are gathered per day, and a day too large for one file is split by Spark at run
+    time.  A table of at most ``single_file_rows`` rows becomes one file.
+    """
     dated = df.withColumn("dt", day)
-    shaped = dated.coalesce(1) if single_file else dated.hint("rebalance", "dt")
+    small = single_file_rows > 0 and df.limit(single_file_rows + 1).count() <= single_file_rows
+    shaped = dated.coalesce(1) if small else dated.hint("rebalance", "dt")
     shaped.write.mode("overwrite").partitionBy("dt").parquet(path)
 
 
+def snapshot_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str, at: dt.datetime,
+    source: tuple[str, str, str] = ("", "", ""),
+) -> DataFrame:
+    """Export whole tables under the day of the run and return the manifest of the batch.
+
+    Row counts are taken while writing.  A table that raises becomes an error row.
+    """
+    catalog, schema, database = source
+    rows = []
+    for name, df in sorted(tables.items()):
+        begun = time.monotonic()
+        path = f"{root}/{name}/dt={at.date().isoformat()}"
+        count, size, problem = None, None, ""
+        try:
+            seen = Observation(name)
+            audited = with_audit(df, run_id, ".".join(p for p in (catalog, schema, name) if p), at)
+            audited.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            count, size = seen.get["rows"], folder_size(spark, path)
+        except Exception as error:
+            problem = str(error)[:500]
+        rows.append((
+            run_id, at.isoformat(), catalog, schema, database, name, "ERRO" if problem else "OK", count,
+            name, path, size, round(time.monotonic() - begun, 2), problem,
+        ))
+    return spark.createDataFrame(rows, MANIFEST_DDL)
+
+
+def append_manifest(manifest: DataFrame, path: str) -> None:
+    manifest.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """All batches; columns that came later are null in earlier ones."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def export_documents(df: DataFrame, path: str, most: int, per_file: int = 1) -> None:
     """The first ``most`` documents as JSON files of ``per_file`` documents each."""
     df.limit(most).write.mode("overwrite").option("maxRecordsPerFile", per_file).json(path)
@@ -52,9 +94,10 @@ def consolidate(
             continue
         try:
             raw = sanitize_columns(read_days(spark, path, first, last)).drop("dt")
-            files = len(spark.read.parquet(path).where(
+            ranged = spark.read.parquet(path).where(
                 F.col("dt").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-            ).select(F.input_file_name().alias("f")).distinct().collect())
+            )
+            files = ranged.select("_metadata.file_path").distinct().count()
             if not files:
                 rows.append((name, "SKIP", 0, 0, 0, target, ""))
                 continue

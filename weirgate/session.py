@@ -46,6 +46,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Parquet under ``path`` with a fixed schema; an absent table reads as empty."""
     if not path_exists(spark, path):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from weirgate.session import path_exists
+
 LINE_FILES = "*.{txt,json,jsonl,gz,zst}"
 
 # What a CSV read assumes unless told otherwise.
@@ -47,3 +50,11 @@ def read_days(spark: SparkSession, path: str, first: str, last: str, day: str =
     """
     table = spark.read.option("mergeSchema", "true").parquet(path)
     return table.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
+def read_day_folders(spark: SparkSession, root: str, first: dt.date, last: dt.date) -> DataFrame | None:
+    """The same for folders laid out ``YYYY/YYYY-MM/YYYY-MM-DD``; nothing when no day exists."""
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    folders = [f"{root}/{d:%Y}/{d:%Y-%m}/{d:%Y-%m-%d}" for d in days]
+    present = [f for f in folders if path_exists(spark, f)]
+    return spark.read.option("mergeSchema", "true").parquet(*present) if present else None

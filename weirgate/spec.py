@@ -33,7 +33,7 @@ class DatasetSpec:
     threshold_pct: float | None = None
     inclusive_mark: bool = False
     include_null_mark: bool = False
-    buckets: int = 16
+    rows_per_bucket: int = 2_000_000
 
     def __post_init__(self) -> None:
         if self.load_type not in LOAD_TYPES:

@@ -13,6 +13,7 @@ from weirgate.operators import contract as contracts
 from weirgate.operators import quality
 from weirgate.operators.profile import table_counts
 from weirgate.plans import control
+from weirgate.session import small_frame
 from weirgate.spec import Contract, FieldRule
 
 _DIRTY_SQL = "select case when event_type = 'signup' and value < 20 then null else event_id end as key, event_type from events"
@@ -229,7 +230,7 @@ _DOCUMENTED = {"orders": (20000, 10), "events": (50000, 1000000000), "labels": (
 def volume_check(spark, sf_dir):
     counts = table_counts({name: table(spark, sf_dir, name) for name in _DOCUMENTED})
     rows = [(name, *values) for name, values in _DOCUMENTED.items()]
-    documented = spark.createDataFrame(rows, "collection string, documented_rows int, expected_min int")
+    documented = small_frame(spark, rows, "collection string, documented_rows int, expected_min int")
     return quality.volume_check(counts, documented)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weirgate.functions.json_values import tolerant_timestamp
 from weirgate.spec import Contract
 
-_PARTS = "_parts"
+PARTS = "_parts"
 
 
 def _holds_type(value: Column, type_name: str) -> Column:
@@ -41,35 +41,47 @@ def _holds_type(value: Column, type_name: str) -> Column:
     return checks[type_name]
 
 
-def contract_metrics(
-    df: DataFrame, contract: Contract, body: str = "body_json", by: Sequence[str] = ()
-) -> DataFrame:
-    """Per contract field: documents seen, key absent, value null, value of another type.
-
-    One parse and one aggregate whatever the number of fields, and the parser skips fields
-    that the contract does not name.  Forbidden fields are counted as ``present``.  A
-    document that is not a JSON object counts as lacking every field.
-    """
+def with_parts(df: DataFrame, contract: Contract, body: str) -> DataFrame:
+    """Add the fields the contract names, out of one parse that skips all others."""
     names = dict.fromkeys([rule.name for rule in contract.fields] + list(contract.forbidden))
     ddl = "struct<" + ",".join(f"`{name}`:variant" for name in names) + ">"
-    docs = df.select(*by, F.from_json(F.col(body), ddl).alias(_PARTS))
-    measures: list[Column] = [F.count(F.lit(1)).alias("docs")]
+    return df.withColumn(PARTS, F.from_json(F.col(body), ddl))
+
+
+def measures(contract: Contract) -> list[Column]:
+    """The aggregates a contract needs, for ``agg`` or for an observation of a write."""
+    counts: list[Column] = [F.count(F.lit(1)).alias("docs")]
     for rule in contract.fields:
-        value = F.col(_PARTS)[rule.name]
+        value = F.col(PARTS)[rule.name]
         # An absent key is a plain null, the null of JSON is a variant that holds null.
         present = value.isNotNull()
         empty = present & F.is_variant_null(value)
-        measures += [
+        counts += [
             F.count_if(~present).alias(f"missing:{rule.name}"),
             F.count_if(empty).alias(f"null:{rule.name}"),
         ]
         if rule.type:
             wrong = present & ~empty & ~F.coalesce(_holds_type(value, rule.type), F.lit(False))
-            measures.append(F.count_if(wrong).alias(f"type:{rule.name}"))
+            counts.append(F.count_if(wrong).alias(f"type:{rule.name}"))
     for name in contract.forbidden:
-        measures.append(F.count_if(F.col(_PARTS)[name].isNotNull()).alias(f"forbidden:{name}"))
+        counts.append(F.count_if(F.col(PARTS)[name].isNotNull()).alias(f"forbidden:{name}"))
+    return counts
+
+
+def contract_metrics(
+    df: DataFrame, contract: Contract, body: str = "body_json", by: Sequence[str] = ()
+) -> DataFrame:
+    """Per contract field: documents seen, key absent, value null, value of another type.
+
+    One parse and one aggregate whatever the number of fields.  Forbidden fields are counted
+    as ``present``.  A document that is not a JSON object counts as lacking every field.
+    """
+    docs = with_parts(df, contract, body).select(*by, PARTS)
+    return by_field(docs.groupBy(*by).agg(*measures(contract)), contract, by)
+
 
-    counted = docs.groupBy(*by).agg(*measures)
+def by_field(counted: DataFrame, contract: Contract, by: Sequence[str] = ()) -> DataFrame:
+    """One row per contract field from one row of counts."""
     none = F.lit(None).cast("bigint")
 
     def entry(field, missing, nulls, wrong, forbidden, required, may_be_null, type_name):

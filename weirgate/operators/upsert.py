@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.latest import latest_record
-from weirgate.session import read_table
+from weirgate.session import read_table, small_frame
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 16
@@ -66,7 +66,7 @@ def _folder(path: str, generation: int, bucket: int) -> str:
 def _read_buckets(spark: SparkSession, path: str, heads: dict[int, Head], wanted: Sequence[int], ddl: str) -> DataFrame:
     folders = [_folder(path, heads[b].generation, b) for b in wanted if b in heads]
     if not folders:
-        return spark.createDataFrame([], ddl)
+        return small_frame(spark, [], ddl)
     return spark.read.schema(ddl).parquet(*folders)
 
 
@@ -94,7 +94,7 @@ def stage_upsert(
     if buckets == had:
         touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]
         if not touched:
-            return spark.createDataFrame([], _HEADS_DDL)
+            return small_frame(spark, [], _HEADS_DDL)
         reread = touched
     else:
         reread = sorted(heads)
@@ -108,8 +108,8 @@ def stage_upsert(
     folder = f"{path}/data/_generation={generation}"
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
     written = read_table(spark, folder, f"{ddl}, _bucket int").groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
-    return spark.createDataFrame(
-        [(r["_bucket"], generation, buckets, r["n"]) for r in written.collect()], _HEADS_DDL
+    return small_frame(
+        spark, [(r["_bucket"], generation, buckets, r["n"]) for r in written.collect()], _HEADS_DDL
     )
 
 
@@ -128,8 +128,8 @@ def upsert(
 def stale_folders(spark: SparkSession, path: str) -> DataFrame:
     """Folders that no reader needs any more, for a clean-up job."""
     past = read_table(spark, f"{path}/heads", _HEADS_DDL)
-    heads = spark.createDataFrame(
-        [(b, h.generation) for b, h in _heads(spark, path).items()], "bucket int, generation bigint"
+    heads = small_frame(
+        spark, [(b, h.generation) for b, h in _heads(spark, path).items()], "bucket int, generation bigint"
     )
     old = past.select("bucket", "generation").distinct().join(heads, ["bucket", "generation"], "left_anti")
     return old.select(

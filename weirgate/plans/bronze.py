@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from weirgate.functions.columns import content_hash, is_blank_list
 from weirgate.functions.json_values import document, unwrap_key
+from weirgate.operators import contract as contracts
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL
-from weirgate.session import read_table
-from weirgate.spec import FAILED
+from weirgate.session import read_table, remove
+from weirgate.spec import FAILED, Contract
 
 _STORED_DDL = f"{BRONZE_DDL}, _load string, _quarantined boolean"
 
@@ -74,17 +75,25 @@ def bad_rows(shaped: DataFrame) -> DataFrame:
     return shaped.where(F.col("_source_id").isNull()).withColumn("_reason", why)
 
 
-def append_load(shaped: DataFrame, path: str, load_id: str) -> None:
+def append_load(shaped: DataFrame, path: str, load_id: str, contract: Contract | None = None) -> dict:
     """Write one load, good rows and quarantine together from one pass over the input.
 
     A load owns its folder and replaces it when it is run again, so a repeated run or
-    micro-batch does not double rows.
+    micro-batch does not double rows.  The counts of the contract are taken while writing;
+    without a shuffle they see every written row exactly once.
     """
-    (
-        shaped.withColumn("_quarantined", F.col("_source_id").isNull())
-        .write.mode("overwrite").partitionBy("_quarantined", "_ingestion_date")
-        .parquet(f"{path}/_load={load_id}")
-    )
+    marked = shaped.withColumn("_quarantined", F.col("_source_id").isNull())
+    seen = Observation("load")
+    if contract is not None:
+        counted = contracts.with_parts(marked, contract, "body_json")
+        marked = counted.observe(seen, *contracts.measures(contract)).drop(contracts.PARTS)
+    marked.write.mode("overwrite").partitionBy("_quarantined", "_ingestion_date").parquet(f"{path}/_load={load_id}")
+    return seen.get if contract is not None else {}
+
+
+def drop_staged(spark: SparkSession, path: str, load_id: str) -> None:
+    """Remove the good rows of a load once they live in a keyed table; quarantine stays."""
+    remove(spark, f"{path}/_load={load_id}/_quarantined=false")
 
 
 def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame:

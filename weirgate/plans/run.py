@@ -24,8 +24,8 @@ from weirgate.operators.latest import latest_bronze
 from weirgate.operators.quality import batch_metrics
 from weirgate.operators.upsert import publish, read_keyed, stage_upsert
 from weirgate.plans import bronze, control
-from weirgate.schemas import BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
-from weirgate.session import read_table
+from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
+from weirgate.session import read_table, small_frame
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import scan_incremental
 from weirgate.spec import FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
@@ -60,13 +60,13 @@ def documents(ctx: RunContext, spec: DatasetSpec) -> DataFrame:
     return latest_bronze(current.unionByName(keyed))
 
 
-def _contract_findings(ctx: RunContext, spec: DatasetSpec, lines: DataFrame) -> list[tuple]:
+def _contract_findings(ctx: RunContext, contract: Contract | None, counts: dict) -> list[tuple]:
     """Violations of the whole batch; at most four per contract field."""
-    contract = ctx.contracts.get(spec.name)
     if contract is None:
         return []
-    metrics = contracts_op.contract_metrics(lines, contract, body="value")
-    found = contracts_op.contract_violations(metrics, contract).collect()
+    ddl = ", ".join(f"`{name}` bigint" for name in counts)
+    counted = small_frame(ctx.spark, [tuple(counts.values())], ddl)
+    found = contracts_op.contract_violations(contracts_op.by_field(counted, contract), contract).collect()
     return [(r["field"], r["kind"], r["detail"], float(r["violation_pct"])) for r in found]
 
 
@@ -79,7 +79,7 @@ def _verdict(ctx: RunContext, spec: DatasetSpec, seen: int, written: int, metric
         "source_count bigint, written_count bigint, null_key_pct double, duplicate_keys bigint, "
         "contract_ok boolean, threshold_pct double"
     )
-    return judge(ctx.spark.createDataFrame([row], ddl), ctx.limits).first()
+    return judge(small_frame(ctx.spark, [row], ddl), ctx.limits).first()
 
 
 def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: str, seen: int | None) -> dict:
@@ -94,25 +94,22 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
     shaped = bronze.shape(
         bronze.parse_lines(lines, spec.key), load_id, ctx.at, ctx.source_tag, load_type
     )
-    heads = None
-    if upserting:
-        metrics = batch_metrics(shaped, ["_source_id"]).first()
-        if metrics["null_keys"]:
-            bronze.append_load(shaped.where(F.col("_source_id").isNull()), layout.bronze(spec.name), load_id)
-        newest = [F.col(c).desc() for c in _NEWEST]
-        path = layout.keyed(spec.name)
-        heads = stage_upsert(bronze.good_rows(shaped), path, "_source_id", newest, spec.rows_per_bucket)
-        generation = heads.agg(F.max("generation")).first()[0]
-        staged = read_table(spark, f"{path}/data/_generation={generation}", BRONZE_DDL)
-        written = staged.where(F.col("_ingestion_id") == load_id).count() if generation else 0
-    else:
-        bronze.append_load(shaped, layout.bronze(spec.name), load_id)
-        stored = bronze.read_load(spark, layout.bronze(spec.name), load_id)
-        metrics = batch_metrics(stored, ["_source_id"]).first()
-        written = stored.where(~F.col("_quarantined")).count()
+    contract = ctx.contracts.get(spec.name)
+    counts = bronze.append_load(shaped, layout.bronze(spec.name), load_id, contract)
+    stored = bronze.read_load(spark, layout.bronze(spec.name), load_id)
+    metrics = batch_metrics(stored, ["_source_id"]).first()
+    written, heads = metrics["rows"] - metrics["null_keys"], None
+    if upserting and written:
+        good = stored.where(~F.col("_quarantined")).select(*BRONZE_COLUMNS)
+        heads = stage_upsert(
+            good, layout.keyed(spec.name), "_source_id", [F.col(c).desc() for c in _NEWEST], spec.rows_per_bucket
+        )
+        generation = heads.first()["generation"]
+        staged = read_table(spark, f"{layout.keyed(spec.name)}/data/_generation={generation}", BRONZE_DDL)
+        written = staged.where(F.col("_ingestion_id") == load_id).count()
 
     seen = metrics["rows"] if seen is None else seen
-    findings = _contract_findings(ctx, spec, lines)
+    findings = _contract_findings(ctx, contract, counts)
     whole = load_type == "full"
     if whole and seen < spec.expected_min:
         findings.append(("*", "volume", f"{seen} rows, expected at least {spec.expected_min}", 100.0))
@@ -121,6 +118,7 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
         _log_findings(ctx, spec, findings, load_id)
     if heads is not None and verdict["status"] != FAILED:
         publish(heads, layout.keyed(spec.name))
+        bronze.drop_staged(spark, layout.bronze(spec.name), load_id)
     return dict(
         status=verdict["status"],
         qtd_lida_origem=seen,
@@ -135,7 +133,7 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
 
 def _log_findings(ctx: RunContext, spec: DatasetSpec, findings: list[tuple], load_id: str) -> None:
     rows = [(load_id, spec.name, *finding, ctx.at) for finding in findings]
-    control.append(ctx.spark.createDataFrame(rows, VIOLATIONS_DDL), ctx.layout, control.VIOLATIONS)
+    control.append(small_frame(ctx.spark, rows, VIOLATIONS_DDL), ctx.layout, control.VIOLATIONS)
 
 
 def current_mark(ctx: RunContext, spec: DatasetSpec) -> str | None:
@@ -143,7 +141,7 @@ def current_mark(ctx: RunContext, spec: DatasetSpec) -> str | None:
     if spec.load_type != "incremental" or ctx.force_full:
         return None
     ddl = "collection string, watermark_field string, watermark_type string"
-    one = ctx.spark.createDataFrame([(spec.name, spec.mark_field, spec.mark_kind)], ddl)
+    one = small_frame(ctx.spark, [(spec.name, spec.mark_field, spec.mark_kind)], ddl)
     log = control.run_log(ctx.spark, ctx.layout).where(F.col("collection") == spec.name)
     stored = control.watermarks(ctx.spark, ctx.layout).where(F.col("collection") == spec.name)
     history = stored.unionByName(control.marks_from_log(log, one))
@@ -186,7 +184,7 @@ def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime,
         divergencia_pct=0.0, contrato_ok=True, landing_files=[], ingest_mode=ctx.engine,
         pipeline_version=__version__, start_time=start, end_time=dt.datetime.now(dt.timezone.utc),
     ) | values
-    frame = ctx.spark.createDataFrame([tuple(row[n] for n in names)], ddl)
+    frame = small_frame(ctx.spark, [tuple(row[n] for n in names)], ddl)
     log = control.build_run_log(frame)
     control.append(log, ctx.layout, control.RUN_LOG)
     final = row["watermark_final"]
@@ -195,7 +193,7 @@ def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime,
     safe = row["status"] == SUCCESS or (row["status"] == PARTIAL and not short)
     if spec.load_type == "incremental" and not ctx.force_full and moved and safe:
         mark = (spec.name, spec.mark_field, final, spec.mark_kind, run_id, row["end_time"])
-        control.append(ctx.spark.createDataFrame([mark], WATERMARK_DDL), ctx.layout, control.WATERMARKS)
+        control.append(small_frame(ctx.spark, [mark], WATERMARK_DDL), ctx.layout, control.WATERMARKS)
     return row
 
 
@@ -218,7 +216,7 @@ def run(
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
         rows = list(pool.map(one, specs))
     names = [part.split()[0] for part in RUN_LOG_DDL.split(", ")]
-    frame = ctx.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], RUN_LOG_DDL)
+    frame = small_frame(ctx.spark, [tuple(r[n] for n in names) for r in rows], RUN_LOG_DDL)
     return control.build_run_log(frame).select(F.col("_ingestion_id").alias("run_id"), *SUMMARY_COLUMNS)
 
 

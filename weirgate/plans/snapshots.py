@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weirgate.functions.columns import sanitize_columns
 from weirgate.operators.latest import dedup_report, deduplicate
 from weirgate.schemas import CONSOLIDATION_DDL, MANIFEST_DDL
-from weirgate.session import folder_size, path_exists
+from weirgate.session import folder_size, path_exists, small_frame
 from weirgate.sources.files import read_days
 
 
@@ -61,7 +61,7 @@ def snapshot_tables(
             run_id, at.isoformat(), catalog, schema, database, name, "ERRO" if problem else "OK", count,
             name, path, size, round(time.monotonic() - begun, 2), problem,
         ))
-    return spark.createDataFrame(rows, MANIFEST_DDL)
+    return small_frame(spark, rows, MANIFEST_DDL)
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:
@@ -107,4 +107,4 @@ def consolidate(
             rows.append((name, "OK", files, counts["rows_read"], counts["rows_kept"], target, ""))
         except Exception as problem:
             rows.append((name, "ERRO", 0, 0, 0, target, str(problem)[:500]))
-    return spark.createDataFrame(rows, CONSOLIDATION_DDL)
+    return small_frame(spark, rows, CONSOLIDATION_DDL)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(app: str = "weirgate", cores: int | None = None) -> SparkSession:
@@ -40,20 +44,43 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/weirgate/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether shared storage has the path, asked of the file system Spark itself uses."""
+def _file_system(spark: SparkSession, path: str):
+    """The file system that Spark itself uses for the path."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
 
 
 def folder_size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    files, target = _file_system(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A few driver-side values as a DataFrame: control rows, specs, bucket heads.
+
+    Handed over as Arrow they become a local relation, which needs no Python worker and is
+    folded into the plan.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    arrow = to_arrow_schema(schema, timestamp_utc=True)
+    columns = list(zip(*rows)) if rows else [()] * len(arrow)
+    arrays = [pa.array(list(values), type=field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Parquet under ``path`` with a fixed schema; an absent table reads as empty."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], ddl)
+        return small_frame(spark, [], ddl)
     return spark.read.schema(ddl).parquet(path)

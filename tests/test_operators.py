@@ -6,12 +6,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from weirgate.functions.columns import canonical_text
 from weirgate.operators.latest import dedup_report, deduplicate, latest_bronze, latest_record, total_order
 from weirgate.operators.profile import schema_drift
 from weirgate.operators.quality import batch_metrics, reconcile
 from weirgate.operators.references import enrich, hot_keys, orphan_keys
 from weirgate.operators.refine import FieldPath, expand, explode_array, flatten, infer_schema
-from weirgate.plans.snapshots import append_manifest, export_by_day, read_manifest, snapshot_tables
+from weirgate.plans.snapshots import append_manifest, export_by_day, export_documents, read_manifest, snapshot_tables
 from weirgate.session import small_frame
 from weirgate.sources.files import read_day_folders, read_days
 from weirgate.sources.scans import read_external, scan_incremental
@@ -202,3 +203,14 @@ def test_snapshot_manifest_keeps_errors(spark, folder, noon):
     assert "note" in rows.columns and rows.count() == 4
     found = {r["source_table"]: (r["status"], r["row_count"]) for r in rows.where("note is null").collect()}
     assert found == {"good": ("OK", 5), "bad": ("ERRO", None)}
+
+
+def test_documents_as_files(spark, folder):
+    export_documents(spark.range(50), folder, 5)
+    files = spark.read.json(folder)
+    assert files.count() == 5 and len(files.inputFiles()) == 5
+
+
+def test_nested_text_keeps_microseconds(spark):
+    df = spark.sql("select named_struct('t', timestamp_ntz'2024-01-01 00:00:00.000001', 'n', cast(null as int)) s")
+    assert canonical_text(df).first()[0] == '{"t":"2024-01-01T00:00:00.000001","n":null}'

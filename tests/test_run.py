@@ -195,3 +195,19 @@ def test_long_messages_are_cut(spark):
     timed = df.selectExpr("*", "timestamp'2024-01-01 00:00:00' start_time", "timestamp'2024-01-01 00:00:01.2345' end_time")
     got = control.build_run_log(timed).first()
     assert len(got["mensagem_erro"]) == 4000 and got["duracao_seg"] in (1.234, 1.235)
+
+
+def test_datasets_in_parallel(spark, layout):
+    specs = [DatasetSpec(f"d{n}", load_type="incremental", mark_field="ts") for n in range(4)]
+    sources = {s.name: items(spark, 0, 5) for s in specs}
+    for run_id in ("r1", "r2"):
+        run(RunContext(spark, layout, run_id=run_id), sources, specs, parallel=4)
+    assert [n for _, _, n, _ in status(spark, layout)] == [5] * 4 + [0] * 4
+    assert control.watermarks(spark, layout).count() == 4
+
+
+def test_names_must_suit_folders(spark, layout):
+    with pytest.raises(ValueError):
+        DatasetSpec("a/b")
+    with pytest.raises(ValueError):
+        RunContext(spark, layout, run_id="../x")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirgate.functions.json_values import JSON_OPTIONS
 from weirgate.functions.marks import iso_text
 
 # Fixed value: characters that table formats refuse in column names.
@@ -48,7 +49,7 @@ def text_of(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(column))
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(column)
+        return F.to_json(column, JSON_OPTIONS)
     return column.cast("string")
 
 

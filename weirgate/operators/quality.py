@@ -91,10 +91,11 @@ def accumulated_check(run_log: DataFrame, tables: DataFrame, key: str) -> DataFr
     """Run-log sums against what the tables hold, per dataset.
 
     ``tables`` has ``collection, upserted`` and the key, one row per stored row.  Appended
-    tables must hold exactly what was written.  Upserted tables hold each key once and
-    never more rows than were written.
+    tables must hold exactly what was written, so their keys are not even looked at.
+    Upserted tables hold each key once and never more rows than were written.
     """
-    per_key = tables.groupBy("collection", "upserted", key).agg(F.count(F.lit(1)).alias("_n"))
+    looked_at = F.when(F.col("upserted"), F.col(key)).alias("_key")
+    per_key = tables.groupBy("collection", "upserted", looked_at).agg(F.count(F.lit(1)).alias("_n"))
     held = per_key.groupBy("collection", "upserted").agg(
         F.sum("_n").alias("linhas_bronze"), F.count(F.lit(1)).alias("distinct_keys")
     )

@@ -20,9 +20,12 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; there are fewer than ``1 / share``."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    """Keys that hold more than ``share`` of all keyed rows; there are fewer than ``1 / share``.
+
+    The total comes from the counts per key, so the input is read once for both.
+    """
     per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.agg(F.sum("_n")).scalar()
     return per_key.where(F.col("_n") > total * F.lit(share)).select(key)
 
 

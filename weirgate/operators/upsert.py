@@ -22,6 +22,7 @@ from weirgate.session import read_table, small_frame
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 16
+LANES = 8
 
 _HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint"
 
@@ -82,8 +83,8 @@ def stage_upsert(
     """Write the touched buckets as a new generation and return its heads, not yet visible.
 
     The batch is first reduced to its newest row per key, so a hot key is one row.  Then old
-    and new rows are partitioned by bucket once; the choice per key and the write both use
-    that partitioning.
+    and new rows are partitioned once, by bucket and lane; the choice per key and the write
+    both use that partitioning.  Lanes let several tasks share a bucket.
     """
     spark = batch.sparkSession
     heads = _heads(spark, path)
@@ -103,8 +104,10 @@ def stage_upsert(
 
     incoming = latest_record(batch, [key], newest_first).withColumn("_incoming", F.lit(1))
     stored = _read_buckets(spark, path, heads, reread, ddl).withColumn("_incoming", F.lit(0))
-    both = stored.unionByName(incoming).withColumn("_bucket", _bucket(key, buckets)).repartition("_bucket")
-    merged = latest_record(both, ["_bucket", key], [F.col("_incoming").desc()]).drop("_incoming")
+    both = stored.unionByName(incoming).withColumns({
+        "_bucket": _bucket(key, buckets), "_lane": F.pmod(F.hash(key), F.lit(LANES))
+    }).repartition("_bucket", "_lane")
+    merged = latest_record(both, ["_bucket", "_lane", key], [F.col("_incoming").desc()]).drop("_incoming", "_lane")
     folder = f"{path}/data/_generation={generation}"
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
     written = read_table(spark, folder, f"{ddl}, _bucket int").groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.functions.columns import content_hash, is_blank_list
@@ -17,15 +17,16 @@ from weirgate.spec import FAILED, Contract
 _STORED_DDL = f"{BRONZE_DDL}, _load string, _quarantined boolean"
 
 
-def write_landing(df: DataFrame, path: str, *measures) -> dict:
+def write_landing(df: DataFrame, path: str, *measures: Column, **options: str) -> dict:
     """Rows as JSON lines, one folder per run, with measures taken in the same pass.
 
     A re-run of the same run replaces its folder.  There is no shuffle, so each measure
-    counts every written row exactly once even when tasks are repeated.
+    counts every written row exactly once even when tasks are repeated.  ``options`` go to
+    the writer (compression, rows per file).
     """
     seen = Observation("landing")
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
-    counted.select(document(df).alias("value")).write.mode("overwrite").text(path)
+    counted.select(document(df).alias("value")).write.mode("overwrite").options(**options).text(path)
     return seen.get
 
 

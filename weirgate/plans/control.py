@@ -49,23 +49,31 @@ def build_run_log(runs: DataFrame) -> DataFrame:
     return full.select(*names)
 
 
-def append(df: DataFrame, layout: Layout, table: str) -> None:
-    """One file per append; control rows are few."""
-    df.coalesce(1).write.mode("append").parquet(layout.control(table))
+def append(df: DataFrame, layout: Layout, table: str, name: str) -> None:
+    """A few control rows as one file in a folder of their own.
+
+    ``name`` identifies the run and dataset: writers never share a folder, however many run
+    at once, and a repeated append replaces itself.
+    """
+    df.coalesce(1).write.mode("overwrite").parquet(f"{layout.control(table)}/{name}")
+
+
+def _read(spark: SparkSession, layout: Layout, table: str, ddl: str) -> DataFrame:
+    return read_table(spark, layout.control(table), ddl, recursiveFileLookup="true")
 
 
 def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
     """One row per run and dataset; a run that was logged again counts once."""
-    rows = read_table(spark, layout.control(RUN_LOG), RUN_LOG_DDL)
+    rows = _read(spark, layout, RUN_LOG, RUN_LOG_DDL)
     return latest_record(rows, ["_ingestion_id", "collection"], [F.col("end_time").desc(), F.col("start_time").desc()])
 
 
 def watermarks(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.control(WATERMARKS), WATERMARK_DDL)
+    return _read(spark, layout, WATERMARKS, WATERMARK_DDL)
 
 
 def violations(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.control(VIOLATIONS), VIOLATIONS_DDL)
+    return _read(spark, layout, VIOLATIONS, VIOLATIONS_DDL)
 
 
 def current_marks(history: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_CO
 from weirgate.session import read_table, small_frame
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import scan_incremental
-from weirgate.spec import FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
+from weirgate.spec import NAME, FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
 
 _NEWEST = ("_ingestion_timestamp", "_source_hash", "_source_file")
 
@@ -45,6 +45,10 @@ class RunContext:
     force_full: bool = False
     engine: str = "batch"
 
+    def __post_init__(self) -> None:
+        if not re.fullmatch(NAME, self.run_id):
+            raise ValueError(f"run_id {self.run_id!r} cannot name a folder")
+
 
 def documents(ctx: RunContext, spec: DatasetSpec) -> DataFrame:
     """Current document per key of a dataset, published loads only."""
@@ -133,7 +137,7 @@ def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: st
 
 def _log_findings(ctx: RunContext, spec: DatasetSpec, findings: list[tuple], load_id: str) -> None:
     rows = [(load_id, spec.name, *finding, ctx.at) for finding in findings]
-    control.append(small_frame(ctx.spark, rows, VIOLATIONS_DDL), ctx.layout, control.VIOLATIONS)
+    control.append(small_frame(ctx.spark, rows, VIOLATIONS_DDL), ctx.layout, control.VIOLATIONS, f"{load_id}-{spec.name}")
 
 
 def current_mark(ctx: RunContext, spec: DatasetSpec) -> str | None:
@@ -186,14 +190,14 @@ def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime,
     ) | values
     frame = small_frame(ctx.spark, [tuple(row[n] for n in names)], ddl)
     log = control.build_run_log(frame)
-    control.append(log, ctx.layout, control.RUN_LOG)
+    control.append(log, ctx.layout, control.RUN_LOG, f"{run_id}-{spec.name}")
     final = row["watermark_final"]
     short = row["qtd_gravada_destino"] < row["qtd_lida_origem"]
     moved = final is not None and final != row["watermark_inicial"]
     safe = row["status"] == SUCCESS or (row["status"] == PARTIAL and not short)
     if spec.load_type == "incremental" and not ctx.force_full and moved and safe:
         mark = (spec.name, spec.mark_field, final, spec.mark_kind, run_id, row["end_time"])
-        control.append(small_frame(ctx.spark, [mark], WATERMARK_DDL), ctx.layout, control.WATERMARKS)
+        control.append(small_frame(ctx.spark, [mark], WATERMARK_DDL), ctx.layout, control.WATERMARKS, f"{run_id}-{spec.name}")
     return row
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.functions.columns import sanitize_columns
-from weirgate.operators.latest import dedup_report, deduplicate
+from weirgate.operators.latest import deduplicate
 from weirgate.schemas import CONSOLIDATION_DDL, MANIFEST_DDL
 from weirgate.session import folder_size, path_exists, small_frame
 from weirgate.sources.files import read_days
@@ -85,6 +85,7 @@ def consolidate(
     """Day ranges of exported tables into deduplicated tables; one result row per table.
 
     A table without files in the range is skipped, one that raises does not stop the others.
+    Both row counts come from file footers.
     """
     rows = []
     for name, path in sorted(tables.items()):
@@ -101,10 +102,9 @@ def consolidate(
             if not files:
                 rows.append((name, "SKIP", 0, 0, 0, target, ""))
                 continue
-            key = list((keys or {}).get(name) or [c for c in raw.columns if not c.startswith("_")])
-            counts = dedup_report(raw, key).first()
             deduplicate(raw, (keys or {}).get(name)).write.mode("overwrite").parquet(target)
-            rows.append((name, "OK", files, counts["rows_read"], counts["rows_kept"], target, ""))
+            kept = spark.read.parquet(target).count()
+            rows.append((name, "OK", files, raw.count(), kept, target, ""))
         except Exception as problem:
             rows.append((name, "ERRO", 0, 0, 0, target, str(problem)[:500]))
     return small_frame(spark, rows, CONSOLIDATION_DDL)

@@ -35,12 +35,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     The cluster names its shared folder in ``spark.checkpoint.dir``.  A folder of the
     local machine is only acceptable when the executors live on that machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="weirgate-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="weirgate-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/weirgate/{label}-{uuid.uuid4().hex}"
 
 
@@ -79,8 +80,8 @@ def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
-def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, ddl: str, **options: str) -> DataFrame:
     """Parquet under ``path`` with a fixed schema; an absent table reads as empty."""
     if not path_exists(spark, path):
         return small_frame(spark, [], ddl)
-    return spark.read.schema(ddl).parquet(path)
+    return spark.read.options(**options).schema(ddl).parquet(path)

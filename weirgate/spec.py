@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 SUCCESS = "SUCCESS"
 PARTIAL = "PARTIAL"
 FAILED = "FAILED"
 
+# Names of datasets and runs become folder names.
+NAME = r"[A-Za-z0-9][\w.-]*"
+
 LOAD_TYPES = ("full", "incremental")
 CONTRACT_TYPES = (
     "string", "int", "double", "number", "bool", "datetime", "objectid", "array", "object",
@@ -36,6 +40,8 @@ class DatasetSpec:
     rows_per_bucket: int = 2_000_000
 
     def __post_init__(self) -> None:
+        if not re.fullmatch(NAME, self.name):
+            raise ValueError(f"dataset name {self.name!r} cannot name a folder")
         if self.load_type not in LOAD_TYPES:
             raise ValueError(f"{self.name}: load_type must be one of {LOAD_TYPES}")
         if self.load_type == "incremental" and not self.mark_field:

@@ -10,42 +10,47 @@ from pyspark.sql import functions as F
 from weirgate.functions.json_values import tolerant_timestamp
 from weirgate.spec import Contract
 
-PARTS = "_parts"
+PARTS, KINDS = "_parts", "_kinds"
 
 
-def _holds_type(value: Column, type_name: str) -> Column:
-    """Whether a variant value is of a contract type.
+def _holds_type(value: Column, kind: Column, type_name: str) -> Column:
+    """Whether a variant value, with its type as text, is of a contract type.
 
     Dates and ids are text once landed: a date is text that reads as one, an id is 24 hex
     digits or an object that wraps ``$oid``.  A boolean is never a number.
     """
-    kind = F.schema_of_variant(value)
     text = F.try_variant_get(value, "$", "string")
     # A variant keeps 5.0 as a short decimal of scale 0; only a whole number beyond 64 bits
     # needs a long one.
-    wide = kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+    decimal = kind.startswith("DECIMAL")
+    wide = decimal & kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
     whole = (kind == "BIGINT") | wide
-    real = kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~wide)
     checks = {
-        "string": kind == "STRING",
-        "int": whole,
-        "double": real,
-        "number": whole | real,
-        "bool": kind == "BOOLEAN",
-        "datetime": (kind == "STRING") & tolerant_timestamp(text).isNotNull(),
-        "objectid": ((kind == "STRING") & text.rlike("^[0-9a-fA-F]{24}$"))
-        | F.try_variant_get(value, "$['$oid']", "string").isNotNull(),
-        "array": kind.startswith("ARRAY"),
-        "object": kind.startswith("OBJECT"),
+        "string": lambda: kind == "STRING",
+        "int": lambda: whole,
+        "double": lambda: kind.isin("DOUBLE", "FLOAT") | (decimal & ~wide),
+        "number": lambda: kind.isin("BIGINT", "DOUBLE", "FLOAT") | decimal,
+        "bool": lambda: kind == "BOOLEAN",
+        "datetime": lambda: (kind == "STRING") & tolerant_timestamp(text).isNotNull(),
+        "objectid": lambda: F.when(kind == "STRING", text.rlike("^[0-9a-fA-F]{24}$")).when(
+            kind.startswith("OBJECT"), F.try_variant_get(value, "$['$oid']", "string").isNotNull()
+        ),
+        "array": lambda: kind.startswith("ARRAY"),
+        "object": lambda: kind.startswith("OBJECT"),
     }
-    return checks[type_name]
+    return checks[type_name]()
 
 
 def with_parts(df: DataFrame, contract: Contract, body: str) -> DataFrame:
-    """Add the fields the contract names, out of one parse that skips all others."""
+    """Add what the contract measures: the fields it names, out of one parse that skips all
+    others, and the type of each typed field."""
     names = dict.fromkeys([rule.name for rule in contract.fields] + list(contract.forbidden))
     ddl = "struct<" + ",".join(f"`{name}`:variant" for name in names) + ">"
-    return df.withColumn(PARTS, F.from_json(F.col(body), ddl))
+    parsed = df.withColumn(PARTS, F.from_json(F.col(body), ddl))
+    kinds = [
+        F.schema_of_variant(F.col(PARTS)[rule.name]).alias(rule.name) for rule in contract.fields if rule.type
+    ]
+    return parsed.withColumn(KINDS, F.struct(*kinds) if kinds else F.lit(None))
 
 
 def measures(contract: Contract) -> list[Column]:
@@ -54,14 +59,13 @@ def measures(contract: Contract) -> list[Column]:
     for rule in contract.fields:
         value = F.col(PARTS)[rule.name]
         # An absent key is a plain null, the null of JSON is a variant that holds null.
-        present = value.isNotNull()
-        empty = present & F.is_variant_null(value)
-        counts += [
-            F.count_if(~present).alias(f"missing:{rule.name}"),
-            F.count_if(empty).alias(f"null:{rule.name}"),
-        ]
+        counts.append(F.count_if(value.isNull()).alias(f"missing:{rule.name}"))
+        empty = F.is_variant_null(value)
+        counts.append(F.count_if(empty).alias(f"null:{rule.name}"))
         if rule.type:
-            wrong = present & ~empty & ~F.coalesce(_holds_type(value, rule.type), F.lit(False))
+            kind = F.col(KINDS)[rule.name]
+            fits = F.coalesce(_holds_type(value, kind, rule.type), F.lit(False))
+            wrong = value.isNotNull() & ~kind.isin("VOID") & ~fits
             counts.append(F.count_if(wrong).alias(f"type:{rule.name}"))
     for name in contract.forbidden:
         counts.append(F.count_if(F.col(PARTS)[name].isNotNull()).alias(f"forbidden:{name}"))
@@ -76,7 +80,7 @@ def contract_metrics(
     One parse and one aggregate whatever the number of fields.  Forbidden fields are counted
     as ``present``.  A document that is not a JSON object counts as lacking every field.
     """
-    docs = with_parts(df, contract, body).select(*by, PARTS)
+    docs = with_parts(df, contract, body).select(*by, PARTS, KINDS)
     return by_field(docs.groupBy(*by).agg(*measures(contract)), contract, by)
 
 

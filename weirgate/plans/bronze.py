@@ -87,7 +87,7 @@ def append_load(shaped: DataFrame, path: str, load_id: str, contract: Contract |
     seen = Observation("load")
     if contract is not None:
         counted = contracts.with_parts(marked, contract, "body_json")
-        marked = counted.observe(seen, *contracts.measures(contract)).drop(contracts.PARTS)
+        marked = counted.observe(seen, *contracts.measures(contract)).drop(contracts.PARTS, contracts.KINDS)
     marked.write.mode("overwrite").partitionBy("_quarantined", "_ingestion_date").parquet(f"{path}/_load={load_id}")
     return seen.get if contract is not None else {}
 

@@ -1,8 +1,11 @@
 """Keyed tables: replace, insert, crash, growth."""
 
+import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
-from weirgate.operators.upsert import publish, read_keyed, stage_upsert, stale_folders, upsert
+from weirgate.operators import upsert as module
+from weirgate.operators.upsert import merge_into, publish, read_keyed, stage_upsert, stale_folders, upsert
 from weirgate.session import path_exists, small_frame
 
 DDL = "k string, v bigint, t bigint"
@@ -76,3 +79,34 @@ def test_stale_folders_are_the_unread_ones(spark, folder):
     upsert(frame(spark, ("a", 2, 2)), folder, "k", newest())
     stale = [r[0] for r in stale_folders(spark, folder).collect()]
     assert len(stale) == 1 and "_generation=1/" in stale[0] and path_exists(spark, stale[0])
+
+
+def test_merge_needs_a_format_that_has_it(spark, folder):
+    frame(spark, ("a", 1, 1)).write.format("parquet").option("path", folder).saveAsTable("plain_target")
+    try:
+        with pytest.raises(UnsupportedOperationException) as refused:
+            merge_into(frame(spark, ("a", 2, 2)), "plain_target", "k", newest(), ["k", "v", "t"])
+        assert refused.value.getCondition() == "UNSUPPORTED_FEATURE.TABLE_OPERATION"
+        assert spark.table("plain_target").first()["v"] == 1
+    finally:
+        spark.sql("drop table plain_target")
+
+
+def test_stored_rows_are_shuffled_once(spark, folder, monkeypatch):
+    upsert(frame(spark, ("a", 1, 1), ("b", 2, 1)), folder, "k", newest())
+    plans = []
+    real = module.latest_record
+
+    def spy(df, keys, order):
+        result = real(df, keys, order)
+        if "_bucket" in keys:
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+            plans.append(result._jdf.queryExecution().explainString(mode))
+        return result
+
+    monkeypatch.setattr(module, "latest_record", spy)
+    upsert(frame(spark, ("b", 3, 2)), folder, "k", newest())
+    (text,) = plans
+    assert text.count("Exchange hashpartitioning(_bucket") == 1
+    after_union = text[: text.index("Union")]
+    assert after_union.count("Exchange") == 1

@@ -138,3 +138,19 @@ def stale_folders(spark: SparkSession, path: str) -> DataFrame:
     return old.select(
         F.format_string(f"{path}/data/_generation=%d/_bucket=%d", "generation", "bucket").alias("folder")
     )
+
+
+def merge_into(batch: DataFrame, table: str, key: str, newest_first: Sequence[Column], columns: Sequence[str]) -> None:
+    """The same upsert by the table's own MERGE, for catalogs whose format has one.
+
+    Columns are listed, so columns that only the table has keep their values.
+    """
+    values = {name: F.col(f"incoming.{name}") for name in columns}
+    target = table.split(".")[-1]
+    (
+        latest_record(batch, [key], newest_first).alias("incoming")
+        .mergeInto(table, F.col(f"incoming.{key}") == F.col(f"{target}.{key}"))
+        .whenMatched().update(values)
+        .whenNotMatched().insert(values)
+        .merge()
+    )

@@ -12,9 +12,9 @@ from weirgate.operators.profile import schema_drift
 from weirgate.operators.quality import batch_metrics, reconcile
 from weirgate.operators.references import enrich, hot_keys, orphan_keys
 from weirgate.operators.refine import FieldPath, expand, explode_array, flatten, infer_schema
-from weirgate.plans.snapshots import append_manifest, export_by_day, export_documents, read_manifest, snapshot_tables
+from weirgate.plans.snapshots import append_manifest, consolidate, export_by_day, export_documents, read_manifest, snapshot_tables
 from weirgate.session import small_frame
-from weirgate.sources.files import read_day_folders, read_days
+from weirgate.sources.files import BY_YEAR_MONTH_DAY, day_folders, read_day_folders, read_days
 from weirgate.sources.scans import read_external, scan_incremental
 from weirgate.spec import DatasetSpec
 
@@ -189,9 +189,22 @@ def test_day_partitions(spark, folder):
 def test_day_folders_of_the_older_layout(spark, folder):
     spark.range(3).write.parquet(f"{folder}/2024/2024-01/2024-01-31")
     spark.range(4).withColumn("extra", F.lit(1)).write.parquet(f"{folder}/2024/2024-02/2024-02-02")
-    df = read_day_folders(spark, folder, dt.date(2024, 1, 31), dt.date(2024, 2, 2))
-    assert df.count() == 7 and df.columns == ["id", "extra"]
-    assert read_day_folders(spark, folder, dt.date(2023, 1, 1), dt.date(2023, 1, 2)) is None
+    found = day_folders(spark, folder, dt.date(2024, 1, 30), dt.date(2024, 2, 3), BY_YEAR_MONTH_DAY)
+    df = read_day_folders(spark, folder, found)
+    assert len(found) == 2 and df.count() == 7 and df.columns == ["id", "extra"]
+    assert day_folders(spark, folder, dt.date(2023, 1, 1), dt.date(2023, 1, 2), BY_YEAR_MONTH_DAY) == []
+
+
+def test_consolidation_of_the_nested_layout(spark, folder):
+    spark.sql("select * from values (1, 'a', '1'), (2, 'b', '1') t(`the id`, v, _ingested_at)").write.parquet(f"{folder}/t/2024/2024-01/2024-01-31")
+    spark.sql("select * from values (1, 'c', '2') t(`the id`, v, _ingested_at)").write.parquet(f"{folder}/t/2024/2024-02/2024-02-01")
+    done = consolidate(
+        spark, {"t": f"{folder}/t", "none": f"{folder}/none"}, dt.date(2024, 1, 31), dt.date(2024, 2, 1),
+        f"{folder}/out", {"t": ["the_id"]}, BY_YEAR_MONTH_DAY,
+    )
+    rows = {r["table_name"]: (r["status"], r["linhas_lidas"], r["linhas_bronze"]) for r in done.collect()}
+    assert rows == {"t": ("OK", 3, 2), "none": ("SKIP", 0, 0)}
+    assert {(r["the_id"], r["v"]) for r in spark.read.parquet(f"{folder}/out/t").collect()} == {(1, "c"), (2, "b")}
 
 
 def test_snapshot_manifest_keeps_errors(spark, folder, noon):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from weirgate.catalog.inputs import EVENT_BODY_SQL, EVENT_LINES_SQL, event_docs, event_lines, zoneless
@@ -98,11 +100,11 @@ def quarantine_reason(spark, sf_dir):
 
 
 @query("sanitize_columns", """
-  select n_nationkey as n_nationkey, n_name as n_name, n_regionkey as n_name_2, n_name as col from nation
+  select c_custkey as c_custkey, c_name as c_name, c_nationkey as c_name_2, c_mktsegment as col from customer
 """)
 def sanitize_columns(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey", F.col("n_name").alias("x"))
-    return to_clean_columns(nation.toDF("n nationkey", " n;{name}", "n(name", "=,;"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return to_clean_columns(customer.toDF("c custkey", " c;{name}", "c(name", "=,;"))
 
 
 @query("canonical_text", """
@@ -262,8 +264,8 @@ def consolidate_days(spark, sf_dir):
     root = work_dir(spark, "snap")
     export_by_day(table(spark, sf_dir, "events"), f"{root}/events", F.to_date("ts"))
     done = consolidate(
-        spark, {"events": f"{root}/events", "returns": f"{root}/returns"}, "2024-01-03", "2024-01-20",
-        f"{root}/out", {"events": ["user_id"]},
+        spark, {"events": f"{root}/events", "returns": f"{root}/returns"},
+        dt.date(2024, 1, 3), dt.date(2024, 1, 20), f"{root}/out", {"events": ["user_id"]},
     )
     return done.select("table_name", "status", "linhas_lidas", "linhas_bronze")
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirgate.catalog.inputs import RUN_LOG_SQL, order_run_log, zoneless
-from weirgate.catalog.registry import query, table
+from weirgate.catalog.inputs import (
+    CONTRACT_DOCS_SQL, RUN_LOG_SQL, contract_docs, order_mark_history, order_run_log, zoneless,
+)
+from weirgate.catalog.registry import RUN_AT, query, table
+from weirgate.operators import contract as contracts
 from weirgate.operators import profile
 from weirgate.plans import observe
+from weirgate.spec import Contract, FieldRule
 
 
 @query("obs_daily_volume", f"""
@@ -54,6 +58,35 @@ def obs_last_status(spark, sf_dir):
     return zoneless(observe.last_status(order_run_log(spark, sf_dir)), "end_time")
 
 
+@query("obs_watermark_progress", """
+  select o_orderpriority as collection, 'o_orderdate' as watermark_field,
+    strftime(max(o_orderdate), '%Y-%m-%d') as watermark_value, 'string' as watermark_type, max(o_orderdate) as updated_at
+  from orders group by 1
+""")
+def obs_watermark_progress(spark, sf_dir):
+    return zoneless(observe.mark_progress(order_mark_history(spark, sf_dir)), "updated_at")
+
+
+@query("obs_contract_violations", f"""
+  with c as (select kind, count(*) as docs, count(*) filter (where type_missing) as tm,
+      count(*) filter (where has_secret) as sec from ({CONTRACT_DOCS_SQL}) group by kind)
+  select collection, field, kind,
+    case kind when 'missing' then 'absent' else 'present' end || ' in ' || hits || ' of ' || docs || ' documents' as detail,
+    round(hits * 100.0::double / docs, 4) as violation_pct, timestamp '2024-02-01 12:00:00' as detected_at from (
+    select kind as collection, 'event_type' as field, 'missing' as kind, tm as hits, docs from c
+      where tm * 100.0::double / docs > 5
+    union all select kind, 'secret', 'forbidden', sec, docs from c where sec > 0)
+""")
+def obs_contract_violations(spark, sf_dir):
+    rules = Contract("events", (FieldRule("event_type", "string", required=True, nullable=True),), ("secret",))
+    docs = contract_docs(spark, sf_dir).withColumnRenamed("kind", "collection")
+    metrics = contracts.contract_metrics(docs, rules, by=["collection"])
+    found = contracts.contract_violations(metrics, rules, by=["collection"])
+    stamped = found.withColumn("detected_at", F.lit(RUN_AT.isoformat()).cast("timestamp"))
+    listed = observe.newest_violations(stamped).withColumn("violation_pct", F.round("violation_pct", 4))
+    return zoneless(listed, "detected_at")
+
+
 @query("schema_drift", """
   select field, count(*) as occurrences,
     round(count(*) * 100.0::double / (select count(*) from events), 1) as pct_docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weirgate.catalog.inputs import (
-    CONTRACT_DOCS_SQL, RUN_LOG_SQL, contract_docs, order_run_log, zoneless,
+    CONTRACT_DOCS_SQL, RUN_LOG_SQL, contract_docs, order_mark_history, order_run_log, zoneless,
 )
 from weirgate.catalog.registry import query, table
 from weirgate.functions.marks import later, parse_mark
@@ -254,16 +254,6 @@ def watermark_parse(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", parse_mark(stored, mark_kind).alias("mark"))
 
 
-def _mark_history(spark, sf_dir):
-    """Each month of orders is a run that stored its newest order date."""
-    return table(spark, sf_dir, "orders").groupBy(
-        F.col("o_orderpriority").alias("collection"), F.date_format("o_orderdate", "yyyy-MM").alias("_ingestion_id")
-    ).agg(
-        F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("watermark_value"),
-        F.max("o_orderdate").cast("timestamp").alias("updated_at"),
-    ).withColumns({"watermark_field": F.lit("o_orderdate"), "watermark_type": F.lit("string")})
-
-
 @query("watermark_history", """
   select o_orderpriority as collection, 'o_orderdate' as watermark_field,
     strftime(max(o_orderdate), '%Y-%m-%d') as watermark_value, 'string' as watermark_type,
@@ -271,7 +261,7 @@ def _mark_history(spark, sf_dir):
   from orders group by 1
 """)
 def watermark_history(spark, sf_dir):
-    return zoneless(control.current_marks(_mark_history(spark, sf_dir)), "updated_at")
+    return zoneless(control.current_marks(order_mark_history(spark, sf_dir)), "updated_at")
 
 
 @query("watermark_advance", """

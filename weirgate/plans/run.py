@@ -25,7 +25,7 @@ from weirgate.operators.quality import batch_metrics
 from weirgate.operators.upsert import publish, read_keyed, stage_upsert
 from weirgate.plans import bronze, control
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
-from weirgate.session import read_table, small_frame
+from weirgate.session import folder_names, read_table, small_frame
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import scan_incremental
 from weirgate.spec import NAME, FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
@@ -238,8 +238,8 @@ def reprocess(ctx: RunContext, spec: DatasetSpec) -> list[dict]:
     Each run's load is a function of its landing folder, so each is written again in its own
     place.  Files that no run wrote belong to the streaming consumer.
     """
-    files = ctx.spark.read.option("recursiveFileLookup", "true").text(ctx.layout.landing(spec.name)).inputFiles()
-    runs = sorted({m.group(1) for f in files if (m := re.search(r"/run_id=([^/]+)/", f))})
+    names = folder_names(ctx.spark, ctx.layout.landing(spec.name))
+    runs = [name.removeprefix("run_id=") for name in names if name.startswith("run_id=")]
     log = control.run_log(ctx.spark, ctx.layout).where(F.col("collection") == spec.name)
     known = {r["_ingestion_id"]: r for r in log.where(F.col("_ingestion_id").isin(runs)).collect()}
     runs.sort(key=lambda run_id: (known[run_id]["start_time"].timestamp() if run_id in known else 0.0, run_id))

@@ -1,4 +1,7 @@
-"""Table snapshots by day, their manifest, and consolidation into deduplicated tables."""
+"""Table snapshots by day, their manifest, and consolidation into deduplicated tables.
+
+Fixed values: a table is reported as OK, SKIP or ERRO.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 from weirgate.functions.columns import sanitize_columns
 from weirgate.operators.latest import deduplicate
 from weirgate.schemas import CONSOLIDATION_DDL, MANIFEST_DDL
-from weirgate.session import folder_size, path_exists, small_frame
-from weirgate.sources.files import read_days
+from weirgate.session import folder_size, small_frame
+from weirgate.sources.files import BY_DAY, day_folders, read_day_folders
 
 
 def with_audit(df: DataFrame, run_id: str, source_table: str, at: dt.datetime) -> DataFrame:
@@ -79,8 +82,8 @@ def export_documents(df: DataFrame, path: str, most: int, per_file: int = 1) ->
 
 
 def consolidate(
-    spark: SparkSession, tables: dict[str, str], first: str, last: str, target_root: str,
-    keys: dict[str, Sequence[str]] | None = None,
+    spark: SparkSession, tables: dict[str, str], first: dt.date, last: dt.date, target_root: str,
+    keys: dict[str, Sequence[str]] | None = None, layout: str = BY_DAY,
 ) -> DataFrame:
     """Day ranges of exported tables into deduplicated tables; one result row per table.
 
@@ -90,21 +93,15 @@ def consolidate(
     rows = []
     for name, path in sorted(tables.items()):
         target = f"{target_root}/{name}"
-        if not path_exists(spark, path):
-            rows.append((name, "SKIP", 0, 0, 0, target, ""))
-            continue
         try:
-            raw = sanitize_columns(read_days(spark, path, first, last)).drop("dt")
-            ranged = spark.read.parquet(path).where(
-                F.col("dt").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-            )
-            files = ranged.select("_metadata.file_path").distinct().count()
-            if not files:
+            folders = day_folders(spark, path, first, last, layout)
+            if not folders:
                 rows.append((name, "SKIP", 0, 0, 0, target, ""))
                 continue
+            raw = sanitize_columns(read_day_folders(spark, path, folders)).drop("dt")
             deduplicate(raw, (keys or {}).get(name)).write.mode("overwrite").parquet(target)
             kept = spark.read.parquet(target).count()
-            rows.append((name, "OK", files, raw.count(), kept, target, ""))
+            rows.append((name, "OK", len(raw.inputFiles()), raw.count(), kept, target, ""))
         except Exception as problem:
             rows.append((name, "ERRO", 0, 0, 0, target, str(problem)[:500]))
     return small_frame(spark, rows, CONSOLIDATION_DDL)

@@ -56,6 +56,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a path, nothing for an absent one."""
+    files, target = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(target)] if files.exists(target) else []
+
+
 def folder_size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     files, target = _file_system(spark, path)

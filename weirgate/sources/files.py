@@ -13,6 +13,10 @@ from weirgate.session import path_exists
 
 LINE_FILES = "*.{txt,json,jsonl,gz,zst}"
 
+# Day partitions as Spark writes them, and nested by year and month.
+BY_DAY = "dt=%Y-%m-%d"
+BY_YEAR_MONTH_DAY = "%Y/%Y-%m/%Y-%m-%d"
+
 # What a CSV read assumes unless told otherwise.
 CSV_DEFAULTS = {"header": True, "inferSchema": True, "sep": ",", "encoding": "UTF-8"}
 
@@ -52,9 +56,13 @@ def read_days(spark: SparkSession, path: str, first: str, last: str, day: str =
     return table.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
-def read_day_folders(spark: SparkSession, root: str, first: dt.date, last: dt.date) -> DataFrame | None:
-    """The same for folders laid out ``YYYY/YYYY-MM/YYYY-MM-DD``; nothing when no day exists."""
-    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
-    folders = [f"{root}/{d:%Y}/{d:%Y-%m}/{d:%Y-%m-%d}" for d in days]
-    present = [f for f in folders if path_exists(spark, f)]
-    return spark.read.option("mergeSchema", "true").parquet(*present) if present else None
+def day_folders(spark: SparkSession, root: str, first: dt.date, last: dt.date, layout: str = BY_DAY) -> list[str]:
+    """Folders of the days from ``first`` to ``last`` that exist; only these get listed."""
+    days = (first + dt.timedelta(days=n) for n in range((last - first).days + 1))
+    folders = [f"{root}/{day.strftime(layout)}" for day in days]
+    return [folder for folder in folders if path_exists(spark, folder)]
+
+
+def read_day_folders(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    """Parquet of the given day folders below ``root``, schemas merged."""
+    return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*folders)

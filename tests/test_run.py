@@ -211,3 +211,18 @@ def test_names_must_suit_folders(spark, layout):
         DatasetSpec("a/b")
     with pytest.raises(ValueError):
         RunContext(spark, layout, run_id="../x")
+
+
+@pytest.mark.parametrize("kind, expression, final", [
+    ("timestamp", "timestamp_seconds(1700000000 + _id)", "2023-11-14T22:13:29+00:00"),
+    ("date", "date_add(date'2024-01-01', cast(_id as int))", "2024-01-10"),
+    ("number", "_id * 10", "90"),
+    ("string", "format_string('2015-08-26 00:03:%02d.133000000', _id)", "2015-08-26 00:03:09.133000000"),
+])
+def test_marks_of_every_type(spark, layout, kind, expression, final):
+    spec = DatasetSpec("items", load_type="incremental", mark_field="mark", mark_kind="string" if kind == "string" else "timestamp")
+    source = items(spark, 0, 11).selectExpr("_id", f"{expression} mark")
+    first = run(RunContext(spark, layout, run_id="r1"), {"items": source.where("_id < 10")}, [spec]).first()
+    assert first["watermark_final"] == final
+    run(RunContext(spark, layout, run_id="r2"), {"items": source}, [spec])
+    assert status(spark, layout)[-1] == ("r2", "SUCCESS", 1, 1)

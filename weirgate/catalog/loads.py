@@ -13,14 +13,16 @@ from weirgate.functions.columns import content_hash as hash_of
 from weirgate.functions.columns import sanitize_columns as to_clean_columns
 from weirgate.functions.json_values import source_key as key_of
 from weirgate.operators import upsert
-from weirgate.operators.latest import total_order
+from weirgate.operators.latest import latest_bronze, total_order
+from weirgate.operators.refine import FieldPath
 from weirgate.plans import bronze, control
+from weirgate.plans.refine_job import build_silver
 from weirgate.plans.run import RunContext, documents, reprocess, run
 from weirgate.plans.snapshots import append_manifest, consolidate, export_by_day, read_manifest, snapshot_tables
 from weirgate.session import work_dir
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import document_frame
-from weirgate.spec import DatasetSpec, Layout, Limits
+from weirgate.spec import Contract, DatasetSpec, FieldRule, Layout, Limits
 from weirgate.streaming.landing_stream import TOLERANT, consume_landing
 
 DOCS = DatasetSpec("events", load_type="incremental", mark_field="ts", mark_kind="string")
@@ -239,6 +241,62 @@ def full_run_upsert(spark, sf_dir):
     return documents(RunContext(spark, layout), spec).select("_source_id", "body_json", "_ingestion_id", "_load_type")
 
 
+SIX = [
+    DatasetSpec("events", key="event_id", load_type="incremental", mark_field="ts"),
+    DatasetSpec("orders", key="o_orderkey", load_type="incremental", mark_field="o_orderdate", threshold_pct=0.5),
+    DatasetSpec("customer", key="c_custkey", exclude=("c_acctbal",), threshold_pct=0.0),
+    DatasetSpec("supplier", key="s_suppkey", threshold_pct=0.0),
+    DatasetSpec("documents", key="doc_id", expected_min=10),
+    DatasetSpec("embeddings", key="vec_id", exclude=("embedding",)),
+]
+SIX_CONTRACTS = {
+    "events": Contract("events", (FieldRule("event_id", "int", required=True), FieldRule("ts", "datetime", required=True))),
+    "customer": Contract("customer", (FieldRule("c_name", "string", required=True),), forbidden=("c_acctbal",)),
+    "supplier": Contract("supplier", (FieldRule("s_acctbal", "number"),), forbidden=("s_name",)),
+    "embeddings": Contract("embeddings", (FieldRule("label", "int"),), forbidden=("embedding",)),
+}
+
+
+@query("full_run", """
+  select 'events' as collection, 'incremental' as load_type, 'SUCCESS' as status, count(*) as qtd_lida_origem,
+    count(*) as qtd_gravada_destino, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%f') as watermark_final, 0.0::double as divergencia_pct
+  from events
+  union all select 'orders', 'incremental', 'SUCCESS', count(*), count(*),
+    strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S'), 0.0 from orders
+  union all select 'customer', 'full', 'SUCCESS', count(*), count(distinct c_custkey), null, 0.0 from customer
+  union all select 'supplier', 'full', 'PARTIAL', count(*), count(distinct s_suppkey), null, 0.0 from supplier
+  union all select 'documents', 'full', 'SUCCESS', count(*), count(distinct doc_id), null, 0.0 from documents
+  union all select 'embeddings', 'full', 'SUCCESS', count(*), count(distinct vec_id), null, 0.0 from embeddings
+""")
+def full_run(spark, sf_dir):
+    """Six datasets in one run; one of them leaks a field that its contract forbids."""
+    ctx = RunContext(spark, Layout(work_dir(spark, "root")), run_id="run-1", contracts=SIX_CONTRACTS)
+    done = run(ctx, {spec.name: table(spark, sf_dir, spec.name) for spec in SIX}, SIX, parallel=3)
+    return done.select(
+        "collection", "load_type", "status", "qtd_lida_origem", "qtd_gravada_destino", "watermark_final", "divergencia_pct"
+    )
+
+
+@query("silver_tables", """
+  select 'turns_words' as "table", conv_id || '-' || turn as _source_id, value, cast(min(pos) as integer) as position, cast(null as varchar) as role
+  from (select conv_id, turn, unnest(string_split(text, ' ')) as value,
+      unnest(range(len(string_split(text, ' ')))) as pos from conversations) group by conv_id, turn, value
+  union all select 'turns', conv_id || '-' || turn, null, null, role from conversations
+""")
+def silver_tables(spark, sf_dir):
+    layout = Layout(work_dir(spark, "root"))
+    docs = table(spark, sf_dir, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("_id"), "role", F.split("text", " ").alias("words")
+    )
+    current = latest_bronze(_shaped(docs, "run-1", "full"))
+    # The second build replaces the first, whose columns were others.
+    build_silver(current, layout, "turns", [FieldPath("words", "raw_words")])
+    build_silver(current, layout, "turns", [FieldPath("role", "role")], ["words"])
+    flat = spark.read.parquet(layout.silver("turns")).select(F.lit("turns").alias("table"), "_source_id", "role")
+    words = spark.read.parquet(layout.silver("turns_words")).withColumn("table", F.lit("turns_words"))
+    return words.unionByName(flat, allowMissingColumns=True)
+
+
 @query("stream_bronze", f"""
   select source_id as _source_id, sha256(line) as _source_hash from ({EVENT_LINES_SQL}) where source_id is not null
 """)

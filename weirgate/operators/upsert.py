@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from weirgate.operators.latest import latest_record
 from weirgate.session import read_table, small_frame
 
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS = 16
+ROWS_PER_BUCKET = 1_000_000
+MIN_BUCKETS = 4
 LANES = 8
 
 _HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint"

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from weirgate.functions.columns import content_hash, is_blank_list
 from weirgate.functions.json_values import document, unwrap_key
 from weirgate.operators import contract as contracts
+from weirgate.plans.control import not_failed
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL
 from weirgate.session import read_table, remove
-from weirgate.spec import FAILED, Contract
+from weirgate.spec import Contract
 
 _STORED_DDL = f"{BRONZE_DDL}, _load string, _quarantined boolean"
 
@@ -119,7 +120,7 @@ def published(bronze: DataFrame, run_log: DataFrame, dataset: str) -> DataFrame:
     The side that is looked up has one short row per run; Spark broadcasts it only while it
     is small.
     """
-    passed = run_log.where((F.col("collection") == dataset) & (F.col("status") != FAILED))
+    passed = not_failed(run_log).where(F.col("collection") == dataset)
     return bronze.join(passed.select("_ingestion_id").distinct(), "_ingestion_id", "left_semi").select(
         *BRONZE_COLUMNS
     )

@@ -197,7 +197,8 @@ def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime,
     safe = row["status"] == SUCCESS or (row["status"] == PARTIAL and not short)
     if spec.load_type == "incremental" and not ctx.force_full and moved and safe:
         mark = (spec.name, spec.mark_field, final, spec.mark_kind, run_id, row["end_time"])
-        control.append(small_frame(ctx.spark, [mark], WATERMARK_DDL), ctx.layout, control.WATERMARKS, f"{run_id}-{spec.name}")
+        marks = small_frame(ctx.spark, [mark], WATERMARK_DDL)
+        control.append(marks, ctx.layout, control.WATERMARKS, f"{run_id}-{spec.name}")
     return row
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 SUCCESS = "SUCCESS"
 PARTIAL = "PARTIAL"
@@ -37,7 +37,7 @@ class DatasetSpec:
     threshold_pct: float | None = None
     inclusive_mark: bool = False
     include_null_mark: bool = False
-    rows_per_bucket: int = 2_000_000
+    rows_per_bucket: int = 1_000_000
 
     def __post_init__(self) -> None:
         if not re.fullmatch(NAME, self.name):
@@ -94,7 +94,6 @@ class Layout:
     """Folders below one root on shared storage."""
 
     root: str
-    silver_arrays: tuple[str, ...] = field(default=())
 
     def landing(self, dataset: str) -> str:
         return f"{self.root}/landing/{dataset}"

@@ -226,3 +226,14 @@ def test_marks_of_every_type(spark, layout, kind, expression, final):
     assert first["watermark_final"] == final
     run(RunContext(spark, layout, run_id="r2"), {"items": source}, [spec])
     assert status(spark, layout)[-1] == ("r2", "SUCCESS", 1, 1)
+
+
+@pytest.mark.parametrize("spec", [SPEC, DatasetSpec("items")])
+def test_reprocess_keeps_the_newest_version(spark, layout, spec):
+    run(RunContext(spark, layout, run_id="r1"), {"items": items(spark, 0, 5, "z-first")}, [spec])
+    later = items(spark, 0, 5, "a-second").withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+    run(RunContext(spark, layout, run_id="r2"), {"items": later}, [spec])
+    reprocess(RunContext(spark, layout), spec)
+    current = documents(RunContext(spark, layout), spec)
+    assert current.count() == 5
+    assert current.where(F.get_json_object("body_json", "$.name") == "a-second").count() == 5

@@ -3,11 +3,10 @@
 from weirgate.plans import bronze, control
 from weirgate.plans.run import RunContext, documents
 from weirgate.session import remove, small_frame
-from weirgate.spec import DatasetSpec, Limits
+from weirgate.spec import DatasetSpec
 from weirgate.streaming.landing_stream import consume_landing, files_loaded
 
 SPEC = DatasetSpec("drop", load_type="incremental", mark_field="ts")
-LIMITS = Limits(null_key_is_fatal=False, hard_fail_pct=100.0)
 
 
 def put(spark, layout, *lines):
@@ -20,7 +19,7 @@ def keys(ctx, spec=SPEC):
 
 
 def test_each_file_once(spark, layout):
-    ctx = RunContext(spark, layout, limits=LIMITS)
+    ctx = RunContext(spark, layout)
     put(spark, layout, '{"_id":1}', "{bad")
     assert consume_landing(ctx, SPEC) == 1
     assert consume_landing(ctx, SPEC) == 0
@@ -34,7 +33,7 @@ def test_each_file_once(spark, layout):
 
 
 def test_file_limit_makes_batches(spark, layout):
-    ctx = RunContext(spark, layout, limits=LIMITS)
+    ctx = RunContext(spark, layout)
     for n in range(5):
         put(spark, layout, f'{{"_id":{n}}}')
     assert consume_landing(ctx, SPEC, max_files=2) == 3
@@ -42,7 +41,7 @@ def test_file_limit_makes_batches(spark, layout):
 
 
 def test_a_batch_replayed_after_a_crash_does_not_double(spark, layout):
-    ctx = RunContext(spark, layout, limits=LIMITS)
+    ctx = RunContext(spark, layout)
     put(spark, layout, '{"_id":1}')
     consume_landing(ctx, SPEC)
     put(spark, layout, '{"_id":2}')
@@ -58,7 +57,7 @@ def test_a_batch_replayed_after_a_crash_does_not_double(spark, layout):
 
 def test_upserting_stream(spark, layout):
     spec = DatasetSpec("drop")
-    ctx = RunContext(spark, layout, limits=LIMITS)
+    ctx = RunContext(spark, layout)
     put(spark, layout, '{"_id":1,"v":1}', '{"_id":2,"v":1}')
     consume_landing(ctx, spec)
     put(spark, layout, '{"_id":1,"v":2}', '{"v":3}')
@@ -66,3 +65,12 @@ def test_upserting_stream(spark, layout):
     rows = {r["_source_id"]: r["body_json"] for r in documents(ctx, spec).collect()}
     assert rows == {"1": '{"_id":1,"v":2}', "2": '{"_id":2,"v":1}'}
     assert bronze.read_quarantine(spark, layout.bronze("drop")).count() == 1
+
+
+def test_bad_lines_never_hide_good_ones(spark, layout):
+    ctx = RunContext(spark, layout)
+    put(spark, layout, '{"_id":1}', "{bad", "worse", '{"no":"key"}')
+    consume_landing(ctx, SPEC)
+    assert keys(ctx) == ["1"]
+    row = control.run_log(spark, layout).first()
+    assert (row["status"], row["qtd_lida_origem"], row["qtd_gravada_destino"], row["qtd_quarentena"]) == ("PARTIAL", 4, 1, 3)

@@ -22,8 +22,8 @@ from weirgate.plans.snapshots import append_manifest, consolidate, export_by_day
 from weirgate.session import work_dir
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import document_frame
-from weirgate.spec import Contract, DatasetSpec, FieldRule, Layout, Limits
-from weirgate.streaming.landing_stream import TOLERANT, consume_landing
+from weirgate.spec import Contract, DatasetSpec, FieldRule, Layout
+from weirgate.streaming.landing_stream import consume_landing
 
 DOCS = DatasetSpec("events", load_type="incremental", mark_field="ts", mark_kind="string")
 
@@ -304,8 +304,7 @@ def stream_bronze(spark, sf_dir):
     layout = Layout(work_dir(spark, "root"))
     folder = f"{layout.landing('events')}/drop"
     event_lines(spark, sf_dir).repartition(3).write.text(folder)
-    limits = Limits(hard_fail_pct=100.0, null_key_is_fatal=TOLERANT.null_key_is_fatal)
-    ctx = RunContext(spark, layout, at=RUN_AT, limits=limits)
+    ctx = RunContext(spark, layout, at=RUN_AT)
     consume_landing(ctx, DOCS, folder, max_files=2)
     consume_landing(ctx, DOCS, folder, max_files=2)
     return documents(ctx, DOCS).select("_source_id", "_source_hash")

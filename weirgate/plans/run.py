@@ -237,7 +237,8 @@ def reprocess(ctx: RunContext, spec: DatasetSpec) -> list[dict]:
     """Rebuild a dataset from everything that was landed, without touching the source.
 
     Each run's load is a function of its landing folder, so each is written again in its own
-    place.  Files that no run wrote belong to the streaming consumer.
+    place, in the order of the runs and under the time of its run: what was newest stays so.
+    Files that no run wrote belong to the streaming consumer.
     """
     names = folder_names(ctx.spark, ctx.layout.landing(spec.name))
     runs = [name.removeprefix("run_id=") for name in names if name.startswith("run_id=")]
@@ -245,11 +246,13 @@ def reprocess(ctx: RunContext, spec: DatasetSpec) -> list[dict]:
     known = {r["_ingestion_id"]: r for r in log.where(F.col("_ingestion_id").isin(runs)).collect()}
     runs.sort(key=lambda run_id: (known[run_id]["start_time"].timestamp() if run_id in known else 0.0, run_id))
     done = []
-    for run_id in runs:
+    for place, run_id in enumerate(runs):
         start = dt.datetime.now(dt.timezone.utc)
         lines = read_lines(ctx.spark, f"{ctx.layout.landing(spec.name)}/run_id={run_id}")
         before = known.get(run_id)
-        again = replace(ctx, force_full=bool(before) and before["load_type"] == "full" and spec.load_type != "full")
+        at = before["start_time"].astimezone(dt.timezone.utc) if before else ctx.at + dt.timedelta(microseconds=place)
+        forced = bool(before) and before["load_type"] == "full" and spec.load_type != "full"
+        again = replace(ctx, at=at, force_full=forced)
         values = load_lines(again, spec, lines, run_id, None)
         if before:
             values |= dict(watermark_inicial=before["watermark_inicial"], watermark_final=before["watermark_final"])

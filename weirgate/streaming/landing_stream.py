@@ -12,8 +12,9 @@ from weirgate.plans.run import RunContext, load_lines, log_row
 from weirgate.sources.files import LINE_FILES, with_source
 from weirgate.spec import DatasetSpec, Limits
 
-# Files may come from anyone: a line without a key is set aside and the rest goes on.
-TOLERANT = Limits(null_key_is_fatal=False)
+# Files may come from anyone and are read once: bad lines are set aside and make the batch
+# partial, but no verdict hides the good ones.
+TOLERANT = Limits(null_key_is_fatal=False, hard_fail_pct=100.0)
 
 
 def landing_stream(ctx: RunContext, folder: str, max_files: int = 200) -> DataFrame:
@@ -28,7 +29,7 @@ def landing_stream(ctx: RunContext, folder: str, max_files: int = 200) -> DataFr
 
 
 def consume_landing(
-    ctx: RunContext, spec: DatasetSpec, folder: str | None = None, max_files: int = 200
+    ctx: RunContext, spec: DatasetSpec, folder: str | None = None, max_files: int = 200, limits: Limits = TOLERANT
 ) -> int:
     """Load every file that the checkpoint has not seen yet; returns the micro-batches run.
 
@@ -36,7 +37,7 @@ def consume_landing(
     A batch that is repeated after a crash therefore replaces its own rows and its own
     run-log row, whatever process repeats it.
     """
-    ctx = replace(ctx, engine="stream")
+    ctx = replace(ctx, engine="stream", limits=limits)
     done = 0
 
     def load(batch: DataFrame, batch_id: int) -> None:

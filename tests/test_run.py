@@ -237,3 +237,19 @@ def test_reprocess_keeps_the_newest_version(spark, layout, spec):
     current = documents(RunContext(spark, layout), spec)
     assert current.count() == 5
     assert current.where(F.get_json_object("body_json", "$.name") == "a-second").count() == 5
+
+
+def test_a_run_repeated_under_its_id_changes_nothing(spark, layout):
+    ctx = RunContext(spark, layout, run_id="r1")
+    first = run(ctx, {"items": items(spark, 0, 10)}, [SPEC]).first()
+    again = run(ctx, {"items": items(spark, 0, 12)}, [SPEC]).first()
+    assert first["qtd_gravada_destino"] == again["qtd_gravada_destino"] == 10
+    assert status(spark, layout) == [("r1", "SUCCESS", 10, 10)]
+
+
+def test_a_failed_run_can_be_repeated_under_its_id(spark, layout):
+    ctx = RunContext(spark, layout, run_id="r1")
+    assert run(ctx, {}, [SPEC]).first()["status"] == "FAILED"
+    assert run(ctx, {"items": items(spark, 0, 10)}, [SPEC]).first()["status"] == "SUCCESS"
+    assert status(spark, layout) == [("r1", "SUCCESS", 10, 10)]
+    assert documents(ctx, SPEC).count() == 10

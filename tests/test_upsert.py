@@ -5,7 +5,7 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from weirgate.operators import upsert as module
-from weirgate.operators.upsert import merge_into, publish, read_keyed, stage_upsert, stale_folders, upsert
+from weirgate.operators.upsert import drop_stale, merge_into, publish, read_keyed, stage_upsert, upsert
 from weirgate.session import path_exists, small_frame
 
 DDL = "k string, v bigint, t bigint"
@@ -74,11 +74,15 @@ def test_buckets_grow_with_the_table(spark, folder):
     assert len(found) == 400 and found["7"] == -7 and found["399"] == 399
 
 
-def test_stale_folders_are_the_unread_ones(spark, folder):
-    upsert(frame(spark, ("a", 1, 1)), folder, "k", newest())
+def test_stale_generations_go(spark, folder):
+    upsert(frame(spark, ("a", 1, 1), ("b", 1, 1)), folder, "k", newest())
     upsert(frame(spark, ("a", 2, 2)), folder, "k", newest())
-    stale = [r[0] for r in stale_folders(spark, folder).collect()]
-    assert len(stale) == 1 and "_generation=1/" in stale[0] and path_exists(spark, stale[0])
+    assert drop_stale(spark, folder) == []
+    upsert(frame(spark, ("a", 3, 3), ("b", 3, 3)), folder, "k", newest())
+    stage_upsert(frame(spark, ("a", 4, 4)), folder, "k", newest())
+    assert drop_stale(spark, folder) == [1, 2]
+    assert rows(spark, folder) == {"a": 3, "b": 3}
+    assert path_exists(spark, f"{folder}/data/_generation=4")
 
 
 def test_merge_needs_a_format_that_has_it(spark, folder):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.latest import latest_record
-from weirgate.session import read_table, small_frame
+from weirgate.session import folder_names, read_table, remove, small_frame
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 4
@@ -128,16 +128,14 @@ def upsert(
     publish(stage_upsert(batch, path, key, newest_first, rows_per_bucket), path)
 
 
-def stale_folders(spark: SparkSession, path: str) -> DataFrame:
-    """Folders that no reader needs any more, for a clean-up job."""
-    past = read_table(spark, f"{path}/heads", _HEADS_DDL)
-    heads = small_frame(
-        spark, [(b, h.generation) for b, h in _heads(spark, path).items()], "bucket int, generation bigint"
-    )
-    old = past.select("bucket", "generation").distinct().join(heads, ["bucket", "generation"], "left_anti")
-    return old.select(
-        F.format_string(f"{path}/data/_generation=%d/_bucket=%d", "generation", "bucket").alias("folder")
-    )
+def drop_stale(spark: SparkSession, path: str) -> list[int]:
+    """Remove generations that no bucket uses any more, while nothing reads or writes."""
+    used = {head.generation for head in _heads(spark, path).values()}
+    stored = [int(name.removeprefix("_generation=")) for name in folder_names(spark, f"{path}/data")]
+    stale = sorted(g for g in stored if used and g < max(used) and g not in used)
+    for generation in stale:
+        remove(spark, f"{path}/data/_generation={generation}")
+    return stale
 
 
 def merge_into(batch: DataFrame, table: str, key: str, newest_first: Sequence[Column], columns: Sequence[str]) -> None:

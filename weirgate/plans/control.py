@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.latest import latest_record
@@ -62,6 +62,11 @@ def _read(spark: SparkSession, layout: Layout, table: str, ddl: str) -> DataFram
     return read_table(spark, layout.control(table), ddl, recursiveFileLookup="true")
 
 
+def logged(spark: SparkSession, layout: Layout, run_id: str, dataset: str) -> Row | None:
+    """What a run logged for a dataset, read from its own folder only."""
+    return read_table(spark, f"{layout.control(RUN_LOG)}/{run_id}-{dataset}", RUN_LOG_DDL).first()
+
+
 def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
     """One row per run and dataset; a run that was logged again counts once."""
     rows = _read(spark, layout, RUN_LOG, RUN_LOG_DDL)

@@ -25,7 +25,7 @@ from weirgate.operators.quality import batch_metrics
 from weirgate.operators.upsert import publish, read_keyed, stage_upsert
 from weirgate.plans import bronze, control
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
-from weirgate.session import folder_names, read_table, small_frame
+from weirgate.session import folder_names, path_exists, read_table, small_frame
 from weirgate.sources.files import read_lines
 from weirgate.sources.scans import scan_incremental
 from weirgate.spec import NAME, FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
@@ -57,9 +57,9 @@ def documents(ctx: RunContext, spec: DatasetSpec) -> DataFrame:
     rows = bronze.read_bronze(ctx.spark, ctx.layout.bronze(spec.name))
     log = control.run_log(ctx.spark, ctx.layout)
     current = bronze.published(rows, log, spec.name)
-    forced = read_table(ctx.spark, f"{ctx.layout.keyed(spec.name)}/heads", "bucket int")
-    if forced.isEmpty():
+    if not path_exists(ctx.spark, ctx.layout.keyed(spec.name)):
         return latest_bronze(current)
+    # A forced full load of this dataset went into a keyed table.
     keyed = read_keyed(ctx.spark, ctx.layout.keyed(spec.name), BRONZE_DDL)
     return latest_bronze(current.unionByName(keyed))
 
@@ -207,10 +207,14 @@ def run(
 ) -> DataFrame:
     """Ingest the given datasets and return the summary, one row per dataset.
 
-    A dataset that raises is logged as failed and does not stop the others.
+    A dataset that raises is logged as failed and does not stop the others.  When a run is
+    repeated under its id, datasets that it already finished are left alone.
     """
 
     def one(spec: DatasetSpec) -> dict:
+        done = control.logged(ctx.spark, ctx.layout, ctx.run_id, spec.name)
+        if done is not None and done["status"] != FAILED:
+            return done.asDict()
         start = dt.datetime.now(dt.timezone.utc)
         try:
             values = ingest(ctx, spec, sources[spec.name])

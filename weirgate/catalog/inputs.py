@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.catalog.registry import table
+from weirgate.catalog.registry import RUN_AT, TAG, table
+from weirgate.plans import bronze
 from weirgate.plans.control import build_run_log
+from weirgate.sources.scans import document_frame
 
 # One document per event; the time stays text to the microsecond.
 EVENT_DOC_SQL = """
@@ -28,6 +30,12 @@ def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shaped_documents(docs: DataFrame, run_id: str, load_type: str = "incremental") -> DataFrame:
+    """Documents in Bronze form, as if they had been landed and read back."""
+    lines = document_frame(docs, "_id").select(F.col("body").alias("value"), F.lit("").alias("_source_file"))
+    return bronze.shape(bronze.parse_lines(lines), run_id, RUN_AT, TAG, load_type)
+
+
 # Landing lines: small values come broken, cheap signups come without a key, errors carry
 # the extended form of the key.
 EVENT_LINES_SQL = """

@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from weirgate.catalog.inputs import EVENT_BODY_SQL, EVENT_LINES_SQL, event_docs, event_lines, zoneless
+from weirgate.catalog.inputs import (
+    EVENT_BODY_SQL, EVENT_LINES_SQL, event_docs, event_lines, shaped_documents, zoneless,
+)
 from weirgate.catalog.registry import MARK, RUN_AT, TAG, query, table
 from weirgate.functions.columns import canonical_text as to_canonical_text
 from weirgate.functions.columns import content_hash as hash_of
@@ -21,21 +23,12 @@ from weirgate.plans.run import RunContext, documents, reprocess, run
 from weirgate.plans.snapshots import append_manifest, consolidate, export_by_day, read_manifest, snapshot_tables
 from weirgate.session import work_dir
 from weirgate.sources.files import read_lines
-from weirgate.sources.scans import document_frame
 from weirgate.spec import Contract, DatasetSpec, FieldRule, Layout
 from weirgate.streaming.landing_stream import consume_landing
 
 DOCS = DatasetSpec("events", load_type="incremental", mark_field="ts", mark_kind="string")
 
 
-def _lines(docs):
-    return document_frame(docs, "_id").select(F.col("body").alias("value"), F.lit("").alias("_source_file"))
-
-
-def _shaped(docs, run_id, load_type="incremental"):
-    return bronze.shape(bronze.parse_lines(_lines(docs)), run_id, RUN_AT, TAG, load_type)
-
-
 @query("bronze_shape", f"""
   select cast(_id as varchar) as _source_id, body as body_json, cast(null as varchar) as _rescued_data,
     sha256(body) as _source_hash, 'run-1' as _ingestion_id,
@@ -44,7 +37,7 @@ def _shaped(docs, run_id, load_type="incremental"):
   from ({EVENT_BODY_SQL})
 """)
 def bronze_shape(spark, sf_dir):
-    return zoneless(_shaped(event_docs(spark, sf_dir), "run-1"), "_ingestion_timestamp").drop("_source_file")
+    return zoneless(shaped_documents(event_docs(spark, sf_dir), "run-1"), "_ingestion_timestamp").drop("_source_file")
 
 
 @query("content_hash", "select doc_id, sha256(coalesce(text, '')) as _source_hash from documents")
@@ -137,7 +130,7 @@ def append_two_runs(spark, sf_dir):
     late = docs.where(F.col("ts") > f"{MARK}.000000")
     # The second run is written twice, as after a crash: its folder is replaced.
     for run_id, part in (("run-1", early), ("run-2", late), ("run-2", late)):
-        bronze.append_load(_shaped(part, run_id), path, run_id)
+        bronze.append_load(shaped_documents(part, run_id), path, run_id)
     per_key = bronze.read_bronze(spark, path).groupBy("_ingestion_id", "_source_id").agg(F.count(F.lit(1)).alias("n"))
     return per_key.groupBy("_ingestion_id").agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys")
@@ -288,7 +281,7 @@ def silver_tables(spark, sf_dir):
     docs = table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("_id"), "role", F.split("text", " ").alias("words")
     )
-    current = latest_bronze(_shaped(docs, "run-1", "full"))
+    current = latest_bronze(shaped_documents(docs, "run-1", "full"))
     # The second build replaces the first, whose columns were others.
     build_silver(current, layout, "turns", [FieldPath("words", "raw_words")])
     build_silver(current, layout, "turns", [FieldPath("role", "role")], ["words"])

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirgate.catalog.inputs import EVENT_DOC_SQL, event_docs, zoneless
-from weirgate.catalog.loads import _shaped
+from weirgate.catalog.inputs import EVENT_DOC_SQL, event_docs, shaped_documents, zoneless
 from weirgate.catalog.registry import query, table
 from weirgate.functions.json_values import dirty_number, path_text, text_array
 from weirgate.functions.json_values import tolerant_timestamp as to_timestamp
@@ -159,7 +158,7 @@ def silver_flat(spark, sf_dir):
         FieldPath("nation.region.key", "region_key", "int"), FieldPath("balance", "balance", "double"),
         FieldPath("balance", "whole_balance", "int"), FieldPath("scores.rating", "rating", "double"),
     ]
-    current = latest.latest_bronze(_shaped(docs, "run-1", "full"))
+    current = latest.latest_bronze(shaped_documents(docs, "run-1", "full"))
     flat = refine.flatten(current, fields, keep=["_source_id", "_ingestion_id", "_ingestion_timestamp"])
     return zoneless(flat, "_ingestion_timestamp")
 
@@ -169,7 +168,7 @@ def silver_flat(spark, sf_dir):
     cast(json_extract_string(props, '$.k') as integer) as k from events
 """)
 def silver_events(spark, sf_dir):
-    current = latest.latest_bronze(_shaped(event_docs(spark, sf_dir), "run-1"))
+    current = latest.latest_bronze(shaped_documents(event_docs(spark, sf_dir), "run-1"))
     fields = [
         FieldPath("user_id", "user_id", "bigint"), FieldPath("event_type", "event_type"),
         FieldPath("ts", "ts", "timestamp"), FieldPath("props", "props"),

@@ -141,11 +141,11 @@ def contract_violations(metrics: DataFrame, contract: Contract, by: Sequence[str
     found = metrics.select(*by, "docs", "field", F.inline(candidates)).where("_broken").drop("_broken")
     if by or contract.allow_empty:
         return found.drop("docs")
-    empty = metrics.where(n == 0).limit(1).select(
+    empty = metrics.where(n == 0).select(
         F.lit("*").alias("field"), F.lit("missing").alias("kind"),
         F.lit("no documents although the contract does not allow empty").alias("detail"),
         F.lit(0).cast("bigint").alias("hits"), F.lit(0.0).alias("violation_pct"),
-    )
+    ).distinct()
     return found.drop("docs").unionByName(empty)
 
 

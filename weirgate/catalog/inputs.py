@@ -24,7 +24,11 @@ EVENT_BODY_SQL = f"select *, {_DOC_JSON} as body from ({EVENT_DOC_SQL})"
 
 
 def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return as_documents(table(spark, sf_dir, "events"))
+
+
+def as_documents(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("_id"), "user_id", "event_type",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "props",
     )

@@ -67,10 +67,6 @@ def shape(
     )
 
 
-def good_rows(shaped: DataFrame) -> DataFrame:
-    return shaped.where(F.col("_source_id").isNotNull())
-
-
 def bad_rows(shaped: DataFrame) -> DataFrame:
     """Rows without a key, with the reason."""
     why = F.when(F.col("_rescued_data").isNotNull(), "not a JSON object").otherwise("no key")

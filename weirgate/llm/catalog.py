@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weirgate.llm import licenses, quality
+from weirgate.llm import language, licenses, quality, toxicity
+from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +21,24 @@ def quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4, 2))
+    return language.predict(docs, language.fit(docs.where(~F.col("held_out")).select("doc_id", "text", "lang")))
+
+
+def nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 5, 0))
+    learned = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "toxic")
+    return toxicity.predict(docs, toxicity.fit(docs.select("doc_id", "text"), learned))
+
+
 def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
 QUERIES: dict[str, Query] = {
+    "op3_string_kernel_language": string_kernel_language,
+    "op4_nb_toxicity": nb_toxicity,
     "op8_quality_cascade": quality_cascade,
     "op10_license_templates": license_templates,
 }

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
+from weirgate.llm.sampling import first_by_hash
 
 SAMPLE = 512
 BLANKS = " \t\n\x0b\x0c\r"
@@ -130,7 +131,7 @@ RULES = BASE + (
 
 def measured_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> tuple[Rule, ...]:
     """The rules by rejections per second on a sample, those that reject most for their cost first."""
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text")
+    chosen = first_by_hash(docs.select("doc_id", "text"), "doc_id", sample).select("text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, "text"):

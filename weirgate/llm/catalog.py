@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import language, licenses, quality, toxicity
+from weirgate.llm import language, licenses, mixing, quality, toxicity
 from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def nb_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit(docs.select("doc_id", "text"), learned))
 
 
+def source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -39,9 +43,11 @@ def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_string_kernel_language": string_kernel_language,
     "op4_nb_toxicity": nb_toxicity,
+    "op6_source_schedule": source_schedule,
     "op8_quality_cascade": quality_cascade,
     "op10_license_templates": license_templates,
 }
 ORACLE: dict[str, str] = {
+    "op6_source_schedule": mixing.SQL,
     "op8_quality_cascade": quality.SQL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import language, licenses, mixing, quality, toxicity
+from weirgate.llm import decontaminate, language, licenses, lines, mixing, near, pii, quality, toxicity
 from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,15 +36,35 @@ def source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.judged_lines(table(spark, sf_dir, "documents")).drop("id")
+
+
+def edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
 QUERIES: dict[str, Query] = {
+    "op2_fuzzy_lines": fuzzy_lines,
     "op3_string_kernel_language": string_kernel_language,
     "op4_nb_toxicity": nb_toxicity,
+    "op5_edit_decontamination": edit_decontamination,
     "op6_source_schedule": source_schedule,
+    "op7_near_duplicates": near_duplicates,
     "op8_quality_cascade": quality_cascade,
+    "op9_personal_data": personal_data,
     "op10_license_templates": license_templates,
 }
 ORACLE: dict[str, str] = {

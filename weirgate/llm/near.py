@@ -25,12 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
 from weirgate.llm.components import components
 from weirgate.llm.linking import cross_pairs, labelled, shared_groups, star_pairs, verified
+from weirgate.llm.sampling import passing, sieve
 from weirgate.session import work_dir
 
 WIDTH = 5
@@ -68,15 +70,18 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sorted shingle hashes of the documents whose ids are wanted."""
+    """The sorted shingle hashes of the documents whose ids are wanted (and of a few that the sieve lets through)."""
+    mesh = sieve(wanted, "id")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tx.slices(batches, "text"):
+            ids = pc.fill_null(piece.column("id"), -1).to_numpy(zero_copy_only=False)
+            piece = piece.filter(pa.array(passing(mesh.value, ids)))
             sets = [s.tobytes() for s in tx.word_shingles(piece.column("text"), WIDTH)]
             yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(sets, pa.binary())], ["id", "elements"])
 
-    some = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
-    return some.mapInArrow(collect, "id long, elements binary")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    return narrow.mapInArrow(collect, "id long, elements binary")
 
 
 def _token(tokens, coordinate):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,3 +54,26 @@ def _any(conditions: list[Column]) -> Column:
             for i in range(0, len(conditions), 2)
         ]
     return conditions[0]
+
+
+_WORDS = 1 << 17
+
+
+def sieve(ids: DataFrame, column: str) -> Broadcast:
+    """A bit array of fixed size (1 MB) that lets all of the ids through, and with them others of equal low bits.
+
+    With it a scan leaves most rows that no later join wants before they are moved.  When there are more ids
+    than bits it lets more through; the join decides in any case.
+    """
+    word = F.shiftright(F.col(column), 6).bitwiseAND(F.lit(_WORDS - 1).cast("long")).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit")
+    set_bits = ids.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    mesh = np.zeros(_WORDS, np.uint64)
+    mesh[set_bits.column("word").to_numpy()] = set_bits.column("bits").to_numpy().view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast(mesh)
+
+
+def passing(mesh: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids the sieve lets through."""
+    values = ids.astype(np.int64)
+    return (mesh[(values >> 6) & (_WORDS - 1)] >> (values & 63).astype(np.uint64)) & np.uint64(1) > 0

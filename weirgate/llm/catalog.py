@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontaminate, language, licenses, lines, mixing, near, pii, quality, toxicity
+from weirgate.llm import decontaminate, language, licenses, lines, lm, mixing, near, pii, quality, toxicity
 from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def shipped(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Lets Python workers find this package where it lies on their disk; elsewhere ship it with the job."""
+
+    @wraps(build)
+    def found(spark: SparkSession, *rest) -> DataFrame:
+        known = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if ROOT not in known.split(":"):
+            spark.sparkContext.environment["PYTHONPATH"] = f"{ROOT}:{known}".rstrip(":")
+        return build(spark, *rest)
+
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +52,11 @@ def source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 10, 0))
+    return lm.score(docs)
+
+
 def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.judged_lines(table(spark, sf_dir, "documents")).drop("id")
 
@@ -57,15 +78,16 @@ def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "op2_fuzzy_lines": fuzzy_lines,
-    "op3_string_kernel_language": string_kernel_language,
-    "op4_nb_toxicity": nb_toxicity,
-    "op5_edit_decontamination": edit_decontamination,
-    "op6_source_schedule": source_schedule,
-    "op7_near_duplicates": near_duplicates,
-    "op8_quality_cascade": quality_cascade,
-    "op9_personal_data": personal_data,
-    "op10_license_templates": license_templates,
+    "op1_pitman_yor": shipped(pitman_yor),
+    "op2_fuzzy_lines": shipped(fuzzy_lines),
+    "op3_string_kernel_language": shipped(string_kernel_language),
+    "op4_nb_toxicity": shipped(nb_toxicity),
+    "op5_edit_decontamination": shipped(edit_decontamination),
+    "op6_source_schedule": shipped(source_schedule),
+    "op7_near_duplicates": shipped(near_duplicates),
+    "op8_quality_cascade": shipped(quality_cascade),
+    "op9_personal_data": shipped(personal_data),
+    "op10_license_templates": shipped(license_templates),
 }
 ORACLE: dict[str, str] = {
     "op6_source_schedule": mixing.SQL,

@@ -155,3 +155,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = signed.select("doc_id", "n_shingles", "k1", "k2").join(named, same, "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The documents that are kept, with all their columns.  Rows under one id stay or go together."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone.withColumnRenamed("doc_id", "_gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")

@@ -3,13 +3,15 @@ still in different components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirgate.session import remove, work_dir
+
 
 def shared_groups(members: DataFrame) -> DataFrame:
     """The members (grp, id, s1, s2) of groups of two or more, with a pivot: one member, chosen by hash."""
@@ -57,25 +59,52 @@ def cross_pairs(members: DataFrame, most_bits: int) -> DataFrame:
     return near.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, payloads: DataFrame, to_set: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
     """The pairs whose sets have at least ``percent`` of their union in common.
 
-    ``sets`` has id and elements, the sorted distinct 64-bit hashes as bytes.
+    ``payloads`` has id and payload, what ``to_set`` makes the sorted distinct elements of.  It is moved once, and
+    each pair brings its two together.
     """
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("left")), "a")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("right")), "b")
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id")).join(payloads, "id")
+    one = F.struct("id", "payload")
+    both = ends.groupBy("a", "b").agg(F.min(one).alias("left"), F.max(one).alias("right"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
         for batch in batches:
-            linked = [near(x, y, percent) for x, y in zip(batch.column("left"), batch.column("right"))]
+            linked = []
+            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                if left != last:
+                    last, held = left, to_set(left)
+                linked.append(near(held, to_set(right), percent))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
+    flat = both.select("a", "b", F.col("left.payload").alias("left"), F.col("right.payload").alias("right"))
+    return flat.mapInArrow(check, "a long, b long")
 
 
-def near(left: pa.Scalar, right: pa.Scalar, percent: int) -> bool:
-    x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
+def near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
         return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+class Scratch:
+    """Tables in the shared folder, for the steps of one operator."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.paths = spark, label, []
+
+    def kept(self, frame: DataFrame, name: str) -> DataFrame:
+        path = work_dir(self.spark, f"{self.label}-{name}")
+        frame.write.option("compression", "zstd").parquet(path)
+        self.paths.append((name, path))
+        return self.spark.read.parquet(path)
+
+    def drop(self, *but: str) -> None:
+        """Removes all tables but those named, which results still read."""
+        for name, path in self.paths:
+            if name not in but:
+                remove(self.spark, path)
+        self.paths = [(name, path) for name, path in self.paths if name in but]

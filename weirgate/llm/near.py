@@ -21,6 +21,7 @@ empty result.  Other columns are not read.  Texts are taken whole.
 from __future__ import annotations
 
 import random
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,8 @@ from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
 from weirgate.llm.components import components
-from weirgate.llm.linking import cross_pairs, labelled, shared_groups, star_pairs, verified
+from weirgate.llm.linking import Scratch, cross_pairs, labelled, shared_groups, star_pairs, verified
 from weirgate.llm.sampling import passing, sieve
-from weirgate.session import work_dir
 
 WIDTH = 5
 PERCENT = 75
@@ -69,19 +69,22 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, ddl)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sorted shingle hashes of the documents whose ids are wanted (and of a few that the sieve lets through)."""
+def payloads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The packed texts of the documents whose ids are wanted (and of a few that the sieve lets through)."""
     mesh = sieve(wanted, "id")
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in tx.slices(batches, "text"):
-            ids = pc.fill_null(piece.column("id"), -1).to_numpy(zero_copy_only=False)
-            piece = piece.filter(pa.array(passing(mesh.value, ids)))
-            sets = [s.tobytes() for s in tx.word_shingles(piece.column("text"), WIDTH)]
-            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(sets, pa.binary())], ["id", "elements"])
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pc.fill_null(batch.column("id"), -1).to_numpy(zero_copy_only=False)
+            some = batch.filter(pa.array(passing(mesh.value, ids)))
+            packed = [zlib.compress((t or "").encode(), 1) for t in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(packed, pa.binary())], ["id", "payload"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(pack, "id long, payload binary")
+
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return narrow.mapInArrow(collect, "id long, elements binary")
+def shingle_set(payload: bytes) -> np.ndarray:
+    return tx.word_shingles(pa.array([zlib.decompress(payload).decode()]), WIDTH)[0]
 
 
 def _token(tokens, coordinate):
@@ -111,42 +114,38 @@ def child_nodes(members: DataFrame, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
-    spark = docs.sparkSession
-
-    def kept(frame: DataFrame, label: str) -> DataFrame:
-        path = work_dir(spark, label)
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    signed = kept(signatures(docs), "near-signed")
+    scratch = Scratch(docs.sparkSession, "near")
+    kept = scratch.kept
+    signed = kept(signatures(docs), "signed")
     classes = kept(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n_shingles")
         .agg(F.min(F.struct("doc_id", "tokens", "s1", "s2")).alias("r"))
         .select("k1", "k2", "n_shingles", F.col("r.doc_id").alias("id"), "r.tokens", "r.s1", "r.s2"),
-        "near-classes",
+        "classes",
     )
-    groups = kept(shared_groups(first_nodes(classes)), "near-groups")
-    sets = kept(full_sets(docs, groups.select("id").distinct()), "near-sets")
+    groups = kept(shared_groups(first_nodes(classes)), "groups")
+    texts = kept(payloads(docs, groups.select("id")), "texts")
     tried, links, labels = None, None, None
     candidates, level = None, groups
     for depth in range(1, LEVELS + 1):
-        pairs = kept(star_pairs(level, NEAR_BITS), "near-stars")
+        pairs = kept(star_pairs(level, NEAR_BITS), "stars")
         tried = pairs if tried is None else tried.union(pairs)
-        found = kept(verified(pairs, sets, PERCENT), "near-links")
+        found = kept(verified(pairs, texts, shingle_set, PERCENT), "links")
         if links is None or not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = kept(components(links), "near-labels")
-        level = kept(labelled(level, labels), "near-level")
+            labels = kept(components(links), "labels")
+        level = kept(labelled(level, labels), "level")
         is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
         small = cross_pairs(level.where(is_small), NEAR_BITS)
         candidates = small if candidates is None else candidates.union(small)
         large = level.where(~is_small)
         if large.isEmpty():
             break
-        level = kept(shared_groups(child_nodes(large, classes)), "near-groups")
-    more = candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti")
-    links = links.union(kept(verified(kept(more, "near-pairs"), sets, PERCENT), "near-links"))
-    labels = components(links)
+        level = kept(shared_groups(child_nodes(large, classes)), "groups")
+    more = kept(candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti"), "pairs")
+    links = links.union(kept(verified(more, texts, shingle_set, PERCENT), "links"))
+    labels = kept(components(links), "components")
+    scratch.drop("signed", "classes", "components")
 
     component = F.coalesce("component", "id")
     named = classes.select("id", *[F.col(c).alias(f"_{c}") for c in ("k1", "k2", "n_shingles")])

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirgate.llm.components import components
 from weirgate.session import remove, work_dir
 
 
@@ -108,3 +109,58 @@ class Scratch:
             if name not in but:
                 remove(self.spark, path)
         self.paths = [(name, path) for name, path in self.paths if name in but]
+
+
+SMALL = 32
+LEVELS = 16
+
+
+def child_groups(members: DataFrame, reps: DataFrame, coordinates: int) -> DataFrame:
+    """The next level: each group selects one or two MinHash tokens by its own name, and members that share one stay
+    together.  ``reps`` has id, tokens (4 bytes each), s1 and s2."""
+    one = F.pmod(F.xxhash64("grp", F.lit(1)), F.lit(coordinates)).cast("int")
+    two = F.pmod(F.xxhash64("grp", F.lit(2)), F.lit(coordinates)).cast("int")
+    second = F.pmod(F.xxhash64("grp", F.lit(3)), F.lit(3)) == 0  # 4/3 tokens on average, one over the threshold
+    picked = members.withColumn("at", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))))
+    named = picked.select("grp", "at", "id").distinct().join(reps.select("id", "tokens", "s1", "s2"), "id")
+    return named.select(F.xxhash64("grp", "at", token(F.col("at"))).alias("grp"), "id", "s1", "s2")
+
+
+def token(coordinate: Column) -> Column:
+    return F.substring(F.col("tokens"), coordinate * 4 + 1, F.lit(4))
+
+
+def connected(
+    groups: DataFrame, payloads: Callable[[DataFrame], DataFrame], reps: Callable[[DataFrame], DataFrame],
+    to_set: Callable[[bytes], np.ndarray], percent: int, most_bits: int, coordinates: int, scratch: Scratch,
+) -> DataFrame:
+    """The components (node, component) of all links that groups of likely partners lead to.
+
+    Members meet their group's pivot.  A group whose members then have at most ``SMALL`` partners on average in other
+    components is compared exhaustively; another is branched again by further tokens, up to ``LEVELS`` times, and
+    then compared whatever its size.  ``payloads`` and ``reps`` fetch what belongs to the ids given.
+    """
+    kept = scratch.kept
+    tried, links, labels, candidates, level = None, None, None, None, groups
+    for depth in range(1, LEVELS + 1):
+        pairs = kept(star_pairs(level, most_bits), "stars")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = kept(components(links), "labels")
+        level = kept(labelled(level, labels), "level")
+        is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
+        small = cross_pairs(level.where(is_small), most_bits)
+        candidates = small if candidates is None else candidates.union(small)
+        large = level.where(~is_small)
+        if large.isEmpty():
+            break
+        level = kept(shared_groups(child_groups(large, reps(large.select("id").distinct()), coordinates)), "groups")
+    more = kept(candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti"), "pairs")
+    links = links.union(kept(verified(more, payloads(ends_of(more)), to_set, percent), "links"))
+    return kept(components(links), "components")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))

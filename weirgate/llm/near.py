@@ -2,9 +2,9 @@
 
 Documents are sets of five-word shingles.  One permutation gives each set ``COORDINATES`` MinHash tokens and a
 sketch of one bit of each.  In each of ``TREES`` independent trees documents branch by one or two selected tokens:
-those that share the token share a node.  A node whose documents have at most ``SMALL`` partners on average that are
+those that share the token share a node.  A node whose documents have at most ``linking.SMALL`` partners on average that are
 not yet known to be connected is compared exhaustively; another branches again by tokens of its own (what is left
-after ``LEVELS`` levels is compared whatever its size).  Two
+after ``linking.LEVELS`` levels is compared whatever its size).  Two
 documents at the threshold meet below a node with a chance of about 0.81 a level, so all trees miss them with a
 chance of about 1e-7 at the first level and 1e-4 at the third.
 
@@ -31,16 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
-from weirgate.llm.components import components
-from weirgate.llm.linking import Scratch, cross_pairs, labelled, shared_groups, star_pairs, verified
+from weirgate.llm.linking import Scratch, connected, shared_groups, token
 from weirgate.llm.sampling import passing, sieve
 
 WIDTH = 5
 PERCENT = 75
 COORDINATES = 128
 TREES = 10
-SMALL = 32
-LEVELS = 16
 NEAR_BITS = 38  # of 128: a pair at the threshold differs in 16 on average, with a deviation of 3.7
 _EXTRA = 1 / 3  # beside one token, a node selects a second so often: 4/3 on average, one over the threshold
 
@@ -87,10 +84,6 @@ def shingle_set(payload: bytes) -> np.ndarray:
     return tx.word_shingles(pa.array([zlib.decompress(payload).decode()]), WIDTH)[0]
 
 
-def _token(tokens, coordinate):
-    return F.substring(tokens, coordinate * 4 + 1, F.lit(4))
-
-
 def first_nodes(reps: DataFrame) -> DataFrame:
     """The nodes below the roots: every tree selects the same tokens for all documents."""
     choose = random.Random(7)
@@ -98,20 +91,10 @@ def first_nodes(reps: DataFrame) -> DataFrame:
         (tree, at) for tree in range(TREES)
         for at in choose.sample(range(COORDINATES), 1 + (choose.random() < _EXTRA))
     ]
-    nodes = F.array(*[F.xxhash64(F.lit(t), F.lit(i), _token(F.col("tokens"), F.lit(i))) for t, i in picks])
+    nodes = F.array(*[F.xxhash64(F.lit(t), F.lit(i), token(F.lit(i))) for t, i in picks])
     return reps.select(F.explode(nodes).alias("grp"), "id", "s1", "s2")
 
 
-def child_nodes(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """The next level: each node selects tokens by its own name."""
-    one = F.pmod(F.xxhash64("grp", F.lit(1)), F.lit(COORDINATES)).cast("int")
-    two = F.pmod(F.xxhash64("grp", F.lit(2)), F.lit(COORDINATES)).cast("int")
-    second = F.pmod(F.xxhash64("grp", F.lit(3)), F.lit(3)) == 0
-    picked = members.withColumn("at", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))))
-    named = picked.select("grp", "at", "id").distinct().join(reps.select("id", "tokens", "s1", "s2"), "id")
-    return named.select(F.xxhash64("grp", "at", _token(F.col("tokens"), F.col("at"))).alias("grp"), "id", "s1", "s2")
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
     scratch = Scratch(docs.sparkSession, "near")
@@ -125,26 +108,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     groups = kept(shared_groups(first_nodes(classes)), "groups")
     texts = kept(payloads(docs, groups.select("id")), "texts")
-    tried, links, labels = None, None, None
-    candidates, level = None, groups
-    for depth in range(1, LEVELS + 1):
-        pairs = kept(star_pairs(level, NEAR_BITS), "stars")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = kept(verified(pairs, texts, shingle_set, PERCENT), "links")
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = kept(components(links), "labels")
-        level = kept(labelled(level, labels), "level")
-        is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
-        small = cross_pairs(level.where(is_small), NEAR_BITS)
-        candidates = small if candidates is None else candidates.union(small)
-        large = level.where(~is_small)
-        if large.isEmpty():
-            break
-        level = kept(shared_groups(child_nodes(large, classes)), "groups")
-    more = kept(candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(kept(verified(more, texts, shingle_set, PERCENT), "links"))
-    labels = kept(components(links), "components")
+    labels = connected(
+        groups, lambda ids: texts, lambda ids: classes, shingle_set, PERCENT, NEAR_BITS, COORDINATES, scratch
+    )
     scratch.drop("signed", "classes", "components")
 
     component = F.coalesce("component", "id")

@@ -82,3 +82,11 @@ def test_csv_overrides(spark, folder):
     spark.sql("select 'a;b' x, 1 y").write.option("header", True).option("sep", "|").csv(f"{folder}/c")
     assert read_csv(spark, f"{folder}/c", sep="|").dtypes == [("x", "string"), ("y", "int")]
     assert read_csv(spark, f"{folder}/c", "x string, y double", sep="|").first()["y"] == 1.0
+
+
+def test_every_file_of_a_landing_is_read(spark, folder):
+    for name in ("a.jsonl", "b.ndjson", "c.JSON", "d"):
+        spark.range(1).selectExpr("'{\"_id\": 1}' AS value").coalesce(1).write.text(f"{folder}/{name}.part")
+    spark.range(5).selectExpr("concat('{\"_id\": ', id, '}') AS value").write.option("compression", "bzip2").text(f"{folder}/packed")
+    assert read_lines(spark, folder).count() == 9
+    assert read_lines(spark, folder, pattern="*.bz2").count() == 5

@@ -47,11 +47,10 @@ def content_hash(spark, sf_dir):
 
 @query("source_key", f"""
   select line as body, case when value < 1 then null else source_id end as _source_id
-  from ({EVENT_LINES_SQL}) where value >= 1
+  from ({EVENT_LINES_SQL})
 """)
 def source_key(spark, sf_dir):
-    lines = event_lines(spark, sf_dir).where(F.json_object_keys("value").isNotNull())
-    return lines.select(F.col("value").alias("body"), key_of(F.col("value")).alias("_source_id"))
+    return event_lines(spark, sf_dir).select(F.col("value").alias("body"), key_of(F.col("value")).alias("_source_id"))
 
 
 @query("landing_parse", f"""

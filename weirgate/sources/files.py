@@ -11,8 +11,6 @@ from pyspark.sql.types import StructType
 
 from weirgate.session import path_exists
 
-LINE_FILES = "*.{txt,json,jsonl,gz,zst}"
-
 # Day partitions as Spark writes them, and nested by year and month.
 BY_DAY = "dt=%Y-%m-%d"
 BY_YEAR_MONTH_DAY = "%Y/%Y-%m/%Y-%m-%d"
@@ -21,16 +19,15 @@ BY_YEAR_MONTH_DAY = "%Y/%Y-%m/%Y-%m-%d"
 CSV_DEFAULTS = {"header": True, "inferSchema": True, "sep": ",", "encoding": "UTF-8"}
 
 
-def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
+def read_lines(spark: SparkSession, *paths: str, pattern: str | None = None) -> DataFrame:
     """Landing lines kept verbatim, with their file; blank lines are no documents.
 
+    Every file is read that Spark does not hide, whatever its ending; ``pattern`` narrows them by name.
     Reading text rather than JSON means no inference pass and no rewriting: one document
     never depends on its neighbours.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", LINE_FILES).option("recursiveFileLookup", "true").text(list(paths))
-    )
-    return with_source(lines)
+    options = {"recursiveFileLookup": "true"} | ({"pathGlobFilter": pattern} if pattern else {})
+    return with_source(spark.read.options(**options).text(list(paths)))
 
 
 def with_source(lines: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.plans.run import RunContext, load_lines, log_row
-from weirgate.sources.files import LINE_FILES, with_source
+from weirgate.sources.files import with_source
 from weirgate.spec import DatasetSpec, Limits
 
 # Files may come from anyone and are read once: bad lines are set aside and make the batch
@@ -21,7 +21,6 @@ def landing_stream(ctx: RunContext, folder: str, max_files: int = 200) -> DataFr
     lines = (
         ctx.spark.readStream.format("text")
         .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", LINE_FILES)
         .option("recursiveFileLookup", "true")
         .load(folder)
     )

@@ -32,16 +32,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     loops = links.where("a = b").select(F.col("a").alias("node"))
-    path = work_dir(spark, "links")
-    links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().write.parquet(path)
-    now = spark.read.parquet(path)
-    mark = _mark(now)
+    first = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    path, now, mark = _written(first)
     while True:
-        following = work_dir(spark, "links")
-        _larger_and_least(_larger_and_least(now, large=True), large=False).write.parquet(following)
+        following, now, after = _written(_larger_and_least(_larger_and_least(now, large=True), large=False))
         remove(spark, path)
-        path, now = following, spark.read.parquet(following)
-        before, mark = mark, _mark(now)
+        path, before, mark = following, mark, after
         if before == mark:
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -50,7 +46,11 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(alone.select("node", F.col("node").alias("component")))
 
 
-def _mark(links: DataFrame) -> tuple:
-    """What tells one set of links from another: its size and two sums of hashes."""
+def _written(links: DataFrame) -> tuple[str, DataFrame, tuple]:
+    """Where the links were written, what was written, and what tells one set of links from another: its size and
+    two sums of hashes."""
+    path = work_dir(links.sparkSession, "links")
+    links.write.parquet(path)
+    written = links.sparkSession.read.schema(links.schema).parquet(path)
     one, two = F.xxhash64("a", "b").cast("decimal(38,0)"), F.xxhash64("b", "a").cast("decimal(38,0)")
-    return tuple(links.agg(F.count("*"), F.sum(one), F.sum(two)).first())
+    return path, written, tuple(written.agg(F.count("*"), F.sum(one), F.sum(two)).first())

@@ -74,7 +74,8 @@ def verified(pairs: DataFrame, payloads: DataFrame, to_set: Callable[[bytes], np
         last, held = None, None
         for batch in batches:
             linked = []
-            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                left, right = left.as_py(), right.as_py()  # one pair at a time
                 if left != last:
                     last, held = left, to_set(left)
                 linked.append(near(held, to_set(right), percent))
@@ -141,14 +142,15 @@ def connected(
     then compared whatever its size.  ``payloads`` and ``reps`` fetch what belongs to the ids given.
     """
     kept = scratch.kept
-    tried, links, labels, candidates, level = None, None, None, None, groups
+    tried, labels, candidates, level = None, None, None, groups
     for depth in range(1, LEVELS + 1):
         pairs = kept(star_pairs(level, most_bits), "stars")
         tried = pairs if tried is None else tried.union(pairs)
         found = kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links")
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = kept(components(links), "labels")
+        if labels is None:
+            labels = kept(components(found), "labels")
+        elif not found.isEmpty():
+            labels = kept(relabelled(labels, found), "labels")
         level = kept(labelled(level, labels), "level")
         is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
         small = cross_pairs(level.where(is_small), most_bits)
@@ -158,8 +160,20 @@ def connected(
             break
         level = kept(shared_groups(child_groups(large, reps(large.select("id").distinct()), coordinates)), "groups")
     more = kept(candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti"), "pairs")
-    links = links.union(kept(verified(more, payloads(ends_of(more)), to_set, percent), "links"))
-    return kept(components(links), "components")
+    found = kept(verified(more, payloads(ends_of(more)), to_set, percent), "links")
+    return kept(relabelled(labels, found), "components")
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links.  What is linked is contracted to its components first, so only those are joined."""
+    nodes = ends_of(links).select(F.col("id").alias("node")).distinct()
+    fresh = nodes.join(labels, "node", "left_anti")
+    known = labels.select("node", "component").union(fresh.select("node", F.col("node").alias("component")))
+    ends = links.join(known.select(F.col("node").alias("a"), F.col("component").alias("x")), "a")
+    ends = ends.join(known.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
+    joined = components(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return known.join(joined, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20
+_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # an odd constant for multiplicative hashing
 
 
@@ -114,6 +115,22 @@ def one_permutation(shingles: np.ndarray, bins: int) -> np.ndarray:
     return spread[first[at % len(filled)]]
 
 
+def one_permutation_rows(shingles: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
+    """``one_permutation`` of many small sets that lie one after the other: a row of ``bins`` values for each."""
+    spread = mix(shingles)
+    of_bin = (spread >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64)
+    least = np.full(len(sizes) * bins, _EMPTY, np.uint64)
+    np.minimum.at(least, np.repeat(np.arange(len(sizes)) * bins, sizes) + of_bin, spread)
+    least = least.reshape(-1, bins)
+    places = np.where(least == _EMPTY, 2 * bins, np.arange(bins))
+    after = np.minimum.accumulate(places[:, ::-1], axis=1)[:, ::-1]
+    after = np.where(after == 2 * bins, places.min(axis=1, keepdims=True), after)  # past the last filled bin: the first
+    after[np.asarray(sizes) == 0] = 0
+    found = np.take_along_axis(least, after, axis=1)
+    found[np.asarray(sizes) == 0] = 0
+    return found
+
+
 def column_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, nulls as empty, and where each begins."""
     filled = pc.fill_null(texts, "").cast(pa.large_string())

@@ -90,3 +90,10 @@ def test_every_file_of_a_landing_is_read(spark, folder):
     spark.range(5).selectExpr("concat('{\"_id\": ', id, '}') AS value").write.option("compression", "bzip2").text(f"{folder}/packed")
     assert read_lines(spark, folder).count() == 9
     assert read_lines(spark, folder, pattern="*.bz2").count() == 5
+
+
+def test_text_after_the_first_document_is_rescued(spark):
+    texts = ['{"_id":1}', '{"_id":1}{"_id":2}', '{"_id":"1"} trailing', '{"_id":1},{"_id":2}', ' {"_id":3} ']
+    lines = small_frame(spark, [(t, "f") for t in texts], "value string, _source_file string")
+    found = {r["value"]: (r["_source_id"], r["_rescued_data"]) for r in bronze.parse_lines(lines).collect()}
+    assert found == {t: (None, t) for t in texts[1:4]} | {texts[0]: ("1", None), texts[4]: ("3", None)}

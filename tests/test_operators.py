@@ -227,3 +227,16 @@ def test_documents_as_files(spark, folder):
 def test_nested_text_keeps_microseconds(spark):
     df = spark.sql("select named_struct('t', timestamp_ntz'2024-01-01 00:00:00.000001', 'n', cast(null as int)) s")
     assert canonical_text(df).first()[0] == '{"t":"2024-01-01T00:00:00.000001","n":null}'
+
+
+def test_expand_copes_with_bodies_that_are_no_objects(spark):
+    df = small_frame(spark, [(1, '{"a":1,"VOIDED_AT":"now","n":null}'), (2, "[1]"), (3, "{"), (4, None), (5, '[{"a":7}]')], "n_row int, body string")
+    found = {r["n_row"]: r for r in expand(df, ["n_row"], rest="aside").collect()}
+    assert (found[1]["a"], found[1]["VOIDED_AT"], found[1]["n"], found[1]["aside"]) == (1, "now", None, None)
+    assert [(found[n]["a"], found[n]["aside"]) for n in (2, 3, 4, 5)] == [(None, "[1]"), (None, "{"), (None, None), (None, '[{"a":7}]')]
+
+
+def test_reconcile_takes_null_as_a_group(spark):
+    source = small_frame(spark, [(1, None), (2, None), (3, "b")], "id int, month string")
+    found = {r["month"]: (r["source_count"], r["written_count"], r["status"]) for r in reconcile(source, source, ["id"], ["month"]).collect()}
+    assert found == {None: (2, 2, "SUCCESS"), "b": (1, 1, "SUCCESS")}

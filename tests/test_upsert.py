@@ -114,3 +114,19 @@ def test_stored_rows_are_shuffled_once(spark, folder, monkeypatch):
     assert text.count("Exchange hashpartitioning(_bucket") == 1
     after_union = text[: text.index("Union")]
     assert after_union.count("Exchange") == 1
+
+
+def test_columns_that_a_batch_lacks_stay(spark, folder):
+    wide = small_frame(spark, [("a", 1, 1, "x"), ("b", 2, 1, "y")], DDL + ", extra string")
+    upsert(wide, folder, "k", newest())
+    for at in (2, 3):
+        upsert(frame(spark, ("b", at, at), ("c", at, at)), folder, "k", newest())
+    found = {r["k"]: (r["v"], r["extra"]) for r in read_keyed(spark, folder, DDL + ", extra string").collect()}
+    assert found == {"a": (1, "x"), "b": (3, "y"), "c": (3, None)}
+
+
+def test_a_row_without_a_key_is_refused(spark, folder):
+    upsert(frame(spark, ("a", 1, 1)), folder, "k", newest())
+    with pytest.raises(Exception, match="without a key"):
+        upsert(frame(spark, ("b", 2, 2), (None, 3, 2)), folder, "k", newest())
+    assert rows(spark, folder) == {"a": 1}

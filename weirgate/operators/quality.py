@@ -54,24 +54,34 @@ def reconcile(
     """Judge what arrived in ``target`` against ``source``, one row per group of ``by``.
 
     ``contracts`` (by, contract_ok) and ``thresholds`` (by, threshold_pct) are optional.
-    Only rows already aggregated to one per group are joined.
+    Only rows already aggregated to one per group are joined.  A null is a group like others.
     """
     expected = source.groupBy(*by).agg(F.count(F.lit(1)).alias("source_count"))
     arrived = batch_metrics(target, keys, by).withColumnRenamed("rows", "written_count")
     if by:
-        joined = expected.join(arrived, list(by), "full")
+        joined = _same_group(expected, arrived, by, "full")
     else:
         joined = arrived.withColumn("source_count", expected.scalar())
     joined = joined.na.fill(0, ["source_count", "written_count", "null_keys", "duplicate_keys"])
     joined = joined.na.fill(0.0, ["null_key_pct"])
     for extra in (contracts, thresholds):
         if extra is not None:
-            joined = joined.join(extra, list(by), "left")
+            joined = _same_group(joined, extra, by, "left")
     if contracts is None:
         joined = joined.withColumn("contract_ok", F.lit(True))
     return judge(joined, limits)
 
 
+def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """A join on groups in which null meets null."""
+    if not by:
+        return left.join(right, how=how)
+    other = {name: f"_right_{name}" for name in by}
+    right = right.withColumnsRenamed(other)
+    joined = left.join(right, [left[name].eqNullSafe(right[to]) for name, to in other.items()], how)
+    return joined.withColumns({name: F.coalesce(name, to) for name, to in other.items()}).drop(*other.values())
+
+
 def run_verdict(judged: DataFrame, run: str, dataset: str) -> DataFrame:
     """Per run: whether all its datasets passed, and which did not."""
     bad = F.col("status") == FAILED

@@ -105,18 +105,30 @@ def infer_schema(df: DataFrame, body: str = "body") -> DataFrame:
     return df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(body))).alias("schema"))
 
 
+_TYPE_WORD = re.compile(r"(?P<name>`(?:[^`]|``)*`|[^\s<>,:`]+(?=:))|\bOBJECT(?=<)|\bVOID\b")
+
+
 def schema_ddl(spark_schema: str) -> str:
-    """A variant schema as a type that ``from_json`` accepts."""
-    return (
-        spark_schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-        if spark_schema.startswith("OBJECT<") else "STRUCT<>"
-    )
+    """A variant schema as a type that ``from_json`` accepts.  Field names stay as they are."""
+    words = {"OBJECT": "STRUCT", "VOID": "STRING"}
+    if not spark_schema.startswith("OBJECT<"):
+        return "STRUCT<>"
+    return _TYPE_WORD.sub(lambda word: word[0] if word["name"] else words[word[0]], spark_schema)
 
 
-def expand(df: DataFrame, keep: Sequence[str], body: str = "body", schema: str | None = None) -> DataFrame:
-    """Top-level document fields as columns; without a schema it is inferred over all rows."""
-    ddl = schema or schema_ddl(infer_schema(df, body).first()[0] or "")
-    return df.select(*keep, F.from_json(F.col(body), ddl).alias("_doc")).select(*keep, "_doc.*")
+def expand(
+    df: DataFrame, keep: Sequence[str], body: str = "body", schema: str | None = None, rest: str | None = None
+) -> DataFrame:
+    """Top-level document fields as columns; without a schema it is inferred over all objects.
+
+    Bodies that are no objects have null fields.  ``rest`` names a column that takes their text.
+    """
+    is_object = F.coalesce(F.regexp_like(F.col(body), F.lit(r"^\s*\{")) & F.try_parse_json(F.col(body)).isNotNull(), F.lit(False))
+    objects = df.withColumn(body, F.when(is_object, F.col(body)))
+    ddl = schema or schema_ddl(infer_schema(objects, body).first()[0] or "")
+    aside = [F.when(~is_object, F.col(body)).alias(rest)] if rest else []
+    parsed = F.from_json(F.when(is_object, F.col(body)), ddl).alias("_doc")
+    return df.select(*keep, *aside, parsed).select(*keep, *([rest] if rest else []), "_doc.*")
 
 
 def read_variant(df: DataFrame, keep: Sequence[str], body: str = "body") -> DataFrame:

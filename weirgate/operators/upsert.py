@@ -16,6 +16,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from weirgate.operators.latest import latest_record
 from weirgate.session import folder_names, read_table, remove, small_frame
@@ -52,6 +54,16 @@ def _heads(spark: SparkSession, path: str) -> dict[int, Head]:
     }
 
 
+def _columns_besides(spark: SparkSession, path: str, heads: dict[int, Head], columns: Sequence[str]) -> list[T.StructField]:
+    """Stored columns that a batch lacks.  Each generation is written with all columns of those before it, so the
+    newest one that is visible knows them all."""
+    if not heads:
+        return []
+    newest = max(head.generation for head in heads.values())
+    known = {name.lower() for name in columns} | {"_bucket"}
+    return [f for f in spark.read.parquet(f"{path}/data/_generation={newest}").schema if f.name.lower() not in known]
+
+
 def _bucket_count(rows: int, rows_per_bucket: int) -> int:
     """Powers of two, so that growth is rare."""
     wanted = MIN_BUCKETS
@@ -89,24 +101,34 @@ def stage_upsert(
     spark = batch.sparkSession
     heads = _heads(spark, path)
     stored_rows = sum(h.stored_rows for h in heads.values())
-    rows = stored_rows if heads else batch.count()
+    rows, keyless = stored_rows, F.col(key).isNull().alias("keyless")
+    if not heads:
+        rows, without = batch.agg(F.count(F.lit(1)), F.count_if(keyless)).first()
+        _refuse(without > 0)
     had = next(iter(heads.values())).buckets if heads else 0
     buckets = max(had, _bucket_count(rows, rows_per_bucket))
-    if buckets == had:
-        touched = [r[0] for r in batch.select(_bucket(key, buckets)).distinct().collect()]
-        if not touched:
-            return small_frame(spark, [], _HEADS_DDL)
-        reread = touched
-    else:
-        reread = sorted(heads)
+    reread = sorted(heads)
+    if heads:
+        touched = batch.select(_bucket(key, buckets).alias("bucket"), keyless).distinct().collect()
+        _refuse(any(r["keyless"] for r in touched))
+        if buckets == had:
+            if not touched:
+                return small_frame(spark, [], _HEADS_DDL)
+            reread = [r["bucket"] for r in touched]
     generation = 1 + max((h.generation for h in heads.values()), default=0)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
+    only_stored = _columns_besides(spark, path, heads, batch.columns)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*batch.schema, *only_stored])
 
     incoming = latest_record(batch, [key], newest_first).withColumn("_incoming", F.lit(1))
     stored = _read_buckets(spark, path, heads, reread, ddl).withColumn("_incoming", F.lit(0))
-    both = stored.unionByName(incoming).withColumns({
+    both = stored.unionByName(incoming, allowMissingColumns=True).withColumns({
         "_bucket": _bucket(key, buckets), "_lane": F.pmod(F.hash(key), F.lit(LANES))
     }).repartition("_bucket", "_lane")
+    same_key = Window.partitionBy("_bucket", "_lane", key)  # one stored row at most, so there is one value to take
+    both = both.withColumns({
+        f.name: F.first(F.when(F.col("_incoming") == 0, F.col(f"`{f.name}`")), ignorenulls=True).over(same_key)
+        for f in only_stored
+    })
     merged = latest_record(both, ["_bucket", "_lane", key], [F.col("_incoming").desc()]).drop("_incoming", "_lane")
     folder = f"{path}/data/_generation={generation}"
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
@@ -116,6 +138,11 @@ def stage_upsert(
     )
 
 
+def _refuse(keyless: bool) -> None:
+    if keyless:
+        raise ValueError("upsert: a row without a key")
+
+
 def publish(heads: DataFrame, path: str) -> None:
     """Make a staged generation current."""
     heads.coalesce(1).write.mode("append").parquet(f"{path}/heads")

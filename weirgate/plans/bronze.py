@@ -32,19 +32,22 @@ def write_landing(df: DataFrame, path: str, *measures: Column, **options: str) -
 
 
 def parse_lines(lines: DataFrame, key: str = "_id") -> DataFrame:
-    """Key and parse failure of each line, from a single parse.
+    """Key and parse failure of each line.
 
-    The body stays the line itself.  ``_rescued_data`` is the line when it is not a JSON
-    object; such a line has no key.
+    The body stays the line itself.  ``_rescued_data`` is the line when it is not one JSON
+    object and nothing else; such a line has no key.
     """
     parsed = F.from_json(
         F.col("value"), f"struct<`{key}`:string,`_corrupt`:string>", {"columnNameOfCorruptRecord": "_corrupt"}
     )
-    return lines.withColumn("_parsed", parsed).select(
+    documents = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    more = (F.trim("value") != "") & (F.coalesce(documents, F.lit(0)) != 1)  # text after the first document
+    rescued = F.coalesce(F.col("_parsed._corrupt"), F.when(more, F.col("value")))
+    return lines.withColumn("_parsed", parsed).select("*", rescued.alias("_rescued_data")).select(
         "value",
         "_source_file",
-        unwrap_key(F.col("_parsed")[key]).alias("_source_id"),
-        F.col("_parsed._corrupt").alias("_rescued_data"),
+        F.when(F.col("_rescued_data").isNull(), unwrap_key(F.col("_parsed")[key])).alias("_source_id"),
+        "_rescued_data",
     )
 
 

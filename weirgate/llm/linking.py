@@ -4,6 +4,7 @@ still in different components."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,9 @@ from weirgate.session import remove, work_dir
 
 
 def shared_groups(members: DataFrame) -> DataFrame:
-    """The members (grp, id, s1, s2) of groups of two or more, with a pivot: one member, chosen by hash."""
-    chosen = F.min(F.struct(F.xxhash64("grp", "id").alias("by"), "id", "s1", "s2")).alias("pivot")
+    """The members (grp, id, s1, s2 and others) of groups of two or more, with a pivot: one member, chosen by hash."""
+    rest = [c for c in members.columns if c != "grp"]
+    chosen = F.min(F.struct(F.xxhash64("grp", "id").alias("by"), *rest)).alias("pivot")
     sizes = members.groupBy("grp").agg(F.count("*").alias("n"), chosen)
     return members.join(sizes.where("n > 1"), "grp")
 
@@ -29,22 +31,28 @@ def distance(left: str, right: str):
 
 
 def star_pairs(groups: DataFrame, most_bits: int) -> DataFrame:
-    """Each member with the pivot of its group, where their sketches are near."""
+    """Each member with the pivot of its group, where their sketches are near and, as far as their components are known,
+    these differ."""
     others = groups.where(F.col("id") != F.col("pivot.id")).where(distance("", "pivot.") <= most_bits)
+    if "component" in groups.columns:
+        others = others.where(F.col("component") != F.col("pivot.component"))
     return others.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
 
 
-def labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of groups that hold more than one component, with their component, the group's largest
-    one and how many pairs cross."""
-    named = groups.drop("component").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    named = named.withColumn("component", F.coalesce("component", "id"))
-    counted = named.groupBy("grp", "component").agg(F.count("*").alias("m"))
+def named(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members with the component that ``labels`` gives them, their own id where it gives none."""
+    found = groups.drop("component").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    return found.withColumn("component", F.coalesce("component", "id"))
+
+
+def mixed_groups(members: DataFrame) -> DataFrame:
+    """The members of groups that hold more than one component, with the group's largest one and how many pairs cross."""
+    counted = members.groupBy("grp", "component").agg(F.count("*").alias("m"))
     mixed = counted.groupBy("grp").agg(
         (F.sum(F.col("m")) ** 2 - F.sum(F.col("m") ** 2)).alias("crossing"),  # ordered pairs of different components
         F.sum("m").alias("members"), F.max(F.struct("m", "component")).alias("top"),
     ).where("crossing > 0")
-    return named.join(mixed.select("grp", "crossing", "members", F.col("top.component").alias("top")), "grp")
+    return members.join(mixed.select("grp", "crossing", "members", F.col("top.component").alias("top")), "grp")
 
 
 def cross_pairs(members: DataFrame, most_bits: int) -> DataFrame:
@@ -114,6 +122,7 @@ class Scratch:
 
 SMALL = 32
 LEVELS = 16
+FEW = 20  # links fewer than one in so many members leave the components of deeper levels as they are until the end
 
 
 def child_groups(members: DataFrame, reps: DataFrame, coordinates: int) -> DataFrame:
@@ -123,8 +132,8 @@ def child_groups(members: DataFrame, reps: DataFrame, coordinates: int) -> DataF
     two = F.pmod(F.xxhash64("grp", F.lit(2)), F.lit(coordinates)).cast("int")
     second = F.pmod(F.xxhash64("grp", F.lit(3)), F.lit(3)) == 0  # 4/3 tokens on average, one over the threshold
     picked = members.withColumn("at", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))))
-    named = picked.select("grp", "at", "id").distinct().join(reps.select("id", "tokens", "s1", "s2"), "id")
-    return named.select(F.xxhash64("grp", "at", token(F.col("at"))).alias("grp"), "id", "s1", "s2")
+    full = picked.select("grp", "at", "id", "component").distinct().join(reps.select("id", "tokens", "s1", "s2"), "id")
+    return full.select(F.xxhash64("grp", "at", token(F.col("at"))).alias("grp"), "id", "s1", "s2", "component")
 
 
 def token(coordinate: Column) -> Column:
@@ -139,19 +148,17 @@ def connected(
 
     Members meet their group's pivot.  A group whose members then have at most ``SMALL`` partners on average in other
     components is compared exhaustively; another is branched again by further tokens, up to ``LEVELS`` times, and
-    then compared whatever its size.  ``payloads`` and ``reps`` fetch what belongs to the ids given.
+    then compared whatever its size.  Below the first level members carry their components along; links that would
+    hardly change these are kept for the end.  ``payloads`` and ``reps`` fetch what belongs to the ids given.
     """
     kept = scratch.kept
-    tried, labels, candidates, level = None, None, None, groups
+    level = groups
+    tried = pairs = kept(star_pairs(level, most_bits), "stars")
+    found = kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links")
+    labels, waiting, candidates = kept(components(found), "labels"), [], None
+    level = named(level, labels)
     for depth in range(1, LEVELS + 1):
-        pairs = kept(star_pairs(level, most_bits), "stars")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links")
-        if labels is None:
-            labels = kept(components(found), "labels")
-        elif not found.isEmpty():
-            labels = kept(relabelled(labels, found), "labels")
-        level = kept(labelled(level, labels), "level")
+        level = kept(mixed_groups(level), "level")
         is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
         small = cross_pairs(level.where(is_small), most_bits)
         candidates = small if candidates is None else candidates.union(small)
@@ -159,9 +166,17 @@ def connected(
         if large.isEmpty():
             break
         level = kept(shared_groups(child_groups(large, reps(large.select("id").distinct()), coordinates)), "groups")
+        pairs = kept(star_pairs(level, most_bits), "stars")
+        if pairs.isEmpty():
+            continue
+        tried = tried.union(pairs)
+        waiting.append(kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links"))
+        if FEW * sum(links.count() for links in waiting) >= level.count():
+            labels = kept(relabelled(labels, reduce(DataFrame.union, waiting)), "labels")
+            level, waiting = named(level, labels), []
     more = kept(candidates.distinct().join(tried.distinct(), ["a", "b"], "left_anti"), "pairs")
-    found = kept(verified(more, payloads(ends_of(more)), to_set, percent), "links")
-    return kept(relabelled(labels, found), "components")
+    waiting.append(kept(verified(more, payloads(ends_of(more)), to_set, percent), "links"))
+    return kept(relabelled(labels, reduce(DataFrame.union, waiting)), "components")
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -142,6 +143,25 @@ def test_decontamination(spark, docs, benchmark):
     assert clean.columns == docs.columns and not {0, 1} & {r["doc_id"] for r in clean.collect()}
 
 
+@pytest.mark.parametrize("part", [1, 4])
+@pytest.mark.parametrize("percent", [1, 2, 3, 4, 5])
+def test_decontamination_finds_all_planted_edits(percent, part):
+    """Against the exact edit distance, with the edits anywhere or all in the first quarter of the item."""
+    random = np.random.default_rng(100 * part + percent)
+    items = [(r["item_id"], decontaminate.plain(r["text"])) for r in pq.read_table(f"{DEFAULT_DIR}/benchmark.parquet").to_pylist()]
+    around = [decontaminate.plain(t) for t in pq.read_table(f"{DEFAULT_DIR}/documents.parquet")["text"].to_pylist()[: len(items)]]
+    texts = []
+    for (_, item), text in zip(items, around):
+        for _ in range(percent * len(item) // 100):
+            at, kind = int(random.integers(len(item) // part)), random.integers(3)
+            item = item[:at] + ("" if kind == 0 else "q" if kind == 1 else "q" + item[at]) + item[at + 1 :]
+        texts.append(f"{text[-300:]} {item} {text[:300]}")
+    found = decontaminate.Finder(items).find(texts)
+    for (item_id, item), text, hits in zip(items, texts, found):
+        best = decontaminate.best_match(item, decontaminate.plain(text), int(decontaminate.EDITS * len(item)))
+        assert [h.distance for h in hits if h.item_id == item_id] == ([best[0]] if best else [])
+
+
 @pytest.mark.parametrize("item, text", [("abcdef", "xxabcdefxx"), ("abcdef", "xxabdefxx"), ("abcdef", "zzabcxdefz"), ("abcdef", "qqqq")])
 def test_best_match(item, text):
     cost = [list(range(len(item) + 1))]

@@ -1,12 +1,12 @@
 """Benchmark decontamination: passages of a document within a small edit distance of a benchmark item.
 
-The CGK random walk embeds a string so that edit distance becomes Hamming distance: at step ``j`` it writes the
-current character and moves on or not, as a random bit for (j, character) says.  ``repetitions()`` bit-sampling
-hashes of ``SAMPLED`` embedded places each find, for every item-sized window, the items whose embeddings agree
-there; every candidate is confirmed by its exact edit distance, at most ``EDITS`` of the item's length.
+The search is exact.  An item that may suffer ``k`` edits is cut into ``k + 1`` pieces; a passage within ``k`` edits
+holds at least one of them unchanged, moved by ``k`` characters at most.  Wherever a text holds a piece, at any
+character, the stretch that a passage around it can cover is confirmed by its exact edit distance, at most ``EDITS``
+of the item's length.
 
-Windows begin at words.  Only stretches that can hold an item are embedded: within ``k`` edits of an item of ``n``
-characters lie at least n - q + 1 - kq of its q-grams, so a stretch with fewer grams of any item holds none.
+Two counts that lose nothing keep most stretches from that: a passage of an item of ``n`` characters holds at least
+n - q + 1 - kq of its q-grams, so a stretch with fewer grams, first of any item and then of this one, holds none.
 
 Texts and items are compared lower-cased, blanks as one space.  Items of fewer than ``SHORTEST`` characters, and null
 ones, are too short to tell and are not looked for; null and empty texts hold nothing.  Rows repeated under one id
@@ -30,12 +30,10 @@ from weirgate.llm import text as tx
 
 EDITS = 0.05
 SHORTEST = 32
-GRAM = 12
-SAMPLED = 8
-AGREEMENT = 0.75  # share of embedded places that a passage at the limit keeps
-RECALL = 0.99
+GRAM = 12  # no piece is shorter: 13 at least, of items of 40 characters
 BLOCK_CHARS = 4 << 20
 SLICE_BYTES = 2 << 20
+PAIRS = 1 << 20
 _MESH_BITS = 24
 
 
@@ -48,10 +46,6 @@ class Hit(NamedTuple):
     distance: int
 
 
-def repetitions() -> int:
-    return math.ceil(math.log(1 - RECALL) / math.log(1 - AGREEMENT**SAMPLED))
-
-
 def plain(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
@@ -80,6 +74,8 @@ def best_match(item: str, text: str, limit: int) -> tuple[int, int] | None:
         rising, falling = down | ~(diagonal | up) & ones, up & diagonal
         if score < best[0]:
             best = (score, at + 1)
+            if not score:
+                break
     return best if best[0] <= limit else None
 
 
@@ -88,96 +84,98 @@ class Finder:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, t) for i, t in ((i, plain(t)) for i, t in items) if len(t) >= SHORTEST]
-        self.limits = [int(EDITS * len(t)) for _, t in self.items]
-        random = np.random.default_rng(20240229)
-        lengths = [len(t) for _, t in self.items]
-        self.longest = max(lengths, default=0)
-        # items of one class differ in length by less than a factor of two and share the embedded steps
-        self.classes: dict[int, list[int]] = {}
-        for at, length in enumerate(lengths):
-            self.classes.setdefault(1 << (length.bit_length() - 1), []).append(at)
-        steps = max(self.classes, default=1)
-        self.moves = random.integers(0, 2, (steps, 256), dtype=np.int64)
-        self.samples = {c: random.integers(0, c, (repetitions(), SAMPLED)) for c in self.classes}
-        grams = [tx.window_hashes(codes_of(t).astype(np.uint64), GRAM) for _, t in self.items]
+        self.lengths = np.array([len(t) for _, t in self.items], np.int64)
+        self.limits = np.array([int(EDITS * len(t)) for _, t in self.items], np.int64)
+        self.least = np.maximum(1, self.lengths - GRAM + 1 - GRAM * self.limits)
+        codes = [codes_of(t).astype(np.uint64) for _, t in self.items]
+        self.grams = [np.unique(tx.window_hashes(c, GRAM)) for c in codes]
         self.mesh = np.zeros(1 << _MESH_BITS, bool)
-        for hashed in grams:
+        for hashed in self.grams:
             self.mesh[hashed >> np.uint64(64 - _MESH_BITS)] = True
-        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for c, members in self.classes.items():
-            padded = np.zeros((len(members), 2 * c + 1), np.uint32)
-            for row, at in enumerate(members):
-                code = codes_of(self.items[at][1])
-                padded[row, : len(code)] = code
-            hashed = self._hashes(padded.ravel(), np.arange(len(members)) * padded.shape[1], c)
-            order = np.argsort(hashed.ravel(), kind="stable")
-            self.keys[c] = hashed.ravel()[order], np.repeat(members, hashed.shape[1])[order]
-
-    def _hashes(self, codes: np.ndarray, starts: np.ndarray, steps: int) -> np.ndarray:
-        """The sampled hashes of the embeddings of the windows that begin at ``starts``."""
-        written = np.empty((len(starts), steps), np.uint64)
-        at = starts.copy()
-        for step in range(steps):
-            current = codes[np.minimum(at, len(codes) - 1)]
-            written[:, step] = current
-            at = at + self.moves[step, current & 255]
-        keys = np.empty((len(starts), repetitions()), np.uint64)
-        for repetition, places in enumerate(self.samples[steps]):
-            key = np.full(len(starts), repetition + 1, np.uint64)
-            for place in places:
-                key = key * tx.FACTOR + written[:, place]
-            keys[:, repetition] = tx.mix(key)
-        return keys
+        pieces: dict[int, list[tuple[int, int, int]]] = {}
+        for member, (code, limit) in enumerate(zip(codes, self.limits)):
+            width = len(code) // (limit + 1)
+            hashed = tx.window_hashes(code, width)
+            for offset in (np.arange(limit + 1) * len(code) // (limit + 1)).tolist():
+                pieces.setdefault(int(width), []).append((int(hashed[offset]), member, offset))
+        # of each width the pieces' hashes in order, the items that they are of and where they begin there
+        self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for width, some in pieces.items():
+            hashed, members, offsets = zip(*sorted(some))
+            self.pieces[width] = np.array(hashed, np.uint64), np.array(members, np.int64), np.array(offsets, np.int64)
 
     def find(self, texts: list[str | None]) -> list[list[Hit]]:
         shapes = [plain(t) for t in texts]
         found: list[list[Hit]] = [[] for _ in texts]
-        codes = codes_of("\x00".join(shapes))
+        codes = codes_of("\x00".join(shapes)).astype(np.uint64)
         if not self.items or len(codes) < GRAM:
             return found
         bounds = np.cumsum([0, *[len(s) + 1 for s in shapes]])
-        held = self.mesh[tx.window_hashes(codes.astype(np.uint64), GRAM) >> np.uint64(64 - _MESH_BITS)]
+        grams = tx.window_hashes(codes, GRAM)
+        held = self.mesh[grams >> np.uint64(64 - _MESH_BITS)]
         upto = np.concatenate([[0], np.cumsum(held, dtype=np.int64), np.full(GRAM - 1, held.sum())])
-        begins = np.flatnonzero(np.concatenate([[True], (codes[:-1] == 32) | (codes[:-1] == 0)]))
-        for c, members in self.classes.items():
-            width = max(len(self.items[m][1]) + self.limits[m] for m in members)
-            least = min(max(1, len(self.items[m][1]) - GRAM + 1 - GRAM * self.limits[m]) for m in members)
-            ends = np.minimum(begins + width, len(upto) - 1)
-            before = np.maximum(begins - max(self.limits[m] for m in members), 0)
-            starts = begins[upto[ends] - upto[before] >= least]
-            for first in range(0, len(starts), 4096):
-                self._look(shapes, codes, bounds, starts[first : first + 4096], c, found)
-        return found
-
-    def _look(self, shapes, codes, bounds, starts, c, found) -> None:
-        known, owner = self.keys[c]
-        hashed = self._hashes(codes, starts, c)
-        left, right = np.searchsorted(known, hashed, "left"), np.searchsorted(known, hashed, "right")
-        windows, _ = np.nonzero(right > left)
-        pairs = {
-            (int(starts[w]), int(owner[at]))
-            for w, lo, hi in zip(windows, left[right > left], right[right > left]) for at in range(lo, hi)
-        }
-        done: dict[tuple[int, int], int] = {}
-        for start, member in sorted(pairs):
-            row = int(np.searchsorted(bounds, start, "right")) - 1
-            if done.get((row, member), -1) >= start:
+        stretches = list(self._stretches(codes, np.flatnonzero(held), bounds, upto))
+        if not stretches:
+            return found
+        row, member, low, high = np.concatenate(stretches, axis=1)
+        order = np.lexsort((low, member, row))
+        best: dict[tuple[int, int], Hit] = {}
+        for at, of, first, last in joined(row[order], member[order], low[order], high[order]):
+            known = best.get((at, of))
+            limit = known.distance - 1 if known else int(self.limits[of])
+            if limit < 0 or np.isin(grams[first:last], self.grams[of]).sum() < self.least[of]:
                 continue
-            item_id, item = self.items[member]
-            limit, shape, offset = self.limits[member], shapes[row], start - int(bounds[row])
-            low = max(0, offset - limit)
-            stretch = shape[low : offset + len(item) + limit]
+            begin = int(bounds[at])
+            item_id, item = self.items[of]
+            stretch = shapes[at][first - begin : last - begin]
             if (match := best_match(item, stretch, limit)) is None:
                 continue
-            around = max(0, low + match[1] - len(item) - 2 * limit)  # the window may have cut the passage
-            low, stretch = around, shape[around : low + match[1] + 2 * limit]
-            distance, end = best_match(item, stretch, limit) or match
-            back = best_match(item[::-1], stretch[max(0, end - len(item) - limit) : end][::-1], distance)
-            hit = Hit(item_id, low + end - (back[1] if back else len(item)), low + end, distance)
-            done[row, member] = start + len(item) // 2
-            others = [h for h in found[row] if h.item_id == item_id]
-            if not others or (distance, hit.start) < (others[0].distance, others[0].start):
-                found[row] = [h for h in found[row] if h.item_id != item_id] + [hit]
+            distance, end = match
+            before = stretch[max(0, end - len(item) - distance) : end]
+            back = best_match(item[::-1], before[::-1], distance) or (distance, len(before))
+            best[at, of] = Hit(item_id, first - begin + end - back[1], first - begin + end, distance)
+        for (at, _), hit in best.items():
+            if hit.item_id not in [h.item_id for h in found[at]]:
+                found[at].append(hit)
+                continue
+            found[at] = [min(h, hit, key=lambda x: (x.distance, x.start)) if h.item_id == hit.item_id else h for h in found[at]]
+        return found
+
+    def _stretches(self, codes: np.ndarray, places: np.ndarray, bounds: np.ndarray, upto: np.ndarray) -> Iterator[np.ndarray]:
+        """Text, item, begin and end of the stretches around pieces that have grams enough of any item."""
+        total = np.zeros(len(places), np.uint64)
+        for at in range(max(self.pieces)):
+            total = total * tx.FACTOR + codes[np.minimum(places + at, len(codes) - 1)]
+            if at + 1 not in self.pieces:
+                continue
+            known, members, offsets = self.pieces[at + 1]
+            hashed = tx.mix(total)
+            left, right = np.searchsorted(known, hashed, "left"), np.searchsorted(known, hashed, "right")
+            some = np.flatnonzero((right > left) & (places + at < len(codes)))
+            counts = right[some] - left[some]
+            block = np.cumsum(counts) // PAIRS
+            for part in np.split(np.arange(len(some)), np.flatnonzero(np.diff(block)) + 1):
+                n = counts[part]
+                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                piece, place = np.repeat(left[some[part]], n) + within, np.repeat(places[some[part]], n)
+                member, start = members[piece], place - offsets[piece]
+                row = np.searchsorted(bounds, place, "right") - 1
+                low = np.maximum(start - self.limits[member], bounds[row])
+                high = np.minimum(start + self.lengths[member] + self.limits[member], bounds[row + 1] - 1)
+                high = np.maximum(high, low)
+                enough = upto[high] - upto[low] >= self.least[member]
+                yield np.stack([row, member, low, high])[:, enough]
+
+
+def joined(row: np.ndarray, member: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The stretches, ordered by text, item and begin, with those that overlap made one."""
+    merged: list[tuple[int, int, int, int]] = []
+    for at, of, first, last in zip(row.tolist(), member.tolist(), low.tolist(), high.tolist()):
+        if merged and merged[-1][:2] == (at, of) and first <= merged[-1][3]:
+            merged[-1] = (at, of, merged[-1][2], max(last, merged[-1][3]))
+        else:
+            merged.append((at, of, first, last))
+    return merged
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:

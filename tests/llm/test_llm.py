@@ -224,6 +224,33 @@ def test_mix(docs):
     assert sum({r["source"]: r["target"] for r in found}.values()) == pytest.approx(sum(r["size"] for r in found))
 
 
+def test_mix_holds_its_texts(docs):
+    some = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).localCheckpoint()
+    texts = {r["doc_id"]: r["text"] for r in some.collect()}
+    ordered = mixing.sequence(some).orderBy("slot", "at").collect()
+    taken, laps, slots = {}, {}, {}
+    for r in ordered:
+        words = r["text"].split()
+        assert words == texts[r["doc_id"]].split()[r["first_word"] : r["first_word"] + r["words"]] and len(words) == r["words"]
+        assert r["text"] in texts[r["doc_id"]]
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["words"]
+        slots.setdefault(r["slot"], []).append((r["at"], r["words"], r["source"]))
+        laps.setdefault((r["doc_id"], r["first_word"]), r["text"])
+    assert taken == {r["doc_id"]: r["taken"] for r in mixing.mix(some).collect() if r["taken"]}
+    for cuts in slots.values():  # each slot is one block of one source, without gaps
+        assert [at for at, _, _ in cuts] == [sum(n for _, n, _ in cuts[:i]) for i in range(len(cuts))]
+        assert sum(n for _, n, _ in cuts) <= mixing.BLOCK and len({source for _, _, source in cuts}) == 1
+    whole = [d for d in taken if sum(len(t.split()) for (i, _), t in laps.items() if i == d) == len(texts[d].split())]
+    assert whole
+    for d in whole:
+        assert "".join(t for _, t in sorted((at, t) for (i, at), t in laps.items() if i == d)) == texts[d]
+
+
+def test_pipeline_ends_with_texts(spark):
+    out = corpus_pipeline.STAGES[-1][1](spark, spark.read.parquet(f"{DEFAULT_DIR}/documents.parquet"), DEFAULT_DIR).collect()
+    assert out and all(sum(len(p["text"].split()) for p in r["pieces"]) == r["taken"] > 0 for r in out)
+
+
 def test_language_and_toxicity(spark):
     docs = spark.read.parquet(f"{DEFAULT_DIR}/documents.parquet").selectExpr("*", "doc_id % 3 = 0 AS held_out")
     model = language.fit(docs.where("NOT held_out"))

@@ -10,6 +10,9 @@ times its own size, the excess going to the others by weight.  A null or empty t
 A null source is a source.  Rows repeated under one id are documents of their own.  An empty table gives an empty
 result.  Other columns are not read.  Reruns agree.
 
+``sequence`` is the mix itself, with its texts; ``mixed`` has the same pieces by document; ``mix`` counts them.  A piece
+is cut from its text as it stands: blanks go with the word before them, those that begin a text with its first word.
+
 Running sums go over ranges first and inside a range after, so no window holds a whole source.
 """
 
@@ -27,18 +30,19 @@ PHI = 0.6180339887498949
 BLOCK = 64
 LAPS = 3
 WORD = r"[^\x20\x09-\x0D]+"
+WORD_AND_BLANKS = r"(?:\A[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"
 CELLS = 1024
 RANGE_ROWS = 20_000
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, *also: str) -> DataFrame:
     """doc_id, source, size and place in the shuffle, written once, each row with a number of its own."""
     path = work_dir(docs.sparkSession, "mix-sizes")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("place"),
-        F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("row"), *also,
     ).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
@@ -102,7 +106,8 @@ def schedule(rows: DataFrame, sources: DataFrame, total: int) -> DataFrame:
 
 
 def blocks(rows: DataFrame, sources: DataFrame, count: int) -> DataFrame:
-    """The shuffled documents cut into blocks: source number, block, row and the words that lie in it."""
+    """The shuffled documents cut into blocks: source number, block, row and the words that lie in it, with the
+    place of the first in the block (``at``)."""
     digits = max(1, math.ceil(math.log(max(count / RANGE_ROWS, 1), 16)))
     numbered = rows.join(sources.select(F.col("source").alias("_of"), "number"), F.col("source").eqNullSafe(F.col("_of")))
     numbered = numbered.where("size > 0").select("row", "number", "size", "place", "doc_id")
@@ -111,31 +116,34 @@ def blocks(rows: DataFrame, sources: DataFrame, count: int) -> DataFrame:
     cut = put.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((end - 1) / BLOCK))))
     first = F.greatest(F.col("start"), F.col("block") * BLOCK)
     return cut.select(
-        "number", "block", "row", (first - F.col("start")).alias("first_word"),
+        "number", "block", "row", (first - F.col("block") * BLOCK).alias("at"), (first - F.col("start")).alias("first_word"),
         (F.least(end, (F.col("block") + 1) * BLOCK) - first).alias("words"),
     )
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Per document: its size, its source's size and target, and the words that the mix takes of it."""
-    spark = docs.sparkSession
-    rows = sized(docs)
+def pieces(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sources with their targets, and what the slots take: slot, word of the slot (``at``), row, first_word, words."""
+    spark = rows.sparkSession
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("total")).first()
     path = work_dir(spark, "mix-targets")
     targets(rows).write.parquet(path)
     sources = spark.read.parquet(path)
-    slots = schedule(rows, sources, totals["total"])
     held = sources.select("number", F.ceil(F.col("source_size") / BLOCK).alias("n_blocks"))
     uses = (
-        slots.join(held, "number")
+        schedule(rows, sources, totals["total"]).join(held, "number")
         .where(F.col("rank") < LAPS * F.col("n_blocks"))
-        .groupBy("number", (F.col("rank") % F.col("n_blocks")).alias("block"))
-        .agg(F.count("*").alias("uses"))
+        .select("slot", "number", (F.col("rank") % F.col("n_blocks")).alias("block"))
     )
-    taken = (
-        blocks(rows, sources, totals["n"]).join(uses, ["number", "block"])
-        .groupBy("row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    return sources, blocks(rows, sources, totals["n"]).join(uses, ["number", "block"]).select(
+        "slot", "at", "row", "first_word", "words"
     )
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """Per document: its size, its source's size and target, and the words that the mix takes of it."""
+    rows = sized(docs)
+    sources, cut = pieces(rows)
+    taken = cut.groupBy("row").agg(F.sum("words").alias("taken"))
     about = sources.select(F.col("source").alias("_of"), "source_size", "target")
     return (
         rows.join(about, F.col("source").eqNullSafe(F.col("_of")))
@@ -144,6 +152,35 @@ def mix(docs: DataFrame) -> DataFrame:
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """Per document in the mix: its size, the words taken of it, and ``pieces``: slot, at, first_word, words, text.
+
+    Ordered by slot and ``at``, the pieces of all documents are the mix.
+    """
+    rows = sized(docs, "text")
+    _, cut = pieces(rows.drop("text"))
+    of_row = cut.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("slot", "at", "first_word", "words"))).alias("cuts"),  # one document's
+        F.sum("words").cast("long").alias("taken"),
+    )
+    split = rows.join(of_row, "row").withColumn("split", F.regexp_extract_all("text", F.lit(WORD_AND_BLANKS), F.lit(0)))
+
+    def piece(cut: Column) -> Column:
+        words = F.slice("split", (cut["first_word"] + 1).cast("int"), cut["words"].cast("int"))
+        return F.struct(
+            cut["slot"].alias("slot"), cut["at"].alias("at"), cut["first_word"].alias("first_word"),
+            cut["words"].alias("words"), F.array_join(words, "").alias("text"),
+        )
+
+    return split.select("doc_id", "source", "size", "taken", F.transform("cuts", piece).alias("pieces"))
+
+
+def sequence(docs: DataFrame) -> DataFrame:
+    """The mix, to be ordered by slot and ``at``: slot, at, doc_id, source, first_word, words, text."""
+    flat = mixed(docs).select("doc_id", "source", F.explode("pieces").alias("p"))
+    return flat.select("p.slot", "p.at", "doc_id", "source", "p.first_word", "p.words", "p.text")
+
+
 SQL = rf"""
 WITH r AS (
   SELECT row_number() OVER () AS row, doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS place,

@@ -162,6 +162,15 @@ def test_decontamination_finds_all_planted_edits(percent, part):
         assert [h.distance for h in hits if h.item_id == item_id] == ([best[0]] if best else [])
 
 
+@pytest.mark.parametrize("edits", [0, 4])
+def test_decontamination_in_text_without_blanks(edits):
+    random = np.random.default_rng(7)
+    item, before = ("".join(map(chr, random.integers(0x4E00, 0x9000, n))) for n in (80, 500))
+    passage = item[edits:]
+    hits = decontaminate.Finder([(1, item)]).find([before + passage + before, before])
+    assert hits == [[decontaminate.Hit(1, 500, 500 + len(passage), edits)], []]
+
+
 @pytest.mark.parametrize("item, text", [("abcdef", "xxabcdefxx"), ("abcdef", "xxabdefxx"), ("abcdef", "zzabcxdefz"), ("abcdef", "qqqq")])
 def test_best_match(item, text):
     cost = [list(range(len(item) + 1))]

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontaminate, language, licenses, lines, lm, mixing, near, pii, quality, toxicity
+from weirgate.llm import decontaminate, language, licenses, lines, lm, manifest, mixing, near, pii, quality, toxicity
 from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pitman_yor": shipped(pitman_yor),
     "op2_fuzzy_lines": shipped(fuzzy_lines),
@@ -88,8 +92,10 @@ QUERIES: dict[str, Query] = {
     "op8_quality_cascade": shipped(quality_cascade),
     "op9_personal_data": shipped(personal_data),
     "op10_license_templates": shipped(license_templates),
+    "op12_merkle_manifest": shipped(merkle_manifest),
 }
 ORACLE: dict[str, str] = {
     "op6_source_schedule": mixing.SQL,
     "op8_quality_cascade": quality.SQL,
+    "op12_merkle_manifest": manifest.SQL,
 }

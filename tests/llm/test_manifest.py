@@ -93,11 +93,20 @@ def test_steps_rebuild_the_root_from_a_replacement(spark):
         value, siblings = row["leaf"], []
         for step in row["steps"]:
             assert step["slot"] == len(step["left"])
+            resumed = np.frombuffer(step["state"], ">u4").astype(np.uint32)[None]
+            assert (resumed == state_after(step["left"])).all()
             siblings += step["left"] + step["right"]
             value = h(*step["left"], value, *step["right"])
         assert value == row["root"] == row["folded_root"] and h(*siblings) == row["proof_sha256"]
 
 
+def state_after(texts):
+    state = hash_states.fresh(1)
+    for text in texts:
+        state = hash_states.absorb(state, np.frombuffer(text.encode(), ">u4").astype(np.uint32)[None])
+    return state
+
+
 def test_states_resume():
     rng = np.random.default_rng(1)
     nodes = rng.integers(0, 2**32, (7, 8), dtype=np.uint32)

@@ -244,7 +244,7 @@ def _proofs(with_steps: bool):
             subroot = [x.hex() for x in slab.tops.column("subroot").to_pylist()]
             root = [x.hex() for x in slab.tops.column("root").to_pylist()]
             listed = [
-                _readable(np.concatenate([steps[i][real[i]], above[g]])) if with_steps else None for i, g in enumerate(group)
+                _readable(steps[i][real[i]].tobytes() + above[g].tobytes()) if with_steps else None for i, g in enumerate(group)
             ]
             yield pa.RecordBatch.from_arrays([
                 slab.table.column("doc_id").combine_chunks(),
@@ -262,9 +262,9 @@ _STEPS_ARROW = pa.list_(pa.struct([
 ]))
 
 
-def _readable(path: np.ndarray) -> list[dict]:
+def _readable(path: bytes) -> list[dict]:
     found = []
-    for step in path:
+    for step in np.frombuffer(path, STEP):
         slot, siblings = int(step["slot"]), [s.tobytes().hex() for s in step["siblings"][: int(step["kids"]) - 1]]
         found.append({"slot": slot, "state": step["state"].tobytes(), "left": siblings[:slot], "right": siblings[slot:]})
     return found

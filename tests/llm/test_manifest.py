@@ -114,6 +114,6 @@ def test_states_resume():
     texts = [x.hex() for x in hash_states.to_bytes(nodes)]
     assert hash_states.to_bytes(roots)[0].hex() == folded(texts, 0, texts[0])[0]
     # The copy before a slot is the state after the children to its left, and no more than that is needed.
-    state = hash_states.absorb(levels[0].states[1, 1], hash_states.hex_block(nodes[4:5]))
+    state = hash_states.absorb(levels[0].states[1, 1][None], hash_states.hex_block(nodes[4:5]))
     state = hash_states.absorb(state, hash_states.hex_block(nodes[5:6]))
     assert hash_states.to_bytes(hash_states.finish(state, np.array([3])))[0].hex() == h(*texts[3:6])

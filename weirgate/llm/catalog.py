@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.llm import decontaminate, language, licenses, lines, lm, manifest, mixing, near, pii, quality, spelling, toxicity
+from weirgate.llm import decontaminate, language, licenses, lines, lm, manifest, mixing, near, pii, quality, secrets, spelling, toxicity
 from weirgate.llm.sampling import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,10 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def secret_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pitman_yor": shipped(pitman_yor),
     "op2_fuzzy_lines": shipped(fuzzy_lines),
@@ -96,12 +100,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_cascade": shipped(quality_cascade),
     "op9_personal_data": shipped(personal_data),
     "op10_license_templates": shipped(license_templates),
+    "op11_secret_models": shipped(secret_models),
     "op12_merkle_manifest": shipped(merkle_manifest),
     "op13_spelling_variants": shipped(spelling_variants),
 }
 ORACLE: dict[str, str] = {
     "op6_source_schedule": mixing.SQL,
     "op8_quality_cascade": quality.SQL,
+    "op11_secret_models": secrets.SQL,
     "op12_merkle_manifest": manifest.SQL,
     "op13_spelling_variants": spelling.SQL,
 }

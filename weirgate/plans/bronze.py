@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weirgate.functions.columns import content_hash, is_blank_list
 from weirgate.functions.json_values import document, unwrap_key
 from weirgate.operators import contract as contracts
+from weirgate.operators.rescue import rescued
 from weirgate.plans.control import not_failed
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL
 from weirgate.session import read_table, remove
@@ -51,6 +53,15 @@ def parse_lines(lines: DataFrame, key: str = "_id") -> DataFrame:
     )
 
 
+def with_rescued_fields(parsed: DataFrame, schema: StructType) -> DataFrame:
+    """Parsed lines with the fields outside of the schema in ``_rescued_data``.
+
+    The body stays the line as it came.  Lines without a key go to quarantine whole, so nothing is rescued from them.
+    """
+    outside = F.when(F.col("_source_id").isNotNull(), rescued(F.col("value"), schema))
+    return parsed.withColumn("_rescued_data", F.coalesce("_rescued_data", outside))
+
+
 def shape(
     parsed: DataFrame, run_id: str, at: dt.datetime, source_tag: str, load_type: str
 ) -> DataFrame:

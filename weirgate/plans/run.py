@@ -15,6 +15,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weirgate import __version__
 from weirgate.functions.marks import mark_text
@@ -86,18 +87,21 @@ def _verdict(ctx: RunContext, spec: DatasetSpec, seen: int, written: int, metric
     return judge(small_frame(ctx.spark, [row], ddl), ctx.limits).first()
 
 
-def load_lines(ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: str, seen: int | None) -> dict:
+def load_lines(
+    ctx: RunContext, spec: DatasetSpec, lines: DataFrame, load_id: str, seen: int | None, schema: StructType | None = None
+) -> dict:
     """Lines into the dataset's table, judged and published; returns the run-log values.
 
     ``seen`` is the count at the source; without an independent source it is what the files
-    hold, quarantine included.
+    hold, quarantine included.  With a ``schema``, fields outside of it are rescued.
     """
     spark, layout = ctx.spark, ctx.layout
     upserting = spec.upserts(ctx.force_full)
     load_type = "full" if ctx.force_full else spec.load_type
-    shaped = bronze.shape(
-        bronze.parse_lines(lines, spec.key), load_id, ctx.at, ctx.source_tag, load_type
-    )
+    parsed = bronze.parse_lines(lines, spec.key)
+    if schema is not None:
+        parsed = bronze.with_rescued_fields(parsed, schema)
+    shaped = bronze.shape(parsed, load_id, ctx.at, ctx.source_tag, load_type)
     contract = ctx.contracts.get(spec.name)
     counts = bronze.append_load(shaped, layout.bronze(spec.name), load_id, contract)
     stored = bronze.read_load(spark, layout.bronze(spec.name), load_id)

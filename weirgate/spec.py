@@ -112,3 +112,6 @@ class Layout:
 
     def checkpoint(self, dataset: str) -> str:
         return f"{self.root}/checkpoints/{dataset}"
+
+    def schemas(self, dataset: str) -> str:
+        return f"{self.root}/schemas/{dataset}"

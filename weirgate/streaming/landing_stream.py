@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weirgate.plans.run import RunContext, load_lines, log_row
 from weirgate.sources.files import with_source
 from weirgate.spec import DatasetSpec, Limits
+from weirgate.streaming.schema_store import evolve
 
 # Files may come from anyone and are read once: bad lines are set aside and make the batch
 # partial, but no verdict hides the good ones.
@@ -28,10 +29,13 @@ def landing_stream(ctx: RunContext, folder: str, max_files: int = 200) -> DataFr
 
 
 def consume_landing(
-    ctx: RunContext, spec: DatasetSpec, folder: str | None = None, max_files: int = 200, limits: Limits = TOLERANT
+    ctx: RunContext, spec: DatasetSpec, folder: str | None = None, max_files: int = 200, limits: Limits = TOLERANT,
+    schema_mode: str | None = None,
 ) -> int:
     """Load every file that the checkpoint has not seen yet; returns the micro-batches run.
 
+    With a ``schema_mode`` the dataset keeps a schema (``schema_store``), and fields outside of it are rescued.
+
     The load id is made of the query's id and the batch number, both kept by the checkpoint.
     A batch that is repeated after a crash therefore replaces its own rows and its own
     run-log row, whatever process repeats it.
@@ -46,7 +50,8 @@ def consume_landing(
         query_id = context.getLocalProperty("sql.streaming.queryId")
         load_id = f"{query_id}-{batch_id:08d}"
         here = replace(ctx, spark=batch.sparkSession)
-        values = load_lines(here, spec, batch, load_id, None)
+        schema = evolve(batch, ctx.layout.schemas(spec.name), load_id, schema_mode) if schema_mode else None
+        values = load_lines(here, spec, batch, load_id, None, schema)
         log_row(here, spec, load_id, start, values)
         done += 1
 

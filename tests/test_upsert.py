@@ -1,5 +1,7 @@
 """Keyed tables: replace, insert, crash, growth."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
@@ -130,3 +132,71 @@ def test_a_row_without_a_key_is_refused(spark, folder):
     with pytest.raises(Exception, match="without a key"):
         upsert(frame(spark, ("b", 2, 2), (None, 3, 2)), folder, "k", newest())
     assert rows(spark, folder) == {"a": 1}
+
+
+def table_of(spark, n):
+    return spark.range(n).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"), F.lit(1).cast("bigint").alias("t"))
+
+
+def test_small_batches_write_in_proportion(spark, folder):
+    upsert(table_of(spark, 2000), folder, "k", newest())
+    expected = {str(i): i for i in range(2000)}
+    written = 0
+    for n in range(6):
+        batch = table_of(spark, 2000).where(f"v % 97 = {n}").withColumn("v", F.col("v") * 10 + n)
+        heads = stage_upsert(batch, folder, "k", newest())
+        assert not any(r["whole"] for r in heads.collect())
+        written += sum(r["stored_rows"] for r in heads.collect())
+        publish(heads, folder)
+        expected |= {r["k"]: r["v"] for r in batch.collect()}
+        assert rows(spark, folder) == expected
+    assert written == sum(1 for i in range(2000) if i % 97 < 6)
+
+
+def test_a_bucket_is_written_whole_when_its_changes_pass_their_share(spark, folder, monkeypatch):
+    upsert(table_of(spark, 400), folder, "k", newest())
+    kinds = []
+    for n in range(5):
+        heads = stage_upsert(table_of(spark, 400).where(f"v % 10 = {n}").withColumn("v", F.lit(n).cast("bigint")), folder, "k", newest())
+        kinds.append({r["whole"] for r in heads.collect()})
+        publish(heads, folder)
+    assert kinds[0] == {False} and True in kinds[2] | kinds[3]
+    assert rows(spark, folder) == {str(i): i % 10 if i % 10 < 5 else i for i in range(400)}
+    monkeypatch.setattr(module, "MAX_CHANGES", 0)
+    heads = stage_upsert(table_of(spark, 1), folder, "k", newest())
+    assert {r["whole"] for r in heads.collect()} == {True}
+
+
+def test_changes_keep_columns_and_refuse_keyless_rows(spark, folder):
+    wide = table_of(spark, 400).withColumn("extra", F.concat(F.lit("x"), "k"))
+    upsert(wide, folder, "k", newest())
+    upsert(wide.where("v = 7").withColumn("extra", F.lit("changed")), folder, "k", newest())
+    upsert(table_of(spark, 400).where("v in (7, 8)").withColumn("v", F.lit(-1).cast("bigint")), folder, "k", newest())
+    found = {r["k"]: (r["v"], r["extra"]) for r in read_keyed(spark, folder, DDL + ", extra string").collect()}
+    assert len(found) == 400 and found["7"] == (-1, "changed") and found["8"] == (-1, "x8") and found["9"] == (9, "x9")
+    with pytest.raises(Exception, match="without a key"):
+        upsert(frame(spark, (None, 3, 2)), folder, "k", newest())
+
+
+def test_an_order_decides_between_stored_and_incoming(spark, folder):
+    order = [F.col("t").desc(), F.col("v").desc()]
+    upsert(table_of(spark, 400).withColumn("t", F.lit(5).cast("bigint")), folder, "k", newest(), order=order)
+    upsert(frame(spark, ("1", 100, 4), ("2", 200, 6), ("3", 1, 5), ("4", 9, 5)), folder, "k", newest(), order=order)
+    found = {r["k"]: r["v"] for r in read_keyed(spark, folder, DDL, order).collect()}
+    assert (found["1"], found["2"], found["3"], found["4"]) == (1, 200, 3, 9)
+    upsert(table_of(spark, 400).withColumn("t", F.lit(1).cast("bigint")), folder, "k", newest(), order=order)  # whole again
+    assert {r["k"]: r["v"] for r in read_keyed(spark, folder, DDL, order).collect()} == found
+
+
+def test_reads_open_live_generations_only(spark, folder):
+    upsert(table_of(spark, 400), folder, "k", newest())
+    upsert(table_of(spark, 400), folder, "k", newest())
+    assert "dynamicpruning" in read_keyed(spark, folder, DDL)._jdf.queryExecution().toString()
+    break_files(f"{folder}/data/_generation=1")  # nothing opens them
+    assert len(rows(spark, folder)) == 400
+
+
+def break_files(path):
+    for file in Path(path.removeprefix("file:")).rglob("*.parquet"):
+        file.write_bytes(b"broken")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)

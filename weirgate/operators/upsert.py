@@ -1,12 +1,14 @@
 """Keyed upsert into Parquet, for catalogs without a table format that has MERGE.
 
-Rows live in hash buckets of their key.  An upsert rewrites the buckets it touches into a new
-generation and then appends one small file that names the current generation per bucket.
-That append is the only step readers can see, so a crash at any point leaves either the old
-table or the new one.  One writer per table at a time.
-
-Buckets have a bounded size: when the table has grown past ``rows_per_bucket`` on average,
-the next upsert rewrites it into more of them.
+Rows live in hash buckets of their key.  A batch is written as one new generation: a bucket of which it changes a
+small part gets only the changed rows, any other bucket is written whole.  Readers take the newest row per key in
+buckets that hold such changes and read all others as they are.  Then one small file is appended that names the
+generation of each touched bucket.  That append is the only step readers can see, so a crash at any point leaves
+either the old table or the new one.  One writer per table at a time.
+
+So a batch writes rows in proportion to its size: a bucket is written whole once its changes pass ``FOLD_SHARE`` of
+it or come in ``MAX_CHANGES`` pieces.  Buckets have a bounded size: when the table has grown past ``rows_per_bucket``
+on average, the next upsert rewrites it into more of them.
 """
 
 from __future__ import annotations
@@ -25,32 +27,49 @@ from weirgate.session import folder_names, read_table, remove, small_frame
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 4
 LANES = 8
+FOLD_SHARE = 0.25
+MAX_CHANGES = 16
 
-_HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint"
+_HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint, whole boolean, key string"
 
 
 class Head(NamedTuple):
-    """Current generation of one bucket."""
+    """State of one bucket: its last whole generation, and the generations of changes since."""
 
     generation: int
     buckets: int
     stored_rows: int
+    changes: int
+    changed_rows: int
+    newest: int
+    key: str | None
 
 
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def _past(spark: SparkSession, path: str) -> DataFrame:
+    """All published heads with ``base``, the last whole generation of their bucket.  A repeated publish counts once."""
+    past = read_table(spark, f"{path}/heads", _HEADS_DDL).withColumn("whole", F.coalesce("whole", F.lit(True)))
+    base = F.max(F.when(F.col("whole"), F.col("generation"))).over(Window.partitionBy("bucket", "buckets"))
+    return past.distinct().withColumn("base", base)
+
+
 def _heads(spark: SparkSession, path: str) -> dict[int, Head]:
-    """At most one row per bucket; heads of an earlier number of buckets are history."""
-    past = read_table(spark, f"{path}/heads", _HEADS_DDL)
-    newest = F.max_by(F.struct("generation", "buckets", "stored_rows"), "generation").alias("head")
-    rows = past.groupBy("bucket").agg(newest).select("bucket", "head.*").collect()
-    if not rows:
-        return {}
-    buckets = max(rows, key=lambda r: r["generation"])["buckets"]
+    """At most one entry per bucket; heads of an earlier number of buckets are history."""
+    since = F.col("generation") > F.col("base")
+    rows = _past(spark, path).groupBy("bucket", "buckets").agg(
+        F.max("base").alias("generation"),
+        F.max(F.when(~since & F.col("whole") & (F.col("generation") == F.col("base")), F.col("stored_rows"))).alias("stored_rows"),
+        F.count_if(since).alias("changes"),
+        F.coalesce(F.sum(F.when(since, F.col("stored_rows"))), F.lit(0)).alias("changed_rows"),
+        F.max("generation").alias("newest"), F.max("key").alias("key"),
+    ).collect()
+    buckets = max((r["buckets"] for r in rows), default=0)
     return {
-        r["bucket"]: Head(r["generation"], r["buckets"], r["stored_rows"]) for r in rows if r["buckets"] == buckets
+        r["bucket"]: Head(r["generation"], r["buckets"], r["stored_rows"], r["changes"], r["changed_rows"], r["newest"], r["key"])
+        for r in rows if r["buckets"] == buckets
     }
 
 
@@ -59,7 +78,7 @@ def _columns_besides(spark: SparkSession, path: str, heads: dict[int, Head], col
     newest one that is visible knows them all."""
     if not heads:
         return []
-    newest = max(head.generation for head in heads.values())
+    newest = max(head.newest for head in heads.values())
     known = {name.lower() for name in columns} | {"_bucket"}
     return [f for f in spark.read.parquet(f"{path}/data/_generation={newest}").schema if f.name.lower() not in known]
 
@@ -72,70 +91,92 @@ def _bucket_count(rows: int, rows_per_bucket: int) -> int:
     return wanted
 
 
-def _folder(path: str, generation: int, bucket: int) -> str:
-    return f"{path}/data/_generation={generation}/_bucket={bucket}"
-
-
-def _read_buckets(spark: SparkSession, path: str, heads: dict[int, Head], wanted: Sequence[int], ddl: str) -> DataFrame:
-    folders = [_folder(path, heads[b].generation, b) for b in wanted if b in heads]
-    if not folders:
-        return small_frame(spark, [], ddl)
-    return spark.read.schema(ddl).parquet(*folders)
-
+def _live(spark: SparkSession, path: str, heads: dict[int, Head], wanted: DataFrame | None, ddl: str) -> DataFrame:
+    """Rows of all live generations, with ``_generation`` and ``_bucket``; of the wanted buckets where given.
 
-def read_keyed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """The current rows of a keyed table."""
+    The pairs of generation and bucket are a small table that is joined by the partition columns, so folders of other
+    generations and buckets are pruned while the query runs, and no list of paths goes through the driver.
+    """
+    if not heads:
+        return small_frame(spark, [], f"{ddl}, _generation bigint, _bucket int")
+    buckets = next(iter(heads.values())).buckets
+    live = _past(spark, path).where((F.col("buckets") == buckets) & (F.col("generation") >= F.col("base")))
+    if wanted is not None:
+        live = live.join(wanted, "bucket", "left_semi")
+    pairs = live.select(F.col("generation").alias("_generation"), F.col("bucket").alias("_bucket")).distinct()
+    stored = spark.read.schema(f"{ddl}, _generation bigint, _bucket int").parquet(f"{path}/data")
+    return stored.join(pairs, ["_generation", "_bucket"], "left_semi")
+
+
+def read_keyed(spark: SparkSession, path: str, ddl: str, order: Sequence[Column] | None = None) -> DataFrame:
+    """The current rows of a keyed table.  ``order`` is the one that the table is written with."""
     heads = _heads(spark, path)
-    return _read_buckets(spark, path, heads, sorted(heads), ddl)
+    columns = [f.name for f in T.StructType.fromDDL(ddl)]
+    rows = _live(spark, path, heads, None, ddl)
+    changed = [(b, head.key) for b, head in heads.items() if head.changes]
+    if not changed:
+        return rows.select(columns)
+    mixed = small_frame(spark, [(b,) for b, _ in changed], "_bucket int")
+    resolved = latest_record(rows.join(mixed, "_bucket", "left_semi"), ["_bucket", changed[0][1]], order or [F.desc("_generation")])
+    return rows.join(mixed, "_bucket", "left_anti").select(columns).unionByName(resolved.select(columns))
 
 
 def stage_upsert(
-    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET
+    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET,
+    order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Write the touched buckets as a new generation and return its heads, not yet visible.
+    """Write a batch as a new generation and return its heads, not yet visible.
 
-    The batch is first reduced to its newest row per key, so a hot key is one row.  Then old
-    and new rows are partitioned once, by bucket and lane; the choice per key and the write
-    both use that partitioning.  Lanes let several tasks share a bucket.
+    The batch is first reduced to its newest row per key, so a hot key is one row.  Buckets to be written whole bring
+    their stored rows along; all rows are partitioned once, by bucket and lane, and the choice per key and the write
+    both use that partitioning.  Lanes let several tasks share a bucket.  Incoming rows replace stored ones, unless an
+    ``order`` decides between all rows of a key.
     """
     spark = batch.sparkSession
     heads = _heads(spark, path)
-    stored_rows = sum(h.stored_rows for h in heads.values())
-    rows, keyless = stored_rows, F.col(key).isNull().alias("keyless")
+    rows, keyless = sum(h.stored_rows + h.changed_rows for h in heads.values()), F.col(key).isNull().alias("keyless")
     if not heads:
         rows, without = batch.agg(F.count(F.lit(1)), F.count_if(keyless)).first()
         _refuse(without > 0)
     had = next(iter(heads.values())).buckets if heads else 0
     buckets = max(had, _bucket_count(rows, rows_per_bucket))
-    reread = sorted(heads)
-    if heads:
-        touched = batch.select(_bucket(key, buckets).alias("bucket"), keyless).distinct().collect()
-        _refuse(any(r["keyless"] for r in touched))
-        if buckets == had:
-            if not touched:
-                return small_frame(spark, [], _HEADS_DDL)
-            reread = [r["bucket"] for r in touched]
-    generation = 1 + max((h.generation for h in heads.values()), default=0)
     only_stored = _columns_besides(spark, path, heads, batch.columns)
+    if not heads or buckets != had:
+        reread = sorted(heads)
+        whole = None  # all of them
+    else:
+        counts = batch.groupBy(_bucket(key, buckets).alias("bucket"), keyless).agg(F.count(F.lit(1)).alias("n")).collect()
+        _refuse(any(r["keyless"] for r in counts))
+        if not counts:
+            return small_frame(spark, [], _HEADS_DDL)
+        whole = {r["bucket"] for r in counts if only_stored or _due(heads.get(r["bucket"]), r["n"])}
+        reread = sorted(whole & heads.keys())
+    generation = 1 + max((h.newest for h in heads.values()), default=0)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*batch.schema, *only_stored])
 
-    incoming = latest_record(batch, [key], newest_first).withColumn("_incoming", F.lit(1))
-    stored = _read_buckets(spark, path, heads, reread, ddl).withColumn("_incoming", F.lit(0))
+    incoming = latest_record(batch, [key], newest_first).withColumn("_generation", F.lit(generation).cast("bigint"))
+    wanted = None if whole is None else small_frame(spark, [(b,) for b in reread], "bucket int")
+    stored = _live(spark, path, heads if reread else {}, wanted, ddl).drop("_bucket")
     both = stored.unionByName(incoming, allowMissingColumns=True).withColumns({
         "_bucket": _bucket(key, buckets), "_lane": F.pmod(F.hash(key), F.lit(LANES))
     }).repartition("_bucket", "_lane")
-    same_key = Window.partitionBy("_bucket", "_lane", key)  # one stored row at most, so there is one value to take
-    both = both.withColumns({
-        f.name: F.first(F.when(F.col("_incoming") == 0, F.col(f"`{f.name}`")), ignorenulls=True).over(same_key)
-        for f in only_stored
-    })
-    merged = latest_record(both, ["_bucket", "_lane", key], [F.col("_incoming").desc()]).drop("_incoming", "_lane")
+    same_key = Window.partitionBy("_bucket", "_lane", key)
+    earlier = F.when(F.col("_generation") < generation, F.col("_generation"))
+    both = both.withColumns({f.name: F.max_by(f"`{f.name}`", earlier).over(same_key) for f in only_stored})
+    merged = latest_record(both, ["_bucket", "_lane", key], order or [F.desc("_generation")]).drop("_generation", "_lane")
     folder = f"{path}/data/_generation={generation}"
     merged.write.mode("overwrite").partitionBy("_bucket").parquet(folder)
     written = read_table(spark, folder, f"{ddl}, _bucket int").groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
-    return small_frame(
-        spark, [(r["_bucket"], generation, buckets, r["n"]) for r in written.collect()], _HEADS_DDL
-    )
+    return small_frame(spark, [
+        (r["_bucket"], generation, buckets, r["n"], whole is None or r["_bucket"] in whole, key) for r in written.collect()
+    ], _HEADS_DDL)
+
+
+def _due(head: Head | None, incoming: int) -> bool:
+    """Whether a bucket is written whole: it is new, or has changed too much or too often since it last was."""
+    if head is None or head.generation is None:
+        return True
+    return head.changes + 1 > MAX_CHANGES or head.changed_rows + incoming > FOLD_SHARE * head.stored_rows
 
 
 def _refuse(keyless: bool) -> None:
@@ -149,15 +190,19 @@ def publish(heads: DataFrame, path: str) -> None:
 
 
 def upsert(
-    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET
+    batch: DataFrame, path: str, key: str, newest_first: Sequence[Column], rows_per_bucket: int = ROWS_PER_BUCKET,
+    order: Sequence[Column] | None = None,
 ) -> None:
     """Replace rows whose key is stored, insert the others, delete nothing."""
-    publish(stage_upsert(batch, path, key, newest_first, rows_per_bucket), path)
+    publish(stage_upsert(batch, path, key, newest_first, rows_per_bucket, order), path)
 
 
 def drop_stale(spark: SparkSession, path: str) -> list[int]:
     """Remove generations that no bucket uses any more, while nothing reads or writes."""
-    used = {head.generation for head in _heads(spark, path).values()}
+    heads = _heads(spark, path)
+    buckets = next((h.buckets for h in heads.values()), 0)
+    live = _past(spark, path).where((F.col("buckets") == buckets) & (F.col("generation") >= F.col("base")))
+    used = {r["generation"] for r in live.select("generation").distinct().collect()}
     stored = [int(name.removeprefix("_generation=")) for name in folder_names(spark, f"{path}/data")]
     stale = sorted(g for g in stored if used and g < max(used) and g not in used)
     for generation in stale:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from weirgate.operators import contract as contracts
 from weirgate.operators.rescue import rescued
 from weirgate.plans.control import not_failed
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL
-from weirgate.session import read_table, remove
+from weirgate.session import folder_names, read_table, remove
 from weirgate.spec import Contract
 
 _STORED_DDL = f"{BRONZE_DDL}, _load string, _quarantined boolean"
@@ -33,8 +34,8 @@ def write_landing(df: DataFrame, path: str, *measures: Column, **options: str) -
     return seen.get
 
 
-def parse_lines(lines: DataFrame, key: str = "_id") -> DataFrame:
-    """Key and parse failure of each line.
+def parse_lines(lines: DataFrame, key: str = "_id", keep: Sequence[str] = ()) -> DataFrame:
+    """Key and parse failure of each line, with the columns to keep.
 
     The body stays the line itself.  ``_rescued_data`` is the line when it is not one JSON
     object and nothing else; such a line has no key.
@@ -50,6 +51,7 @@ def parse_lines(lines: DataFrame, key: str = "_id") -> DataFrame:
         "_source_file",
         F.when(F.col("_rescued_data").isNull(), unwrap_key(F.col("_parsed")[key])).alias("_source_id"),
         "_rescued_data",
+        *keep,
     )
 
 
@@ -63,21 +65,28 @@ def with_rescued_fields(parsed: DataFrame, schema: StructType) -> DataFrame:
 
 
 def shape(
-    parsed: DataFrame, run_id: str, at: dt.datetime, source_tag: str, load_type: str
+    parsed: DataFrame, run_id: str | Column, at: dt.datetime | Column, source_tag: str, load_type: str | Column
 ) -> DataFrame:
-    """The ten Bronze columns: body, hash of the body, and where and when it came in."""
-    stamp = F.lit(at.astimezone(dt.timezone.utc).isoformat()).cast("timestamp")
+    """The ten Bronze columns: body, hash of the body, and where and when it came in.
+
+    Run, time and load type are the same for all rows, or columns where rows of many runs are shaped at once.
+    """
+    if isinstance(at, Column):
+        stamp, day = at, F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz")))
+    else:
+        stamp = F.lit(at.astimezone(dt.timezone.utc).isoformat()).cast("timestamp")
+        day = F.lit(at.astimezone(dt.timezone.utc).date())
     return parsed.select(
         "_source_id",
         F.col("value").alias("body_json"),
         "_rescued_data",
         content_hash(F.col("value")).alias("_source_hash"),
         "_source_file",
-        F.lit(run_id).alias("_ingestion_id"),
+        (run_id if isinstance(run_id, Column) else F.lit(run_id)).alias("_ingestion_id"),
         stamp.alias("_ingestion_timestamp"),
         F.lit(source_tag).alias("_source_path"),
-        F.lit(load_type).alias("_load_type"),
-        F.lit(at.astimezone(dt.timezone.utc).date()).alias("_ingestion_date"),
+        (load_type if isinstance(load_type, Column) else F.lit(load_type)).alias("_load_type"),
+        day.alias("_ingestion_date"),
     )
 
 
@@ -103,6 +112,42 @@ def append_load(shaped: DataFrame, path: str, load_id: str, contract: Contract |
     return seen.get if contract is not None else {}
 
 
+def replace_loads(shaped: DataFrame, path: str, days: dict[str, dt.date]) -> None:
+    """Write many loads in one pass, each in place of what it held before.
+
+    Rows are gathered by load before they are written; loads too large for a task are split at run time.  ``days`` has
+    the day of each load: what earlier writes left under other days is removed afterwards.
+    """
+    marked = shaped.withColumns({"_load": F.col("_ingestion_id"), "_quarantined": F.col("_source_id").isNull()})
+    writer = marked.hint("rebalance", "_load").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_load", "_quarantined", "_ingestion_date").parquet(path)
+    spark = shaped.sparkSession
+    for load_id, day in days.items():
+        for part in ("_quarantined=false", "_quarantined=true"):
+            for name in folder_names(spark, f"{path}/_load={load_id}/{part}"):
+                if name.startswith("_ingestion_date=") and name != f"_ingestion_date={day.isoformat()}":
+                    remove(spark, f"{path}/_load={load_id}/{part}/{name}")
+
+
+def read_loads(spark: SparkSession, path: str, loads: Sequence[str]) -> DataFrame:
+    """All rows of the given loads, quarantine included, with ``_load`` and ``_quarantined``.
+
+    The loads are a predicate on the partition column: folders of other loads are not opened.
+    """
+    return read_table(spark, path, _STORED_DDL).where(F.col("_load").isin(list(loads)))
+
+
+def published_loads(run_log: DataFrame, dataset: str) -> list[str]:
+    """Names of the loads that count: logged, and not as failed.  One short name per run."""
+    passed = not_failed(run_log).where(F.col("collection") == dataset).select("_ingestion_id").distinct()
+    return sorted(r["_ingestion_id"] for r in passed.collect())
+
+
+def read_published(spark: SparkSession, path: str, loads: Sequence[str]) -> DataFrame:
+    """Good rows of the given loads."""
+    return read_loads(spark, path, loads).where(~F.col("_quarantined")).select(*BRONZE_COLUMNS)
+
+
 def drop_staged(spark: SparkSession, path: str, load_id: str) -> None:
     """Remove the good rows of a load once they live in a keyed table; quarantine stays."""
     remove(spark, f"{path}/_load={load_id}/_quarantined=false")

@@ -10,7 +10,7 @@ import datetime as dt
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +24,10 @@ from weirgate.operators import contract as contracts_op
 from weirgate.operators.latest import latest_bronze
 from weirgate.operators.quality import batch_metrics
 from weirgate.operators.upsert import publish, read_keyed, stage_upsert
-from weirgate.plans import bronze, control
+from weirgate.plans import bronze, control, current
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
 from weirgate.session import folder_names, path_exists, read_table, small_frame
-from weirgate.sources.files import read_lines
+from weirgate.sources.files import read_lines, read_run_lines
 from weirgate.sources.scans import scan_incremental
 from weirgate.spec import NAME, FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
 
@@ -55,14 +55,25 @@ def documents(ctx: RunContext, spec: DatasetSpec) -> DataFrame:
     """Current document per key of a dataset, published loads only."""
     if spec.upserts():
         return read_keyed(ctx.spark, ctx.layout.keyed(spec.name), BRONZE_DDL)
-    rows = bronze.read_bronze(ctx.spark, ctx.layout.bronze(spec.name))
     log = control.run_log(ctx.spark, ctx.layout)
-    current = bronze.published(rows, log, spec.name)
+    if current.kept(ctx.spark, ctx.layout, spec.name):
+        appended = current.read_current(ctx.spark, ctx.layout, spec, log)
+    else:
+        loads = bronze.published_loads(log, spec.name)
+        appended = latest_bronze(bronze.read_published(ctx.spark, ctx.layout.bronze(spec.name), loads))
     if not path_exists(ctx.spark, ctx.layout.keyed(spec.name)):
-        return latest_bronze(current)
+        return appended
     # A forced full load of this dataset went into a keyed table.
     keyed = read_keyed(ctx.spark, ctx.layout.keyed(spec.name), BRONZE_DDL)
-    return latest_bronze(current.unionByName(keyed))
+    return latest_bronze(appended.unionByName(keyed))
+
+
+def keep_up(ctx: RunContext, spec: DatasetSpec) -> int:
+    """Fold new loads of an appended dataset into its table of current records, where it has one."""
+    if not spec.keep_current or spec.upserts(ctx.force_full):
+        return 0
+    log = control.run_log(ctx.spark, ctx.layout)
+    return current.fold_current(ctx.spark, ctx.layout, spec, log)
 
 
 def _contract_findings(ctx: RunContext, contract: Contract | None, counts: dict) -> list[tuple]:
@@ -180,19 +191,24 @@ def ingest(ctx: RunContext, spec: DatasetSpec, source: DataFrame) -> dict:
     return out | load_lines(ctx, spec, lines, ctx.run_id, seen["rows"]) | dict(landing_files=[folder])
 
 
-def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime, values: dict) -> dict:
-    """Append one run-log row, and the mark row that it implies."""
-    ddl = RUN_LOG_DDL
-    names = [part.split()[0] for part in ddl.split(", ")]
-    row = dict.fromkeys(names) | dict(
-        _ingestion_id=run_id,
-        collection=spec.name,
-        load_type="full" if ctx.force_full else spec.load_type,
+def _log_values(
+    ctx: RunContext, spec: DatasetSpec, run_id: str, kind: str, start: dt.datetime, end: dt.datetime
+) -> dict:
+    """A run-log row of a load that nothing is known of yet, in the order of the table's columns."""
+    names = [part.split()[0] for part in RUN_LOG_DDL.split(", ")]
+    return dict.fromkeys(names) | dict(
+        _ingestion_id=run_id, collection=spec.name, load_type=kind,
         qtd_lida_origem=0, qtd_gravada_destino=0, qtd_quarentena=0, qtd_duplicada_lote=0,
         divergencia_pct=0.0, contrato_ok=True, landing_files=[], ingest_mode=ctx.engine,
-        pipeline_version=__version__, start_time=start, end_time=dt.datetime.now(dt.timezone.utc),
-    ) | values
-    frame = small_frame(ctx.spark, [tuple(row[n] for n in names)], ddl)
+        pipeline_version=__version__, start_time=start, end_time=end,
+    )
+
+
+def log_row(ctx: RunContext, spec: DatasetSpec, run_id: str, start: dt.datetime, values: dict) -> dict:
+    """Append one run-log row, and the mark row that it implies."""
+    kind = "full" if ctx.force_full else spec.load_type
+    row = _log_values(ctx, spec, run_id, kind, start, dt.datetime.now(dt.timezone.utc)) | values
+    frame = small_frame(ctx.spark, [tuple(row.values())], RUN_LOG_DDL)
     log = control.build_run_log(frame)
     control.append(log, ctx.layout, control.RUN_LOG, f"{run_id}-{spec.name}")
     final = row["watermark_final"]
@@ -224,7 +240,9 @@ def run(
             values = ingest(ctx, spec, sources[spec.name])
         except Exception as problem:  # the run goes on with the next dataset
             values = dict(status=FAILED, mensagem_erro=f"{type(problem).__name__}: {problem}")
-        return log_row(ctx, spec, ctx.run_id, start, values)
+        row = log_row(ctx, spec, ctx.run_id, start, values)
+        keep_up(ctx, spec)
+        return row
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
         rows = list(pool.map(one, specs))
@@ -244,25 +262,88 @@ def require_ok(summary: DataFrame, limits: Limits = Limits()) -> None:
 def reprocess(ctx: RunContext, spec: DatasetSpec) -> list[dict]:
     """Rebuild a dataset from everything that was landed, without touching the source.
 
-    Each run's load is a function of its landing folder, so each is written again in its own
-    place, in the order of the runs and under the time of its run: what was newest stays so.
-    Files that no run wrote belong to the streaming consumer.
+    All runs are read and written in one pass, whatever their number: each run's load is a function of its landing
+    folder, is written in its own place and under the time of its run, so what was newest stays so.  Counts, contract
+    and verdict are worked out by run.  Upserted runs go into the keyed table together, the newest run's row first.
+    Files that no run wrote belong to the streaming consumer.  The driver sees one row per run.
     """
-    names = folder_names(ctx.spark, ctx.layout.landing(spec.name))
-    runs = [name.removeprefix("run_id=") for name in names if name.startswith("run_id=")]
-    log = control.run_log(ctx.spark, ctx.layout).where(F.col("collection") == spec.name)
-    known = {r["_ingestion_id"]: r for r in log.where(F.col("_ingestion_id").isin(runs)).collect()}
+    spark, layout = ctx.spark, ctx.layout
+    landing, path = layout.landing(spec.name), layout.bronze(spec.name)
+    start = dt.datetime.now(dt.timezone.utc)
+    runs = [name.removeprefix("run_id=") for name in folder_names(spark, landing) if name.startswith("run_id=")]
+    if not runs:
+        return []
+    log = control.run_log(spark, layout).where(F.col("collection") == spec.name)
+    landed = small_frame(spark, [(r,) for r in runs], "_ingestion_id string")
+    known = {r["_ingestion_id"]: r for r in log.join(landed, "_ingestion_id", "left_semi").collect()}
     runs.sort(key=lambda run_id: (known[run_id]["start_time"].timestamp() if run_id in known else 0.0, run_id))
-    done = []
+    plan = []
     for place, run_id in enumerate(runs):
-        start = dt.datetime.now(dt.timezone.utc)
-        lines = read_lines(ctx.spark, f"{ctx.layout.landing(spec.name)}/run_id={run_id}")
         before = known.get(run_id)
         at = before["start_time"].astimezone(dt.timezone.utc) if before else ctx.at + dt.timedelta(microseconds=place)
         forced = bool(before) and before["load_type"] == "full" and spec.load_type != "full"
-        again = replace(ctx, at=at, force_full=forced)
-        values = load_lines(again, spec, lines, run_id, None)
-        if before:
-            values |= dict(watermark_inicial=before["watermark_inicial"], watermark_final=before["watermark_final"])
-        done.append(log_row(again, spec, run_id, start, values))
+        plan.append((run_id, at, "full" if forced else spec.load_type, spec.upserts(forced)))
+    runs_frame = small_frame(spark, plan, "run_id string, _at timestamp, _kind string, _upserts boolean")
+
+    lines = read_run_lines(spark, landing).join(runs_frame.select("run_id", "_at", "_kind"), "run_id")
+    parsed = bronze.parse_lines(lines, spec.key, ["run_id", "_at", "_kind"])
+    current.forget(spark, layout, spec.name)
+    shaped = bronze.shape(parsed, F.col("run_id"), F.col("_at"), ctx.source_tag, F.col("_kind"))
+    bronze.replace_loads(shaped, path, {run_id: at.astimezone(dt.timezone.utc).date() for run_id, at, _, _ in plan})
+
+    stored = bronze.read_loads(spark, path, runs)
+    judged, findings = _judged_loads(ctx, spec, stored, runs_frame)
+    upserted = [run_id for run_id, _, _, upserts in plan if upserts and judged[run_id]["status"] != FAILED]
+    if upserted:
+        rows = bronze.read_published(spark, path, upserted)
+        order = [F.col(c).desc() for c in _NEWEST]
+        publish(stage_upsert(rows, layout.keyed(spec.name), "_source_id", order, spec.rows_per_bucket), layout.keyed(spec.name))
+        for run_id in upserted:
+            bronze.drop_staged(spark, path, run_id)
+    if findings:
+        frame = small_frame(spark, [(run_id, spec.name, *finding, ctx.at) for run_id, *finding in findings], VIOLATIONS_DDL)
+        control.append(frame, layout, control.VIOLATIONS, f"reprocess-{spec.name}-{ctx.run_id}")
+    done, ended = [], dt.datetime.now(dt.timezone.utc)
+    for place, (run_id, _, kind, upserts) in enumerate(plan):
+        row, before = judged[run_id], known.get(run_id)
+        marks = (before["watermark_inicial"], before["watermark_final"]) if before else (None, None)
+        done.append(_log_values(ctx, spec, run_id, kind, start, ended + dt.timedelta(microseconds=place)) | dict(
+            status=row["status"], qtd_lida_origem=row["source_count"], qtd_gravada_destino=row["written_count"],
+            qtd_quarentena=row["null_keys"], qtd_duplicada_lote=row["duplicate_keys"], divergencia_pct=row["divergencia_pct"],
+            contrato_ok=row["contract_ok"], mensagem_erro=None if row["status"] == SUCCESS else row["message"],
+            watermark_inicial=marks[0], watermark_final=marks[1],
+        ))
+    names = [part.split()[0] for part in RUN_LOG_DDL.split(", ")]
+    frame = small_frame(spark, [tuple(row[n] for n in names) for row in done], RUN_LOG_DDL)
+    control.append(control.build_run_log(frame), layout, control.RUN_LOG, f"reprocess-{spec.name}-{ctx.run_id}")
+    keep_up(ctx, spec)
     return done
+
+
+def _judged_loads(ctx: RunContext, spec: DatasetSpec, stored: DataFrame, runs: DataFrame) -> tuple[dict, list[tuple]]:
+    """Verdict of each load by its id, and the findings (load, field, kind, detail, share).  A load without rows has one."""
+    per_key = stored.groupBy("_load", "_source_id").agg(F.count(F.lit(1)).alias("_n"))
+    keyless = F.col("_source_id").isNull()
+    counts = per_key.groupBy("_load").agg(
+        F.sum("_n").alias("source_count"), F.count_if(~keyless).alias("keys"),
+        F.coalesce(F.sum(F.when(keyless, F.col("_n"))), F.lit(0)).alias("null_keys"),
+        F.count_if(~keyless & (F.col("_n") > 1)).alias("duplicate_keys"),
+    )
+    none = ["source_count", "keys", "null_keys", "duplicate_keys"]
+    counts = runs.select(F.col("run_id").alias("_load"), "_kind", "_upserts").join(counts, "_load", "left").na.fill(0, none)
+    rows = F.col("source_count")
+    counts = counts.withColumns({
+        "written_count": F.when(F.col("_upserts"), F.col("keys")).otherwise(rows - F.col("null_keys")),
+        "null_key_pct": F.when(rows > 0, F.col("null_keys") / rows * 100.0).otherwise(0.0),
+        "threshold_pct": F.lit(spec.threshold_pct).cast("double"),
+    })
+    findings, contract = [], ctx.contracts.get(spec.name)
+    if contract is not None:
+        metrics = contracts_op.contract_metrics(stored, contract, "body_json", ["_load"])
+        found = contracts_op.contract_violations(metrics, contract, ["_load"]).collect()
+        findings += [(r["_load"], r["field"], r["kind"], r["detail"], float(r["violation_pct"])) for r in found]
+    short = counts.where((F.col("_kind") == "full") & (rows < spec.expected_min)).select("_load", "source_count").collect()
+    findings += [(r[0], "*", "volume", f"{r[1]} rows, expected at least {spec.expected_min}", 100.0) for r in short]
+    broken = small_frame(ctx.spark, sorted({(f[0],) for f in findings}), "_load string").withColumn("_broken", F.lit(True))
+    flagged = counts.join(broken, "_load", "left").withColumn("contract_ok", F.col("_broken").isNull())
+    return {r["_load"]: r for r in judge(flagged, ctx.limits).collect()}, findings

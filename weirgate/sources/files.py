@@ -35,6 +35,13 @@ def with_source(lines: DataFrame) -> DataFrame:
     return kept.where(F.trim(F.col("value")) != "")
 
 
+def read_run_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of all runs that were landed below ``root``, with their file and ``run_id``; other folders stay out."""
+    reader = spark.read.schema("value string, run_id string").option("basePath", root)
+    lines = reader.text(f"{root}/run_id=*").withColumn("_source_file", F.col("_metadata.file_path"))
+    return lines.where(F.trim(F.col("value")) != "")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options: Any) -> DataFrame:
     """CSV with defaults and per-call overrides; a given schema switches inference off."""
     merged = {**CSV_DEFAULTS, **options}

@@ -24,6 +24,7 @@ class DatasetSpec:
 
     ``inclusive_mark`` re-reads rows that share the stored mark, ``include_null_mark``
     picks up rows that carry no mark; both imply an upsert so that nothing doubles.
+    ``keep_current`` keeps a table of the current record per key beside an appended history.
     """
 
     name: str
@@ -38,6 +39,7 @@ class DatasetSpec:
     inclusive_mark: bool = False
     include_null_mark: bool = False
     rows_per_bucket: int = 1_000_000
+    keep_current: bool = False
 
     def __post_init__(self) -> None:
         if not re.fullmatch(NAME, self.name):
@@ -104,6 +106,9 @@ class Layout:
     def keyed(self, dataset: str) -> str:
         return f"{self.root}/bronze_keyed/{dataset}"
 
+    def current(self, dataset: str) -> str:
+        return f"{self.root}/bronze_current/{dataset}"
+
     def control(self, table: str) -> str:
         return f"{self.root}/control/{table}"
 

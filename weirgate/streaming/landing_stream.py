@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.plans.run import RunContext, load_lines, log_row
+from weirgate.plans.run import RunContext, keep_up, load_lines, log_row
 from weirgate.sources.files import with_source
 from weirgate.spec import DatasetSpec, Limits
 from weirgate.streaming.schema_store import evolve
@@ -53,6 +53,7 @@ def consume_landing(
         schema = evolve(batch, ctx.layout.schemas(spec.name), load_id, schema_mode) if schema_mode else None
         values = load_lines(here, spec, batch, load_id, None, schema)
         log_row(here, spec, load_id, start, values)
+        keep_up(here, spec)
         done += 1
 
     query = (

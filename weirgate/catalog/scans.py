@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.catalog.inputs import EVENT_BODY_SQL, event_docs
@@ -13,7 +16,7 @@ from weirgate.operators.refine import FieldPath, flatten
 from weirgate.plans.bronze import write_landing
 from weirgate.plans.snapshots import export_by_day, with_audit
 from weirgate.session import work_dir
-from weirgate.sources import scans
+from weirgate.sources import keyed_scan, scans
 from weirgate.sources.files import read_csv, read_days, read_lines
 from weirgate.spec import DatasetSpec
 
@@ -34,6 +37,45 @@ def scan_incremental(spark, sf_dir):
     return scans.scan_incremental(table(spark, sf_dir, "events"), EVENTS, MARK)
 
 
+@query("scan_resumed", """
+  select cast(event_id as varchar) as _id, user_id, event_type from events
+""")
+def scan_resumed(spark, sf_dir):
+    """A scan in eight ranges of the key that stops after three and goes on from its marks."""
+    events, root = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), work_dir(spark, "scan")
+    for most in (3, None):
+        keyed_scan.land_in_ranges(events, "event_id", f"{root}/landing", f"{root}/state", 8, write_landing, most=most)
+    fields = [FieldPath("event_id", "_id"), FieldPath("user_id", "user_id", "bigint"), FieldPath("event_type", "event_type")]
+    return flatten(read_lines(spark, f"{root}/landing"), fields, body="value")
+
+
+@query("key_ranges", """
+  select 'o_totalprice' as key, 10 as ranges, count(*) as "rows", true as even from orders
+  union all select 'ts', 10, count(*), true from events
+  union all select 'c_name', 10, count(*), true from customer
+  union all select 'l_partkey', 10, count(*), true from lineitem where l_returnflag = 'R'
+""")
+def key_ranges(spark, sf_dir):
+    """Ranges planned from a sketch: a price, a time, a text and a repeated number; none far from its share."""
+    parts = []
+    for name, key, rows in (
+        ("orders", "o_totalprice", None), ("events", "ts", None), ("customer", "c_name", None), ("lineitem", "l_partkey", "l_returnflag = 'R'"),
+    ):
+        df = table(spark, sf_dir, name)
+        df = df.where(rows) if rows else df
+        ranges = keyed_scan.plan_ranges(df, key, 10)
+        place = F.lit(-1)
+        for r in ranges:
+            place = F.when(r.contains(key, df.schema[key].dataType), r.place).otherwise(place)
+        counts = df.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+        share = F.col("rows") / 10
+        parts.append(counts.agg(
+            F.lit(key).alias("key"), F.count(F.lit(1)).cast("int").alias("ranges"), F.sum("n").alias("rows"),
+            F.min("n").alias("least"), F.max("n").alias("most"),
+        ).select("key", "ranges", "rows", ((F.col("least") > share * 0.7) & (F.col("most") < share * 1.3)).alias("even")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("source_count", "select count(*) as n_rows from events where ts > timestamp '2024-01-15'")
 def source_count(spark, sf_dir):
     return scans.source_count(table(spark, sf_dir, "events"), "ts", MARK)

@@ -13,7 +13,7 @@ from weirgate.functions.json_values import document
 from weirgate.operators import upsert
 from weirgate.operators.latest import total_order
 from weirgate.operators.refine import FieldPath, flatten
-from weirgate.plans import control
+from weirgate.plans import accumulated, control
 from weirgate.plans.run import RunContext, documents, reprocess, run
 from weirgate.session import work_dir
 from weirgate.spec import DatasetSpec, Layout
@@ -87,3 +87,28 @@ def reprocess_many_runs(spark, sf_dir):
     )
     log = control.run_log(spark, layout).select("_ingestion_id", "status", "qtd_lida_origem", "qtd_gravada_destino")
     return log.join(held, "_ingestion_id")
+
+
+CHECKED = [
+    DatasetSpec("orders", key="o_orderkey", load_type="incremental", mark_field="o_orderdate"),
+    DatasetSpec("customer", key="c_custkey"),
+]
+
+
+@query("accumulated_in_run", """
+  select 'orders' as collection, 'run-1' as run_id, count(*) as soma_control_log, count(*) as linhas_bronze, 0 as delta, true as accumulated_ok
+  from orders where o_orderdate < timestamp '1996-01-01'
+  union all select 'orders', 'run-2', count(*), count(*), 0, true from orders
+  union all select 'customer', 'run-1', count(*), count(*), 0, true from customer
+  union all select 'customer', 'run-2', 2 * count(*), count(*), -count(*), true from customer
+""")
+def accumulated_in_run(spark, sf_dir):
+    """Two runs that check what all runs wrote: an appended dataset, and an upserted one that is loaded twice."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    layout = Layout(work_dir(spark, "root"))
+    for n, source in enumerate((orders.where(F.col("o_orderdate") < "1996-01-01"), orders), start=1):
+        ctx = RunContext(spark, layout, run_id=f"run-{n}", accumulate=True)
+        run(ctx, {"orders": source, "customer": customer}, CHECKED, parallel=2)
+    return accumulated.checks(spark, layout).select(
+        "collection", F.col("_ingestion_id").alias("run_id"), "soma_control_log", "linhas_bronze", "delta", "accumulated_ok"
+    )

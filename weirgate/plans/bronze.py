@@ -96,20 +96,24 @@ def bad_rows(shaped: DataFrame) -> DataFrame:
     return shaped.where(F.col("_source_id").isNull()).withColumn("_reason", why)
 
 
-def append_load(shaped: DataFrame, path: str, load_id: str, contract: Contract | None = None) -> dict:
+def append_load(
+    shaped: DataFrame, path: str, load_id: str, contract: Contract | None = None, *measures: Column
+) -> dict:
     """Write one load, good rows and quarantine together from one pass over the input.
 
     A load owns its folder and replaces it when it is run again, so a repeated run or
-    micro-batch does not double rows.  The counts of the contract are taken while writing;
+    micro-batch does not double rows.  The counts of the contract and further measures are taken while writing;
     without a shuffle they see every written row exactly once.
     """
     marked = shaped.withColumn("_quarantined", F.col("_source_id").isNull())
     seen = Observation("load")
     if contract is not None:
         counted = contracts.with_parts(marked, contract, "body_json")
-        marked = counted.observe(seen, *contracts.measures(contract)).drop(contracts.PARTS, contracts.KINDS)
+        marked = counted.observe(seen, *contracts.measures(contract), *measures).drop(contracts.PARTS, contracts.KINDS)
+    elif measures:
+        marked = marked.observe(seen, *measures)
     marked.write.mode("overwrite").partitionBy("_quarantined", "_ingestion_date").parquet(f"{path}/_load={load_id}")
-    return seen.get if contract is not None else {}
+    return seen.get if contract is not None or measures else {}
 
 
 def replace_loads(shaped: DataFrame, path: str, days: dict[str, dt.date]) -> None:

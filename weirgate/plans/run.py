@@ -24,10 +24,11 @@ from weirgate.operators import contract as contracts_op
 from weirgate.operators.latest import latest_bronze
 from weirgate.operators.quality import batch_metrics
 from weirgate.operators.upsert import publish, read_keyed, stage_upsert
-from weirgate.plans import bronze, control, current
+from weirgate.plans import accumulated, bronze, control, current
 from weirgate.schemas import BRONZE_COLUMNS, BRONZE_DDL, RUN_LOG_DDL, SUMMARY_COLUMNS, VIOLATIONS_DDL, WATERMARK_DDL
 from weirgate.session import folder_names, path_exists, read_table, small_frame
 from weirgate.sources.files import read_lines, read_run_lines
+from weirgate.sources.keyed_scan import land_in_ranges
 from weirgate.sources.scans import scan_incremental
 from weirgate.spec import NAME, FAILED, PARTIAL, SUCCESS, Contract, DatasetSpec, Layout, Limits
 
@@ -36,6 +37,8 @@ _NEWEST = ("_ingestion_timestamp", "_source_hash", "_source_file")
 
 @dataclass(frozen=True)
 class RunContext:
+    """Where and how runs work.  ``accumulate`` checks each dataset's whole history at the end of its run."""
+
     spark: SparkSession
     layout: Layout
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
@@ -45,6 +48,7 @@ class RunContext:
     source_tag: str = ""
     force_full: bool = False
     engine: str = "batch"
+    accumulate: bool = False
 
     def __post_init__(self) -> None:
         if not re.fullmatch(NAME, self.run_id):
@@ -76,6 +80,18 @@ def keep_up(ctx: RunContext, spec: DatasetSpec) -> int:
     return current.fold_current(ctx.spark, ctx.layout, spec, log)
 
 
+def check_accumulated(ctx: RunContext, spec: DatasetSpec) -> dict:
+    """The whole history of a dataset against its log; kept in the table of checks."""
+    spark, layout = ctx.spark, ctx.layout
+    keyed = layout.keyed(spec.name)
+    if spec.upserts(ctx.force_full) or path_exists(spark, keyed):
+        stored, upserted = documents(ctx, spec), True
+    else:
+        loads = bronze.published_loads(control.run_log(spark, layout), spec.name)
+        stored, upserted = bronze.read_published(spark, layout.bronze(spec.name), loads), False
+    return accumulated.check(spark, layout, spec.name, ctx.run_id, stored, upserted, ctx.at)
+
+
 def _contract_findings(ctx: RunContext, contract: Contract | None, counts: dict) -> list[tuple]:
     """Violations of the whole batch; at most four per contract field."""
     if contract is None:
@@ -114,7 +130,11 @@ def load_lines(
         parsed = bronze.with_rescued_fields(parsed, schema)
     shaped = bronze.shape(parsed, load_id, ctx.at, ctx.source_tag, load_type)
     contract = ctx.contracts.get(spec.name)
-    counts = bronze.append_load(shaped, layout.bronze(spec.name), load_id, contract)
+    extra = accumulated.measures() if ctx.accumulate else []
+    counts = bronze.append_load(shaped, layout.bronze(spec.name), load_id, contract, *extra)
+    if extra:
+        accumulated.note_load(spark, layout, spec.name, load_id, counts)
+        counts = {name: n for name, n in counts.items() if not name.startswith("_")}
     stored = bronze.read_load(spark, layout.bronze(spec.name), load_id)
     metrics = batch_metrics(stored, ["_source_id"]).first()
     written, heads = metrics["rows"] - metrics["null_keys"], None
@@ -184,7 +204,13 @@ def ingest(ctx: RunContext, spec: DatasetSpec, source: DataFrame) -> dict:
     if incremental:
         dtype = source.schema[spec.mark_field].dataType
         measures = [mark_text(F.max(spec.mark_field), dtype).alias("mark")]
-    seen = bronze.write_landing(scan, folder, *measures)
+    if spec.scan_ranges:
+        state = ctx.layout.scan_state(spec.name, ctx.run_id)
+        seen = land_in_ranges(
+            scan, spec.key, folder, state, spec.scan_ranges, bronze.write_landing, measures[0] if measures else None
+        )
+    else:
+        seen = bronze.write_landing(scan, folder, *measures)
     if incremental:
         out["watermark_final"] = seen.get("mark") or before
     lines = read_lines(ctx.spark, folder)
@@ -242,6 +268,8 @@ def run(
             values = dict(status=FAILED, mensagem_erro=f"{type(problem).__name__}: {problem}")
         row = log_row(ctx, spec, ctx.run_id, start, values)
         keep_up(ctx, spec)
+        if ctx.accumulate:
+            check_accumulated(ctx, spec)
         return row
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:

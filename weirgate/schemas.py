@@ -42,6 +42,13 @@ VIOLATIONS_DDL = (
     "violation_pct double, detected_at timestamp"
 )
 
+LOAD_KEYS_DDL = "_ingestion_id string, collection string, n_rows bigint, keys binary"
+
+ACCUMULATED_DDL = (
+    "_ingestion_id string, collection string, soma_control_log bigint, linhas_bronze bigint, estimated_keys bigint, "
+    "delta bigint, recounted boolean, accumulated_ok boolean, checked_at timestamp"
+)
+
 SUMMARY_COLUMNS = [
     "collection",
     "load_type",

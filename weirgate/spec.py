@@ -25,6 +25,7 @@ class DatasetSpec:
     ``inclusive_mark`` re-reads rows that share the stored mark, ``include_null_mark``
     picks up rows that carry no mark; both imply an upsert so that nothing doubles.
     ``keep_current`` keeps a table of the current record per key beside an appended history.
+    ``scan_ranges`` lands the source in so many ranges of its key, so that a repeated run reads only what is missing.
     """
 
     name: str
@@ -40,6 +41,7 @@ class DatasetSpec:
     include_null_mark: bool = False
     rows_per_bucket: int = 1_000_000
     keep_current: bool = False
+    scan_ranges: int = 0
 
     def __post_init__(self) -> None:
         if not re.fullmatch(NAME, self.name):
@@ -106,6 +108,9 @@ class Layout:
     def keyed(self, dataset: str) -> str:
         return f"{self.root}/bronze_keyed/{dataset}"
 
+    def scan_state(self, dataset: str, run_id: str) -> str:
+        return f"{self.root}/scans/{dataset}/{run_id}"
+
     def current(self, dataset: str) -> str:
         return f"{self.root}/bronze_current/{dataset}"
 

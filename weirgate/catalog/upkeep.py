@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from weirgate.catalog.inputs import EVENT_BODY_SQL, event_docs
+from weirgate.catalog.inputs import EVENT_BODY_SQL, event_docs, order_mark_history
 from weirgate.catalog.registry import RUN_AT, query, table
 from weirgate.functions.json_values import document
 from weirgate.operators import upsert
@@ -15,6 +15,8 @@ from weirgate.operators.latest import total_order
 from weirgate.operators.refine import FieldPath, flatten
 from weirgate.plans import accumulated, control
 from weirgate.plans.run import RunContext, documents, reprocess, run
+from weirgate.plans.snapshots import export_named_documents, write_named_file
+from weirgate.schemas import WATERMARK_DDL
 from weirgate.session import work_dir
 from weirgate.spec import DatasetSpec, Layout
 
@@ -112,3 +114,44 @@ def accumulated_in_run(spark, sf_dir):
     return accumulated.checks(spark, layout).select(
         "collection", F.col("_ingestion_id").alias("run_id"), "soma_control_log", "linhas_bronze", "delta", "accumulated_ok"
     )
+
+
+@query("control_folded", """
+  select o_orderpriority as collection, strftime(max(o_orderdate), '%Y-%m-%d') as watermark_value from orders group by 1
+""")
+def control_folded(spark, sf_dir):
+    """Marks appended year by year, folded twice on the way, and read as the newest of each dataset."""
+    layout = Layout(work_dir(spark, "root"))
+    marks = order_mark_history(spark, sf_dir)
+    for year in range(1995, 2002):
+        part = marks.where(F.col("_ingestion_id").startswith(str(year)))
+        control.append(part.select(*[c.split()[0] for c in WATERMARK_DDL.split(", ")]), layout, control.WATERMARKS, f"year-{year}")
+        if year in (1997, 2000):
+            control.fold(spark, layout, control.WATERMARKS, WATERMARK_DDL)
+    return control.current_marks(control.watermarks(spark, layout)).select("collection", "watermark_value")
+
+
+@query("named_file_export", """
+  select c_custkey, c_name, c_mktsegment, 'customer.parquet' as file_name from customer
+""")
+def named_file_export(spark, sf_dir):
+    """A table as one file of a given name, written twice and read back."""
+    path = f"{work_dir(spark, 'files')}/customer.parquet"
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    write_named_file(customer.limit(1), path)
+    write_named_file(customer, path)
+    return spark.read.parquet(path).withColumn("file_name", F.element_at(F.split(F.input_file_name(), "/"), -1))
+
+
+@query("documents_to_files", """
+  select 'part-' || p_partkey || '.json' as file_name,
+    to_json({id: 'part-' || p_partkey, p_name: p_name, p_size: p_size})::varchar as body
+  from part order by 'part-' || p_partkey limit 50
+""")
+def documents_to_files(spark, sf_dir):
+    """The first fifty documents by key, each as a file that bears its key."""
+    folder = work_dir(spark, "files")
+    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("part-"), "p_partkey").alias("id"), "p_name", "p_size")
+    export_named_documents(parts, folder, "id", 50)
+    lines = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    return lines.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file_name"), F.rtrim(F.regexp_replace("value", "\n$", "")).alias("body"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from weirgate.operators.quality import accumulated_check
 from weirgate.plans import control
 from weirgate.schemas import ACCUMULATED_DDL, LOAD_KEYS_DDL
-from weirgate.session import read_table, small_frame
+from weirgate.session import small_frame
 from weirgate.spec import FAILED, Layout
 
 LOAD_KEYS = "load_keys"
@@ -37,7 +37,7 @@ def note_load(spark: SparkSession, layout: Layout, dataset: str, load_id: str, s
 
 
 def load_keys(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.control(LOAD_KEYS), LOAD_KEYS_DDL, recursiveFileLookup="true")
+    return control.read(spark, layout, LOAD_KEYS, LOAD_KEYS_DDL)
 
 
 def written_in_all(log: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -75,4 +75,4 @@ def check(
 
 
 def checks(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.control(CHECKS), ACCUMULATED_DDL, recursiveFileLookup="true")
+    return control.read(spark, layout, CHECKS, ACCUMULATED_DDL)

@@ -1,16 +1,22 @@
-"""Run log, marks and violations: append-only tables, read through their newest rows."""
+"""Run log, marks and violations: append-only tables, read through their newest rows.
+
+Each append has a folder of its own; a snapshot folds many of them, so a read opens a bounded number of files.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.operators.latest import latest_record
 from weirgate.schemas import RUN_LOG_DDL, VIOLATIONS_DDL, WATERMARK_DDL
-from weirgate.session import read_table
+from weirgate.session import finished_folders, folder_names, path_exists, read_table, remove, small_frame
 from weirgate.spec import FAILED, PARTIAL, SUCCESS, Layout
 
 MESSAGE_MAX = 4000
+FOLD_AFTER = 64  # appends that are read one by one before they are folded
 
 RUN_LOG = "control_ingestion_log"
 WATERMARKS = "ingestion_watermark"
@@ -53,32 +59,105 @@ def append(df: DataFrame, layout: Layout, table: str, name: str) -> None:
     """A few control rows as one file in a folder of their own.
 
     ``name`` identifies the run and dataset: writers never share a folder, however many run
-    at once, and a repeated append replaces itself.
+    at once, and a repeated append replaces itself.  Many folders are folded into a snapshot.
     """
-    df.coalesce(1).write.mode("overwrite").parquet(f"{layout.control(table)}/{name}")
+    root = layout.control(table)
+    df.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}")
+    if len(finished_folders(df.sparkSession, root)) > FOLD_AFTER:
+        fold(df.sparkSession, layout, table, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema))
+
+
+def _snapshots(spark: SparkSession, layout: Layout, table: str) -> list[int]:
+    """Numbers of whole snapshots; their rows are written last."""
+    root = layout.control(f"folded/{table}")
+    names = [name for name in folder_names(spark, root) if path_exists(spark, f"{root}/{name}/rows/_SUCCESS")]
+    return sorted(int(name) for name in names)
+
+
+class _Parts(NamedTuple):
+    """What a control table is made of: a snapshot with the appends it holds, and the appends since."""
+
+    snapshot: str | None
+    held: dict[str, int]
+    fresh: list[str]
 
 
-def _read(spark: SparkSession, layout: Layout, table: str, ddl: str) -> DataFrame:
-    return read_table(spark, layout.control(table), ddl, recursiveFileLookup="true")
+def _parts(spark: SparkSession, layout: Layout, table: str) -> _Parts:
+    listed = finished_folders(spark, layout.control(table))
+    numbers = _snapshots(spark, layout, table)
+    if not numbers:
+        return _Parts(None, {}, sorted(listed))
+    snapshot = layout.control(f"folded/{table}/{numbers[-1]:08d}")
+    held = {r["name"]: r["at"] for r in spark.read.parquet(f"{snapshot}/names").collect()}
+    return _Parts(snapshot, held, sorted(name for name, at in listed.items() if held.get(name) != at))
+
+
+def _named_rows(spark: SparkSession, layout: Layout, table: str, ddl: str, parts: _Parts) -> DataFrame:
+    """The table's rows with ``_name`` of their append; an append that was repeated counts as it is now."""
+    rows = small_frame(spark, [], f"{ddl}, _name string")
+    if parts.snapshot:
+        rows = spark.read.schema(f"{ddl}, _name string").parquet(f"{parts.snapshot}/rows").where(~F.col("_name").isin(parts.fresh))
+    if parts.fresh:
+        paths = [f"{layout.control(table)}/{name}" for name in parts.fresh]
+        name = F.url_decode(F.element_at(F.split("_metadata.file_path", "/"), -2))
+        rows = rows.unionByName(spark.read.schema(ddl).parquet(*paths).withColumn("_name", name))
+    return rows
+
+
+def fold(spark: SparkSession, layout: Layout, table: str, ddl: str) -> None:
+    """Write all rows into one snapshot, so that readers open it and what was appended since.
+
+    Appends go on meanwhile: a snapshot names the appends it holds, and any other is still read from its folder.
+    Folders go only once a later snapshot was built on one that holds them, so readers of the one before are safe.
+    """
+    parts, root = _parts(spark, layout, table), layout.control(f"folded/{table}")
+    if not parts.fresh:
+        return
+    listed = finished_folders(spark, layout.control(table))
+    held = {name: at for name, at in parts.held.items() if listed.get(name) == at} | {
+        name: listed[name] for name in parts.fresh if name in listed
+    }
+    number = 1 + max([0, *(int(name) for name in folder_names(spark, root))])
+    target = f"{root}/{number:08d}"
+    small_frame(spark, sorted(held.items()), "name string, at bigint").coalesce(1).write.parquet(f"{target}/names")
+    _named_rows(spark, layout, table, ddl, parts).coalesce(1).write.parquet(f"{target}/rows")
+    for name, at in parts.held.items():
+        if listed.get(name) == at:
+            remove(spark, f"{layout.control(table)}/{name}")
+    for old in _snapshots(spark, layout, table)[:-2]:
+        remove(spark, f"{root}/{old:08d}")
+
+
+def read(spark: SparkSession, layout: Layout, table: str, ddl: str) -> DataFrame:
+    """All rows of a control table."""
+    return _named_rows(spark, layout, table, ddl, _parts(spark, layout, table)).drop("_name")
 
 
 def logged(spark: SparkSession, layout: Layout, run_id: str, dataset: str) -> Row | None:
-    """What a run logged for a dataset, read from its own folder only."""
-    return read_table(spark, f"{layout.control(RUN_LOG)}/{run_id}-{dataset}", RUN_LOG_DDL).first()
+    """What a run logged for a dataset, read from its own folder or, when that was folded, from the snapshot."""
+    name = f"{run_id}-{dataset}"
+    own = f"{layout.control(RUN_LOG)}/{name}"
+    if path_exists(spark, own):
+        return read_table(spark, own, RUN_LOG_DDL).first()
+    numbers = _snapshots(spark, layout, RUN_LOG)
+    if not numbers:
+        return None
+    rows = spark.read.schema(f"{RUN_LOG_DDL}, _name string").parquet(layout.control(f"folded/{RUN_LOG}/{numbers[-1]:08d}/rows"))
+    return rows.where(F.col("_name") == name).drop("_name").first()
 
 
 def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
     """One row per run and dataset; a run that was logged again counts once."""
-    rows = _read(spark, layout, RUN_LOG, RUN_LOG_DDL)
+    rows = read(spark, layout, RUN_LOG, RUN_LOG_DDL)
     return latest_record(rows, ["_ingestion_id", "collection"], [F.col("end_time").desc(), F.col("start_time").desc()])
 
 
 def watermarks(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read(spark, layout, WATERMARKS, WATERMARK_DDL)
+    return read(spark, layout, WATERMARKS, WATERMARK_DDL)
 
 
 def violations(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read(spark, layout, VIOLATIONS, VIOLATIONS_DDL)
+    return read(spark, layout, VIOLATIONS, VIOLATIONS_DDL)
 
 
 def current_marks(history: DataFrame) -> DataFrame:

@@ -7,18 +7,23 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weirgate.functions.columns import sanitize_columns
+from weirgate.functions.json_values import document
 from weirgate.operators.latest import deduplicate
 from weirgate.schemas import CONSOLIDATION_DDL, MANIFEST_DDL
-from weirgate.session import folder_size, small_frame
+from weirgate.session import folder_names, folder_size, move, remove, small_frame
 from weirgate.sources.files import BY_DAY, day_folders, read_day_folders
 
 
+DOCUMENTS_MAX = 10_000
+
+
 def with_audit(df: DataFrame, run_id: str, source_table: str, at: dt.datetime) -> DataFrame:
     return df.withColumns({
         "_run_id": F.lit(run_id),
@@ -76,6 +81,46 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def write_named_file(df: DataFrame, path: str, file_format: str = "parquet", **options: str) -> None:
+    """All rows as the one file ``path``, for tables small enough for one task.
+
+    Spark writes and commits into a folder beside it; then the file gets its name by a rename, so the name stands for
+    a whole file or for none, whatever happens to the task.
+    """
+    spark, folder = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    try:
+        df.coalesce(1).write.format(file_format).options(**options).save(folder)
+        (part,) = [name for name in folder_names(spark, folder) if name.startswith("part-")]
+        move(spark, f"{folder}/{part}", path)
+    finally:
+        remove(spark, folder)
+
+
+def export_named_documents(df: DataFrame, folder: str, key: str, most: int) -> list[str]:
+    """The first ``most`` documents by key, each as the file ``<key>.json``; returns the files' names.
+
+    One task writes each document into a folder of its name; after the commit the files are moved, so a failed job
+    leaves none.  ``most`` bounds the renames.
+    """
+    if not 0 < most <= DOCUMENTS_MAX:
+        raise ValueError(f"between 1 and {DOCUMENTS_MAX} documents")
+    spark, staged = df.sparkSession, f"{folder}/_staged-{uuid.uuid4().hex}"
+    first = df.where(F.col(key).isNotNull()).orderBy(key).limit(most)
+    named = first.select(F.col(key).cast("string").alias("_name"), document(df).alias("value"))
+    try:
+        named.repartition(min(most, 32), "_name").write.partitionBy("_name").text(staged)
+        names = []
+        for name in folder_names(spark, staged):
+            if name.startswith("_name="):
+                parts = [p for p in folder_names(spark, f"{staged}/{name}") if p.startswith("part-")]
+                target = f"{name.removeprefix('_name=')}.json"
+                move(spark, f"{staged}/{name}/{parts[0]}", f"{folder}/{target}")
+                names.append(target)
+        return sorted(names)
+    finally:
+        remove(spark, staged)
+
+
 def export_documents(df: DataFrame, path: str, most: int, per_file: int = 1) -> None:
     """The first ``most`` documents as JSON files of ``per_file`` documents each."""
     df.limit(most).write.mode("overwrite").option("maxRecordsPerFile", per_file).json(path)

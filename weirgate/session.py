@@ -62,6 +62,13 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(target)] if files.exists(target) else []
 
 
+def finished_folders(spark: SparkSession, path: str) -> dict[str, int]:
+    """Folders directly below a path whose write was committed, and when."""
+    files, _ = _file_system(spark, path)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS"))
+    return {entry.getPath().getParent().getName(): entry.getModificationTime() for entry in found or []}
+
+
 def folder_size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     files, target = _file_system(spark, path)
@@ -73,6 +80,17 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, in place of one that has the name already."""
+    files, old = _file_system(spark, source)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(new.getParent())
+    if files.exists(new):
+        files.delete(new, False)
+    if not files.rename(old, new):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A few driver-side values as a DataFrame: control rows, specs, bucket heads.
 

@@ -7,7 +7,7 @@ from weirgate.operators.refine import FieldPath
 from weirgate.plans import bronze, control
 from weirgate.plans.refine_job import assert_unique, build_silver
 from weirgate.plans.run import RunContext, documents, reprocess, require_ok, run
-from weirgate.session import remove, small_frame
+from weirgate.session import folder_names, remove, small_frame
 from weirgate.spec import Contract, DatasetSpec, FieldRule, Limits
 
 DDL = "_id bigint, ts timestamp_ntz, name string, tags array<string>"
@@ -253,3 +253,27 @@ def test_a_failed_run_can_be_repeated_under_its_id(spark, layout):
     assert run(ctx, {"items": items(spark, 0, 10)}, [SPEC]).first()["status"] == "SUCCESS"
     assert status(spark, layout) == [("r1", "SUCCESS", 10, 10)]
     assert documents(ctx, SPEC).count() == 10
+
+
+def test_an_empty_full_load_is_judged(spark, layout):
+    none = items(spark, 0, 0)
+    contract = Contract("strict", (FieldRule("name", "string", required=True),))
+    specs = [DatasetSpec("free", allow_empty=True), DatasetSpec("strict"), DatasetSpec("many", allow_empty=True, expected_min=5), SPEC]
+    ctx = RunContext(spark, layout, run_id="r1", contracts={"strict": contract, "items": contract})
+    done = {r["collection"]: r for r in run(ctx, {s.name: none for s in specs}, specs).collect()}
+    assert {k: r["status"] for k, r in done.items()} == {"free": "SUCCESS", "strict": "PARTIAL", "many": "PARTIAL", "items": "SUCCESS"}
+    found = {(r["collection"], r["kind"]) for r in control.violations(spark, layout).collect()}
+    assert found == {("strict", "missing"), ("many", "volume")}
+
+
+def test_silver_with_repeated_keys_replaces_nothing(spark, layout):
+    run(RunContext(spark, layout, run_id="r1"), {"items": items(spark, 0, 4)}, [SPEC])
+    current = documents(RunContext(spark, layout), SPEC)
+    build_silver(current, layout, "items", [FieldPath("name", "name")])
+    with pytest.raises(AssertionError):
+        build_silver(current.unionByName(current.limit(1)), layout, "items", [FieldPath("name", "other")], ["tags"])
+    kept = spark.read.parquet(layout.silver("items"))
+    assert "name" in kept.columns and kept.count() == 4
+    build_silver(current, layout, "items", [FieldPath("name", "other")], ["tags"])
+    assert "other" in spark.read.parquet(layout.silver("items")).columns
+    assert sorted(folder_names(spark, f"{layout.root}/silver")) == ["items", "items_tags"]

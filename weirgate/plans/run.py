@@ -98,7 +98,8 @@ def _contract_findings(ctx: RunContext, contract: Contract | None, counts: dict)
         return []
     ddl = ", ".join(f"`{name}` bigint" for name in counts)
     counted = small_frame(ctx.spark, [tuple(counts.values())], ddl)
-    found = contracts_op.contract_violations(contracts_op.by_field(counted, contract), contract).collect()
+    metrics = contracts_op.by_field(counted, contract)
+    found = contracts_op.contract_violations(metrics, contract).collect()
     return [(r["field"], r["kind"], r["detail"], float(r["violation_pct"])) for r in found]
 
 
@@ -188,6 +189,25 @@ def current_mark(ctx: RunContext, spec: DatasetSpec) -> str | None:
     return row["watermark_value"] if row else None
 
 
+def _empty_load(ctx: RunContext, spec: DatasetSpec, incremental: bool) -> dict:
+    """The verdict on a source without rows.  Nothing new is fine for an incremental load; a full one must be allowed
+    to be empty, by the dataset, by its least volume and by its contract."""
+    if incremental:
+        return dict(status=SUCCESS, mensagem_erro=None)
+    contract, findings = ctx.contracts.get(spec.name), []
+    if contract is not None and not contract.allow_empty and not spec.allow_empty:
+        findings.append(("*", "missing", "no documents although the contract does not allow empty", 0.0))
+    if spec.expected_min > 0:
+        findings.append(("*", "volume", f"0 rows, expected at least {spec.expected_min}", 100.0))
+    if findings:
+        _log_findings(ctx, spec, findings, ctx.run_id)
+    notes = [] if spec.allow_empty else ["source is empty although allow_empty is off"]
+    notes += [detail for _, _, detail, _ in findings]
+    return dict(
+        status=PARTIAL if notes else SUCCESS, mensagem_erro="; ".join(notes) or None, contrato_ok=not findings,
+    )
+
+
 def ingest(ctx: RunContext, spec: DatasetSpec, source: DataFrame) -> dict:
     """Run one dataset and return its run-log values; nothing is logged here."""
     before = current_mark(ctx, spec)
@@ -195,9 +215,7 @@ def ingest(ctx: RunContext, spec: DatasetSpec, source: DataFrame) -> dict:
     out: dict[str, Any] = dict(watermark_inicial=before, watermark_final=before)
     scan = scan_incremental(source, spec, before, ctx.force_full)
     if scan.isEmpty():
-        allowed = incremental or spec.allow_empty
-        note = None if allowed else "source is empty although allow_empty is off"
-        return out | dict(status=SUCCESS if allowed else PARTIAL, mensagem_erro=note)
+        return out | _empty_load(ctx, spec, incremental)
 
     folder = f"{ctx.layout.landing(spec.name)}/run_id={ctx.run_id}"
     measures = []

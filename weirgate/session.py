@@ -91,6 +91,22 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a folder that was written whole in place of another.
+
+    Two renames: a crash between them leaves both the old and the new folder whole, beside the name.
+    """
+    files, new = _file_system(spark, staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path(f"{staged}.old")
+    had = files.exists(path(target)) and files.rename(path(target), old)
+    if not files.rename(new, path(target)):
+        if had:
+            files.rename(old, path(target))
+        raise OSError(f"could not rename {staged} to {target}")
+    files.delete(old, True)
+
+
 def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A few driver-side values as a DataFrame: control rows, specs, bucket heads.
 

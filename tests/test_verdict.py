@@ -21,7 +21,8 @@ def verdict(spark, limits=Limits(), **given):
 
 
 @pytest.mark.parametrize("source, written, expected", [
-    (100, 100, 0.0), (100, 99, 1.0), (100, 90, 10.0), (0, 0, 0.0), (0, 5, 100.0), (50000, 50000, 0.0),
+    (1, 1, 0.0), (1, 0, 100.0), (1, 3, 200.0), (8, 7, 12.5), (7, 8, 100 / 7), (3_000_000_000, 2_999_999_999, 100 / 3e9),
+    (4, 0, 100.0), (0, 1, 100.0), (-1, 0, 0.0),
 ])
 def test_divergence(spark, source, written, expected):
     row = spark.range(1).select(divergence_pct(F.lit(source), F.lit(written)).alias("d")).first()
@@ -29,19 +30,35 @@ def test_divergence(spark, source, written, expected):
 
 
 @pytest.mark.parametrize("given, status, may_advance", [
-    ({}, "SUCCESS", True),
-    ({"written_count": 995}, "SUCCESS", True),
-    ({"written_count": 1030}, "PARTIAL", True),
-    ({"written_count": 970}, "PARTIAL", False),
-    ({"written_count": 800}, "FAILED", False),
-    ({"null_key_pct": 0.5}, "FAILED", False),
-    ({"duplicate_keys": 3}, "PARTIAL", True),
-    ({"contract_ok": False}, "PARTIAL", True),
-    ({"written_count": 2000}, "PARTIAL", True),
-    ({"written_count": 995, "threshold_pct": 0.0}, "PARTIAL", False),
-    ({"written_count": 970, "threshold_pct": 3.0}, "SUCCESS", True),
-    ({"source_count": 0, "written_count": 0}, "SUCCESS", True),
-    ({"source_count": 0, "written_count": 5}, "PARTIAL", True),
+    # just within, at and just past the limit of 1 % and the hard limit of 5 %, short and over
+    ({"source_count": 10_000, "written_count": 9_901}, "SUCCESS", True),
+    ({"source_count": 10_000, "written_count": 9_900}, "SUCCESS", True),
+    ({"source_count": 10_000, "written_count": 9_899}, "PARTIAL", False),
+    ({"source_count": 10_000, "written_count": 9_500}, "PARTIAL", False),
+    ({"source_count": 10_000, "written_count": 9_499}, "FAILED", False),
+    ({"source_count": 10_000, "written_count": 10_100}, "SUCCESS", True),
+    ({"source_count": 10_000, "written_count": 10_101}, "PARTIAL", True),
+    ({"source_count": 10_000, "written_count": 90_000}, "PARTIAL", True),
+    # one row, and very many
+    ({"source_count": 1, "written_count": 1}, "SUCCESS", True),
+    ({"source_count": 1, "written_count": 0}, "FAILED", False),
+    ({"source_count": 1, "written_count": 2}, "PARTIAL", True),
+    ({"source_count": 7_000_000_000, "written_count": 6_930_000_001}, "SUCCESS", True),
+    ({"source_count": 7_000_000_000, "written_count": 6_929_999_999}, "PARTIAL", False),
+    # the dataset's own limit, fractions included
+    ({"source_count": 800, "written_count": 799, "threshold_pct": 0.125}, "SUCCESS", True),
+    ({"source_count": 800, "written_count": 799, "threshold_pct": 0.12}, "PARTIAL", False),
+    ({"source_count": 800, "written_count": 768, "threshold_pct": 4.5}, "SUCCESS", True),
+    ({"source_count": 800, "written_count": 720, "threshold_pct": 50.0}, "FAILED", False),
+    # nothing expected
+    ({"source_count": 0, "written_count": 0, "threshold_pct": 0.0}, "SUCCESS", True),
+    ({"source_count": 0, "written_count": 1}, "PARTIAL", True),
+    # quality
+    ({"null_key_pct": 1e-9}, "FAILED", False),
+    ({"null_key_pct": None, "duplicate_keys": None, "contract_ok": None}, "SUCCESS", True),
+    ({"duplicate_keys": 1}, "PARTIAL", True),
+    ({"duplicate_keys": 1, "source_count": 400, "written_count": 399}, "PARTIAL", False),
+    ({"contract_ok": False, "source_count": 300, "written_count": 301}, "PARTIAL", True),
 ])
 def test_status(spark, given, status, may_advance):
     row = verdict(spark, **given)
@@ -49,8 +66,8 @@ def test_status(spark, given, status, may_advance):
 
 
 def test_null_keys_need_not_be_fatal(spark):
-    row = verdict(spark, Limits(null_key_is_fatal=False), null_key_pct=0.5)
-    assert row["status"] == "PARTIAL" and "null key in 0.50%" in row["message"]
+    row = verdict(spark, Limits(null_key_is_fatal=False), null_key_pct=0.25)
+    assert row["status"] == "PARTIAL" and "null key in 0.25%" in row["message"]
 
 
 def test_reasons_are_joined(spark):

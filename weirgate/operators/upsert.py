@@ -34,41 +34,45 @@ _HEADS_DDL = "bucket int, generation bigint, buckets int, stored_rows bigint, wh
 
 
 class Head(NamedTuple):
-    """State of one bucket: its last whole generation, and the generations of changes since."""
+    """State of one bucket: the rows of its last whole generation and of each generation of changes since."""
 
-    generation: int
     buckets: int
-    stored_rows: int
-    changes: int
-    changed_rows: int
-    newest: int
+    live: dict[int, int]
     key: str | None
 
+    @property
+    def newest(self) -> int:
+        return max(self.live)
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    @property
+    def stored_rows(self) -> int:
+        return self.live[min(self.live)]
+
+    @property
+    def changes(self) -> int:
+        return len(self.live) - 1
+
+    @property
+    def changed_rows(self) -> int:
+        return sum(self.live.values()) - self.stored_rows
 
 
-def _past(spark: SparkSession, path: str) -> DataFrame:
-    """All published heads with ``base``, the last whole generation of their bucket.  A repeated publish counts once."""
-    past = read_table(spark, f"{path}/heads", _HEADS_DDL).withColumn("whole", F.coalesce("whole", F.lit(True)))
-    base = F.max(F.when(F.col("whole"), F.col("generation"))).over(Window.partitionBy("bucket", "buckets"))
-    return past.distinct().withColumn("base", base)
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
 def _heads(spark: SparkSession, path: str) -> dict[int, Head]:
-    """At most one entry per bucket; heads of an earlier number of buckets are history."""
-    since = F.col("generation") > F.col("base")
-    rows = _past(spark, path).groupBy("bucket", "buckets").agg(
-        F.max("base").alias("generation"),
-        F.max(F.when(~since & F.col("whole") & (F.col("generation") == F.col("base")), F.col("stored_rows"))).alias("stored_rows"),
-        F.count_if(since).alias("changes"),
-        F.coalesce(F.sum(F.when(since, F.col("stored_rows"))), F.lit(0)).alias("changed_rows"),
-        F.max("generation").alias("newest"), F.max("key").alias("key"),
-    ).collect()
+    """At most one entry per bucket; heads of an earlier number of buckets and of generations that were replaced are
+    history.  A repeated publish counts once."""
+    past = read_table(spark, f"{path}/heads", _HEADS_DDL)
+    whole = F.coalesce("whole", F.lit(True))
+    rows = past.groupBy("bucket", "buckets").agg(
+        F.max(F.when(whole, F.col("generation"))).alias("base"), F.max("key").alias("key"),
+        F.collect_set(F.struct("generation", "stored_rows")).alias("all"),
+    ).select("bucket", "buckets", "key", F.filter("all", lambda x: x["generation"] >= F.col("base")).alias("live")).collect()
     buckets = max((r["buckets"] for r in rows), default=0)
     return {
-        r["bucket"]: Head(r["generation"], r["buckets"], r["stored_rows"], r["changes"], r["changed_rows"], r["newest"], r["key"])
+        r["bucket"]: Head(r["buckets"], {x["generation"]: x["stored_rows"] for x in r["live"]}, r["key"])
         for r in rows if r["buckets"] == buckets
     }
 
@@ -91,28 +95,30 @@ def _bucket_count(rows: int, rows_per_bucket: int) -> int:
     return wanted
 
 
-def _live(spark: SparkSession, path: str, heads: dict[int, Head], wanted: DataFrame | None, ddl: str) -> DataFrame:
-    """Rows of all live generations, with ``_generation`` and ``_bucket``; of the wanted buckets where given.
+def _live(spark: SparkSession, path: str, heads: dict[int, Head], wanted: Sequence[int], ddl: str) -> DataFrame:
+    """Rows of the live generations of the wanted buckets, with ``_generation`` and ``_bucket``.
 
-    The pairs of generation and bucket are a small table that is joined by the partition columns, so folders of other
-    generations and buckets are pruned while the query runs, and no list of paths goes through the driver.
+    Generations and buckets are predicates on the partition columns, so folders of others are not opened, and no list
+    of paths goes through the driver; a join with the few pairs leaves out what is neither's.
     """
-    if not heads:
+    pairs = [(generation, b) for b in wanted if b in heads for generation in heads[b].live]
+    if not pairs:
         return small_frame(spark, [], f"{ddl}, _generation bigint, _bucket int")
-    buckets = next(iter(heads.values())).buckets
-    live = _past(spark, path).where((F.col("buckets") == buckets) & (F.col("generation") >= F.col("base")))
-    if wanted is not None:
-        live = live.join(wanted, "bucket", "left_semi")
-    pairs = live.select(F.col("generation").alias("_generation"), F.col("bucket").alias("_bucket")).distinct()
     stored = spark.read.schema(f"{ddl}, _generation bigint, _bucket int").parquet(f"{path}/data")
-    return stored.join(pairs, ["_generation", "_bucket"], "left_semi")
+    generations = sorted({generation for generation, _ in pairs})
+    found = stored.where(F.col("_generation").isin(generations))
+    if len(wanted) < len(heads):
+        found = found.where(F.col("_bucket").isin(list(wanted)))
+    if len(generations) == 1:
+        return found
+    return found.join(small_frame(spark, pairs, "_generation bigint, _bucket int"), ["_generation", "_bucket"], "left_semi")
 
 
 def read_keyed(spark: SparkSession, path: str, ddl: str, order: Sequence[Column] | None = None) -> DataFrame:
     """The current rows of a keyed table.  ``order`` is the one that the table is written with."""
     heads = _heads(spark, path)
     columns = [f.name for f in T.StructType.fromDDL(ddl)]
-    rows = _live(spark, path, heads, None, ddl)
+    rows = _live(spark, path, heads, sorted(heads), ddl)
     changed = [(b, head.key) for b, head in heads.items() if head.changes]
     if not changed:
         return rows.select(columns)
@@ -155,8 +161,7 @@ def stage_upsert(
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*batch.schema, *only_stored])
 
     incoming = latest_record(batch, [key], newest_first).withColumn("_generation", F.lit(generation).cast("bigint"))
-    wanted = None if whole is None else small_frame(spark, [(b,) for b in reread], "bucket int")
-    stored = _live(spark, path, heads if reread else {}, wanted, ddl).drop("_bucket")
+    stored = _live(spark, path, heads, reread, ddl).drop("_bucket")
     both = stored.unionByName(incoming, allowMissingColumns=True).withColumns({
         "_bucket": _bucket(key, buckets), "_lane": F.pmod(F.hash(key), F.lit(LANES))
     }).repartition("_bucket", "_lane")
@@ -174,7 +179,7 @@ def stage_upsert(
 
 def _due(head: Head | None, incoming: int) -> bool:
     """Whether a bucket is written whole: it is new, or has changed too much or too often since it last was."""
-    if head is None or head.generation is None:
+    if head is None:
         return True
     return head.changes + 1 > MAX_CHANGES or head.changed_rows + incoming > FOLD_SHARE * head.stored_rows
 
@@ -199,10 +204,7 @@ def upsert(
 
 def drop_stale(spark: SparkSession, path: str) -> list[int]:
     """Remove generations that no bucket uses any more, while nothing reads or writes."""
-    heads = _heads(spark, path)
-    buckets = next((h.buckets for h in heads.values()), 0)
-    live = _past(spark, path).where((F.col("buckets") == buckets) & (F.col("generation") >= F.col("base")))
-    used = {r["generation"] for r in live.select("generation").distinct().collect()}
+    used = {generation for head in _heads(spark, path).values() for generation in head.live}
     stored = [int(name.removeprefix("_generation=")) for name in folder_names(spark, f"{path}/data")]
     stale = sorted(g for g in stored if used and g < max(used) and g not in used)
     for generation in stale:

@@ -13,6 +13,7 @@ from tests.compare import DEFAULT_DIR, connect, difference
 from weirgate.llm import catalog, decontaminate, language, licenses, lines, lm, mixing, near, pii, quality, toxicity
 from weirgate.llm import text as tx
 from weirgate.llm.components import components
+from weirgate.session import work_dir
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, component string, row int"
 LONG = " ".join(f"word{i} tale{i % 7}" for i in range(4000))
@@ -234,7 +235,9 @@ def test_mix(docs):
 
 
 def test_mix_holds_its_texts(docs):
-    some = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).localCheckpoint()
+    path = work_dir(docs.sparkSession, "test-mix")
+    docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).write.parquet(path)
+    some = docs.sparkSession.read.parquet(path)
     texts = {r["doc_id"]: r["text"] for r in some.collect()}
     ordered = mixing.sequence(some).orderBy("slot", "at").collect()
     taken, laps, slots = {}, {}, {}

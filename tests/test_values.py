@@ -1,13 +1,17 @@
 """Column functions on literal inputs."""
 
 import datetime as dt
+import json
+import random
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.functions.columns import canonical_text, clean_names, is_blank_list
+from weirgate.functions.json_cut import cut_members
 from weirgate.functions.json_values import (
     body_without, dirty_number, document, path_text, source_key, text_array, tolerant_timestamp,
 )
@@ -55,6 +59,38 @@ def test_body_without_keeps_the_key_and_the_rest(spark):
     assert one(spark, body_without(body, ["secret", "_id", "gone"])) == '{"_id":1,"n":null,"t":"a"}'
 
 
+@pytest.mark.parametrize("body, expected", [
+    ('{"a":1.50,"b":1e5}', '{"b":1e5}'), ('{"b":1e5, "a":2}', '{"b":1e5}'), ('{ "a" : 1 , "b" : 00.5e1 }', None),
+    ('{"a":1}', "{}"), ("{}", "{}"), ("{ }", "{ }"), ('{"a":{"b":"}"},"c":[{"a":1},"a"]}', '{"c":[{"a":1},"a"]}'),
+    ('{"x":"\\\\","a":"\\"","y":"a,\\"a\\":1"}', '{"x":"\\\\","y":"a,\\"a\\":1"}'),
+    ('{"\\u0061":1,"b":123456789012345678901234567890.10}', '{"b":123456789012345678901234567890.10}'),
+    ('{"a":1,"b":2,"a":3}', '{"b":2}'), ('{"b":1}{"a"', None), ('{"é":"ü","a":"日本"}', '{"é":"ü"}'), ("[1]", None), ("{", None), ("", None), (None, None),
+])
+def test_members_are_cut_without_rewriting_the_rest(spark, body, expected):
+    assert one(spark, body_without(F.lit(body).cast("string"), ["a"])) == expected
+
+
+def test_cut_members_against_a_parser(spark):
+    rng = random.Random(5)
+
+    def value(deep):
+        kind = rng.randrange(6 if deep else 4)
+        if kind == 0:
+            return rng.choice(["1e5", "-0.10", "12345678901234567890.5", "null", "true"])
+        if kind < 4:
+            return json.dumps("".join(rng.choice('a"\\{}[],: é\n') for _ in range(rng.randrange(6))), ensure_ascii=rng.random() < 0.5)
+        inner = [value(deep - 1) for _ in range(rng.randrange(3))]
+        return "[" + ", ".join(inner) + "]" if kind == 4 else "{" + ",".join(f'"a{i}" : {v}' for i, v in enumerate(inner)) + "}"
+
+    names, bodies, expected = ["a", "b", 'q"', "d\\", "é"], [], []
+    for _ in range(400):
+        picked = rng.sample(names, rng.randrange(len(names) + 1))
+        members = [(name, f"{json.dumps(name)}: {value(2)}") for name in picked]
+        bodies.append("{" + ",".join(m for _, m in members) + "}")
+        expected.append("{" + ",".join(m for name, m in members if name not in ('q"', "b")) + "}")
+    assert list(cut_members(pd.Series([None, *bodies]), ('q"', "b"))) == [None, *expected]
+
+
 def test_document_keeps_nulls_and_microseconds(spark):
     df = spark.sql("select 1 a, cast(null as string) b, timestamp_ntz'2024-01-01 00:00:00.000123' t, x'0aff' r")
     text = df.select(document(df)).first()[0]

@@ -128,6 +128,26 @@ def projection_exclude(spark, sf_dir):
     return docs.select("c_custkey", body_without(F.col("body"), ["c_acctbal", "c_custkey"], "c_custkey").alias("body"))
 
 
+@query("projection_exact", """
+  select l_orderkey, l_linenumber, '{ "line": "' || l_orderkey || '-' || l_linenumber || '","price": '
+    || cast(l_extendedprice as decimal(18, 2)) || '000000000000000000000001e5 , "say": "a \\" } , b"}' as body
+  from lineitem
+""")
+def projection_exact(spark, sf_dir):
+    """Numbers beyond any number type, escapes and blanks come out as they were written."""
+    line = table(spark, sf_dir, "lineitem")
+    inner = F.concat(F.lit(',"secret": {"a": [1, "}", {"price": "x\\\\"}]}, "'), F.lit('\\u0073hh'), F.lit('":"'), F.col("l_shipmode"), F.lit('"}'))
+    head = F.concat(F.lit('{ "line": "'), "l_orderkey", F.lit("-"), "l_linenumber", F.lit('",'))
+    price = F.concat(
+        F.lit('"price": '), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+        F.lit('000000000000000000000001e5 , "say": "a \\" } , b"'),
+    )
+    docs = line.select(
+        "l_orderkey", "l_linenumber", F.concat(head, price, inner).alias("body")
+    )
+    return docs.select("l_orderkey", "l_linenumber", body_without(F.col("body"), ["secret", "shh"]).alias("body"))
+
+
 @query("projection_exclude_wide", "select vec_id, label from embeddings")
 def projection_exclude_wide(spark, sf_dir):
     return scans.exclude(table(spark, sf_dir, "embeddings"), ["embedding"], "vec_id")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirgate.functions.json_cut import cut_members
+
 # The first numeric token of a text, and its whole part.
 NUMBER_TOKEN = r"-?\d+\.?\d*"
 WHOLE_TOKEN = r"-?\d+"
@@ -76,9 +79,16 @@ def source_key(body: Column, key: str = "_id") -> Column:
 
 
 def body_without(body: Column, fields: tuple[str, ...] | list[str], key: str = "_id") -> Column:
-    """JSON text without the given top-level fields; the key always stays."""
-    dropped = [name for name in fields if name != key]
+    """JSON text without the given top-level fields; the key always stays.
+
+    What is kept keeps its bytes: numbers, escapes and blanks are not written anew.  Anything but a JSON object is null.
+    """
+    dropped = tuple(name for name in fields if name != key)
     if not dropped:
         return body
-    parts = F.from_json(body, "map<string,variant>")
-    return F.to_json(F.map_filter(parts, lambda name, _: ~name.isin(dropped)))
+
+    @F.pandas_udf("string")
+    def cut(bodies: pd.Series) -> pd.Series:
+        return cut_members(bodies, dropped)
+
+    return cut(F.when(F.json_object_keys(body).isNotNull(), body))

@@ -136,7 +136,7 @@ def projection_exclude(spark, sf_dir):
 def projection_exact(spark, sf_dir):
     """Numbers beyond any number type, escapes and blanks come out as they were written."""
     line = table(spark, sf_dir, "lineitem")
-    inner = F.concat(F.lit(',"secret": {"a": [1, "}", {"price": "x\\\\"}]}, "'), F.lit('\\u0073hh'), F.lit('":"'), F.col("l_shipmode"), F.lit('"}'))
+    inner = F.concat(F.lit(',"secret": {"a": [1, "}", {"price": "x\\\\"}]}, "'), F.lit('\\u0073hh'), F.lit('":"'), F.col("l_returnflag"), F.lit('"}'))
     head = F.concat(F.lit('{ "line": "'), "l_orderkey", F.lit("-"), "l_linenumber", F.lit('",'))
     price = F.concat(
         F.lit('"price": '), F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),

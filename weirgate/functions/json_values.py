@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgate.functions.json_cut import cut_members
+from weirgate.functions import json_cut
+
+cloudpickle.register_pickle_by_value(json_cut)  # workers need not have this package
 
 # The first numeric token of a text, and its whole part.
 NUMBER_TOKEN = r"-?\d+\.?\d*"
@@ -87,8 +90,10 @@ def body_without(body: Column, fields: tuple[str, ...] | list[str], key: str = "
     if not dropped:
         return body
 
+    members_cut = json_cut.cut_members  # by value, unlike a name looked up in this module
+
     @F.pandas_udf("string")
     def cut(bodies: pd.Series) -> pd.Series:
-        return cut_members(bodies, dropped)
+        return members_cut(bodies, dropped)
 
     return cut(F.when(F.json_object_keys(body).isNotNull(), body))

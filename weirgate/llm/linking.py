@@ -15,25 +15,44 @@ from weirgate.llm.components import components
 from weirgate.session import remove, work_dir
 
 
+LARGE = 512  # of sets this large nearly all MinHash bins are filled, so the bits of their tokens are independent
+
+
+def sketch_of(odd: int) -> Column:
+    """The sketch of a set as one column: its size, 128 bits of MinHash tokens, ``odd`` longs of its odd sketch."""
+    return F.struct("n", "s1", "s2", *[f"o{i}" for i in range(odd)]).alias("sketch")
+
+
 def shared_groups(members: DataFrame) -> DataFrame:
-    """The members (grp, id, s1, s2 and others) of groups of two or more, with a pivot: one member, chosen by hash."""
+    """The members (grp, id, sketch and others) of groups of two or more, with a pivot: one member, chosen by hash."""
     rest = [c for c in members.columns if c != "grp"]
     chosen = F.min(F.struct(F.xxhash64("grp", "id").alias("by"), *rest)).alias("pivot")
     sizes = members.groupBy("grp").agg(F.count("*").alias("n"), chosen)
-    return members.join(sizes.where("n > 1"), "grp")
+    return members.join(sizes.where("n > 1").drop("n"), "grp")
 
 
-def distance(left: str, right: str):
-    """How many of the sketches' 128 bits differ."""
-    return sum(
-        (F.bit_count(F.col(f"{left}{x}").bitwiseXOR(F.col(f"{right}{x}"))) for x in ("s1", "s2")), start=F.lit(0)
-    )
+def likely(groups: DataFrame, left: str, right: str, percent: int, most_bits: int) -> Column:
+    """Whether two sketched sets may have ``percent`` of their union in common.
+
+    Sizes and odd sketches lose no link: an element held by one of the two flips at most one bit, and at ``percent``
+    at most (100 - percent) / (100 + percent) of both sizes are held by one.  Tokens are asked only of large sets.
+    """
+    fields = groups.schema["sketch"].dataType.names
+    n, m = F.col(f"{left}sketch.n"), F.col(f"{right}sketch.n")
+
+    def differing(names: list[str]) -> Column:
+        bits = [F.bit_count(F.col(f"{left}sketch.{x}").bitwiseXOR(F.col(f"{right}sketch.{x}"))) for x in names]
+        return reduce(Column.__add__, bits)
+
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    odd = differing([x for x in fields if x.startswith("o")]) * (100 + percent) <= (n + m) * (100 - percent)
+    return sizes & odd & ((F.least(n, m) < LARGE) | (differing(["s1", "s2"]) <= most_bits))
 
 
-def star_pairs(groups: DataFrame, most_bits: int) -> DataFrame:
-    """Each member with the pivot of its group, where their sketches are near and, as far as their components are known,
+def star_pairs(groups: DataFrame, percent: int, most_bits: int) -> DataFrame:
+    """Each member with the pivot of its group, where they are likely near and, as far as their components are known,
     these differ."""
-    others = groups.where(F.col("id") != F.col("pivot.id")).where(distance("", "pivot.") <= most_bits)
+    others = groups.where(F.col("id") != F.col("pivot.id")).where(likely(groups, "", "pivot.", percent, most_bits))
     if "component" in groups.columns:
         others = others.where(F.col("component") != F.col("pivot.component"))
     return others.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
@@ -55,15 +74,15 @@ def mixed_groups(members: DataFrame) -> DataFrame:
     return members.join(mixed.select("grp", "crossing", "members", F.col("top.component").alias("top")), "grp")
 
 
-def cross_pairs(members: DataFrame, most_bits: int) -> DataFrame:
-    """Pairs of a group whose components differ and whose sketches are near.
+def cross_pairs(members: DataFrame, percent: int, most_bits: int) -> DataFrame:
+    """Pairs of a group whose components differ and that are likely near.
 
     Members outside the group's largest component meet all others, so copies in one component never meet.
     """
     left, right = members.where("component <> top").alias("l"), members.alias("r")
     once = (F.col("r.component") == F.col("r.top")) | (F.col("l.id") > F.col("r.id"))
     near = left.join(right, F.col("l.grp") == F.col("r.grp")).where(
-        (F.col("l.component") != F.col("r.component")) & once & (distance("l.", "r.") <= most_bits)
+        (F.col("l.component") != F.col("r.component")) & once & likely(members, "l.", "r.", percent, most_bits)
     )
     return near.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
 
@@ -120,20 +139,19 @@ class Scratch:
         self.paths = [(name, path) for name, path in self.paths if name in but]
 
 
-SMALL = 32
 LEVELS = 16
 FEW = 20  # links fewer than one in so many members leave the components of deeper levels as they are until the end
 
 
 def child_groups(members: DataFrame, reps: DataFrame, coordinates: int) -> DataFrame:
     """The next level: each group selects one or two MinHash tokens by its own name, and members that share one stay
-    together.  ``reps`` has id, tokens (4 bytes each), s1 and s2."""
+    together.  ``reps`` has id, tokens (4 bytes each) and sketch."""
     one = F.pmod(F.xxhash64("grp", F.lit(1)), F.lit(coordinates)).cast("int")
     two = F.pmod(F.xxhash64("grp", F.lit(2)), F.lit(coordinates)).cast("int")
     second = F.pmod(F.xxhash64("grp", F.lit(3)), F.lit(3)) == 0  # 4/3 tokens on average, one over the threshold
     picked = members.withColumn("at", F.explode(F.when(second, F.array(one, two)).otherwise(F.array(one))))
-    full = picked.select("grp", "at", "id", "component").distinct().join(reps.select("id", "tokens", "s1", "s2"), "id")
-    return full.select(F.xxhash64("grp", "at", token(F.col("at"))).alias("grp"), "id", "s1", "s2", "component")
+    full = picked.select("grp", "at", "id", "component").distinct().join(reps.select("id", "tokens", "sketch"), "id")
+    return full.select(F.xxhash64("grp", "at", token(F.col("at"))).alias("grp"), "id", "sketch", "component")
 
 
 def token(coordinate: Column) -> Column:
@@ -142,31 +160,32 @@ def token(coordinate: Column) -> Column:
 
 def connected(
     groups: DataFrame, payloads: Callable[[DataFrame], DataFrame], reps: Callable[[DataFrame], DataFrame],
-    to_set: Callable[[bytes], np.ndarray], percent: int, most_bits: int, coordinates: int, scratch: Scratch,
+    to_set: Callable[[bytes], np.ndarray], percent: int, most_bits: int, coordinates: int, small: int, scratch: Scratch,
 ) -> DataFrame:
     """The components (node, component) of all links that groups of likely partners lead to.
 
-    Members meet their group's pivot.  A group whose members then have at most ``SMALL`` partners on average in other
+    Members meet their group's pivot.  A group whose members then have at most ``small`` partners on average in other
     components is compared exhaustively; another is branched again by further tokens, up to ``LEVELS`` times, and
     then compared whatever its size.  Below the first level members carry their components along; links that would
     hardly change these are kept for the end.  ``payloads`` and ``reps`` fetch what belongs to the ids given.
     """
     kept = scratch.kept
     level = groups
-    tried = pairs = kept(star_pairs(level, most_bits), "stars")
+    tried = pairs = kept(star_pairs(level, percent, most_bits), "stars")
     found = kept(verified(pairs, payloads(ends_of(pairs)), to_set, percent), "links")
     labels, waiting, candidates = kept(components(found), "labels"), [], None
     level = named(level, labels)
     for depth in range(1, LEVELS + 1):
         level = kept(mixed_groups(level), "level")
-        is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= SMALL * F.col("members"))
-        small = cross_pairs(level.where(is_small), most_bits)
-        candidates = small if candidates is None else candidates.union(small)
+        is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= small * F.col("members"))
+        crossing = cross_pairs(level.where(is_small), percent, most_bits)
+        candidates = crossing if candidates is None else candidates.union(crossing)
         large = level.where(~is_small)
         if large.isEmpty():
             break
         level = kept(shared_groups(child_groups(large, reps(large.select("id").distinct()), coordinates)), "groups")
-        pairs = kept(star_pairs(level, most_bits), "stars")
+        # a pair that was refused once is not brought together again
+        pairs = kept(star_pairs(level, percent, most_bits).join(tried, ["a", "b"], "left_anti"), "stars")
         if pairs.isEmpty():
             continue
         tried = tried.union(pairs)

@@ -1,8 +1,8 @@
 """MinHash near-duplicates as a chosen-path set similarity join.
 
 Documents are sets of five-word shingles.  One permutation gives each set ``COORDINATES`` MinHash tokens and a
-sketch of one bit of each.  In each of ``TREES`` independent trees documents branch by one or two selected tokens:
-those that share the token share a node.  A node whose documents have at most ``linking.SMALL`` partners on average that are
+sketch: its size, one bit of each token and the parity of its shingles in 512 places.  In each of ``TREES`` independent trees documents branch by one or two selected tokens:
+those that share the token share a node.  A node whose documents have at most ``SMALL`` partners on average that are
 not yet known to be connected is compared exhaustively; another branches again by tokens of its own (what is left
 after ``linking.LEVELS`` levels is compared whatever its size).  Two
 documents at the threshold meet below a node with a chance of about 0.81 a level, so all trees miss them with a
@@ -21,7 +21,6 @@ empty result.  Other columns are not read.  Texts are taken whole.
 from __future__ import annotations
 
 import random
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
-from weirgate.llm.linking import Scratch, connected, shared_groups, token
+from weirgate.llm.linking import Scratch, connected, shared_groups, sketch_of, token
 from weirgate.llm.sampling import passing, sieve
 
 WIDTH = 5
 PERCENT = 75
 COORDINATES = 128
 TREES = 10
-NEAR_BITS = 38  # of 128: a pair at the threshold differs in 16 on average, with a deviation of 3.7
+NEAR_BITS = 38  # of 128, asked of large sets only: at the threshold 16 differ on average, with a deviation of 3.7
+ODD = 8  # longs of the odd sketch, which tells sets of up to some 700 shingles apart
+SMALL = 512  # partners a member that a node may have to be compared exhaustively: the sketches leave few of them
 _EXTRA = 1 / 3  # beside one token, a node selects a second so often: 4/3 on average, one over the threshold
 
 
@@ -52,36 +53,42 @@ def signatures(docs: DataFrame) -> DataFrame:
             stack = np.stack(tokens) if tokens else np.empty((0, COORDINATES), np.uint64)
             bits = np.packbits((tx.mix(stack) >> np.uint64(40)).astype(np.uint8) & 1, axis=1).view(np.int64)
             names = np.array([(np.sum(s), np.sum(tx.mix(s))) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            odd = tx.odd_sketch(
+                np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), sizes), len(sets), ODD
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    piece.column("doc_id"), pa.array(sizes),
                     pa.array(names[:, 0]), pa.array(names[:, 1]),
                     pa.array([row.tobytes() for row in (stack >> np.uint64(20)).astype(np.uint32)], pa.binary()),
-                    pa.array(bits[:, 0]), pa.array(bits[:, 1]),
+                    pa.array(bits[:, 0]), pa.array(bits[:, 1]), *[pa.array(odd[:, i]) for i in range(ODD)],
                 ],
-                ["doc_id", "n_shingles", "k1", "k2", "tokens", "s1", "s2"],
+                ["doc_id", "n_shingles", "k1", "k2", "tokens", "s1", "s2", *parity],
             )
 
-    ddl = "doc_id long, n_shingles long, k1 long, k2 long, tokens binary, s1 long, s2 long"
+    parity = [f"o{i}" for i in range(ODD)]
+    ddl = "doc_id long, n_shingles long, k1 long, k2 long, tokens binary, s1 long, s2 long, "
+    ddl += ", ".join(f"{c} long" for c in parity)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, ddl)
 
 
 def payloads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The packed texts of the documents whose ids are wanted (and of a few that the sieve lets through)."""
+    """The shingles, sorted and distinct, of the documents whose ids are wanted (and of a few that the sieve lets through)."""
     mesh = sieve(wanted, "id")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tx.slices(batches, "text"):
             ids = pc.fill_null(batch.column("id"), -1).to_numpy(zero_copy_only=False)
             some = batch.filter(pa.array(passing(mesh.value, ids)))
-            packed = [zlib.compress((t or "").encode(), 1) for t in some.column("text").to_pylist()]
+            packed = [s.tobytes() for s in tx.word_shingles(some.column("text"), WIDTH)]
             yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(packed, pa.binary())], ["id", "payload"])
 
     return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(pack, "id long, payload binary")
 
 
 def shingle_set(payload: bytes) -> np.ndarray:
-    return tx.word_shingles(pa.array([zlib.decompress(payload).decode()]), WIDTH)[0]
+    return np.frombuffer(payload, np.uint64)
 
 
 def first_nodes(reps: DataFrame) -> DataFrame:
@@ -92,24 +99,24 @@ def first_nodes(reps: DataFrame) -> DataFrame:
         for at in choose.sample(range(COORDINATES), 1 + (choose.random() < _EXTRA))
     ]
     nodes = F.array(*[F.xxhash64(F.lit(t), F.lit(i), token(F.lit(i))) for t, i in picks])
-    return reps.select(F.explode(nodes).alias("grp"), "id", "s1", "s2")
+    return reps.select(F.explode(nodes).alias("grp"), "id", "sketch")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
     scratch = Scratch(docs.sparkSession, "near")
     kept = scratch.kept
-    signed = kept(signatures(docs), "signed")
+    signed = kept(signatures(docs), "signed").withColumn("n", F.col("n_shingles"))
     classes = kept(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2", "n_shingles")
-        .agg(F.min(F.struct("doc_id", "tokens", "s1", "s2")).alias("r"))
-        .select("k1", "k2", "n_shingles", F.col("r.doc_id").alias("id"), "r.tokens", "r.s1", "r.s2"),
+        .agg(F.min(F.struct("doc_id", "tokens", sketch_of(ODD))).alias("r"))
+        .select("k1", "k2", "n_shingles", F.col("r.doc_id").alias("id"), "r.tokens", "r.sketch"),
         "classes",
     )
     groups = kept(shared_groups(first_nodes(classes)), "groups")
     texts = kept(payloads(docs, groups.select("id")), "texts")
     labels = connected(
-        groups, lambda ids: texts, lambda ids: classes, shingle_set, PERCENT, NEAR_BITS, COORDINATES, scratch
+        groups, lambda ids: texts, lambda ids: classes, shingle_set, PERCENT, NEAR_BITS, COORDINATES, SMALL, scratch
     )
     scratch.drop("signed", "classes", "components")
 

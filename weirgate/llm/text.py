@@ -131,6 +131,14 @@ def one_permutation_rows(shingles: np.ndarray, sizes: np.ndarray, bins: int) ->
     return found
 
 
+def odd_sketch(elements: np.ndarray, of_row: np.ndarray, rows: int, longs: int) -> np.ndarray:
+    """For each row, which of ``64 * longs`` places an odd number of its distinct elements fall on, as longs."""
+    bits = 64 * longs
+    at = (mix(elements) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(of_row * bits + at, minlength=rows * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(rows, bits), axis=1).view(np.int64)
+
+
 def column_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, nulls as empty, and where each begins."""
     filled = pc.fill_null(texts, "").cast(pa.large_string())

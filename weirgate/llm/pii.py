@@ -61,10 +61,12 @@ def _valid() -> Column:
     )
 
 
-def _matches(kind: str, form: str) -> Column:
-    """All matches of a form: kind, number, string, the length of the piece before, the words beside."""
+def _matches(kind: str, form: str, pieces: Column) -> Column:
+    """All matches of a form: kind, number, string, the length of the piece before, the words beside.
+
+    ``pieces`` are what lies between the matches.
+    """
     text, pattern = F.coalesce(F.col("text"), F.lit("")), F.lit(form)
-    pieces = F.split(text, form, -1)
 
     def match(found: Column, at: Column) -> Column:
         before, after = F.get(pieces, at), F.get(pieces, at + 1)
@@ -83,8 +85,16 @@ def matched(docs: DataFrame) -> DataFrame:
     path = work_dir(docs.sparkSession, "pii-matches")
     forms = [*FORMS.items(), ("", CANDIDATE)]
     none = F.array().cast("array<struct<kind: string, at: int, found: string, gap: int, left: string, right: string>>")
-    some = [F.when(F.col("text").rlike(form), _matches(kind, form)).otherwise(none) for kind, form in forms]
-    docs.select(
+    # exploded, a text is split once a form; plain columns would be merged into the functions and split for each match
+    apart = F.struct(*[
+        F.when(F.col("text").rlike(form), F.split("text", form, -1)).alias(f"p{i}") for i, (_, form) in enumerate(forms)
+    ])
+    split = docs.select("doc_id", "text", F.explode(F.array(apart)).alias("apart"))
+    some = [
+        F.when(F.col(f"apart.p{i}").isNotNull(), _matches(kind, form, F.col(f"apart.p{i}"))).otherwise(none)
+        for i, (kind, form) in enumerate(forms)
+    ]
+    split.select(
         F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), F.concat(*some).alias("matches")
     ).write.parquet(path)
     return docs.sparkSession.read.parquet(path)

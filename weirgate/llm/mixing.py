@@ -163,7 +163,9 @@ def mixed(docs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("slot", "at", "first_word", "words"))).alias("cuts"),  # one document's
         F.sum("words").cast("long").alias("taken"),
     )
-    split = rows.join(of_row, "row").withColumn("split", F.regexp_extract_all("text", F.lit(WORD_AND_BLANKS), F.lit(0)))
+    # exploded, a text is split once; a plain column would be merged into the function below and split for each piece
+    words_of = F.explode(F.array(F.regexp_extract_all("text", F.lit(WORD_AND_BLANKS), F.lit(0)))).alias("split")
+    split = rows.join(of_row, "row").select("doc_id", "source", "size", "taken", "cuts", words_of)
 
     def piece(cut: Column) -> Column:
         words = F.slice("split", (cut["first_word"] + 1).cast("int"), cut["words"].cast("int"))

@@ -2,8 +2,10 @@
 
 Slot ``i`` of the mix takes the golden-ratio point ``frac(i * PHI)``, mapped through the cumulative targets to a
 source.  The slots of a source are ranked in order, and slot by slot they take the blocks of ``BLOCK`` words that
-its documents, shuffled by the hash of their id, form end to end.  After the last block the first comes again, up
-to ``LAPS`` times.
+its documents, shuffled by the hash of their id, form end to end.  The words go round: after the last the first comes
+again in the same block, up to ``LAPS`` times.  The last block of a source ends at its target, so a source gets its
+target to the word, however small.  Slots beyond it stay empty; blocks that the points leave without a slot, a few for
+each source (as the points' discrepancy says), follow at the end of the mix.
 
 Sources by code point, null last, weigh 1, 2, 3, repeating; they share the number of all words, none above ``LAPS``
 times its own size, the excess going to the others by weight.  A null or empty text has size 0 and is never taken.
@@ -48,7 +50,7 @@ def sized(docs: DataFrame, *also: str) -> DataFrame:
 
 
 def targets(rows: DataFrame) -> DataFrame:
-    """Per source: its number, size, target, and its stretch of the cumulative targets, as shares.
+    """Per source: its number, size, target, that in whole words, and its stretch of the cumulative targets, as shares.
 
     The level of water at which all targets meet is the largest of the levels that come from filling the
     sources in order of their limits.
@@ -70,7 +72,8 @@ def targets(rows: DataFrame) -> DataFrame:
         shared.withColumn("upto", F.try_divide(upto, whole))
         .withColumn("since", F.coalesce(F.lag("upto").over(by_name), F.lit(0.0)))
         .withColumn("last", F.col("number") == F.max("number").over(Window.partitionBy()))
-        .select("source", "number", "source_size", "target", "since", F.when(F.col("last"), 2.0).otherwise(F.col("upto")).alias("upto"))
+        .withColumn("words", F.floor(F.col("target") + 0.5))
+        .select("source", "number", "source_size", "target", "words", "since", F.when(F.col("last"), 2.0).otherwise(F.col("upto")).alias("upto"))
     )
 
 
@@ -90,34 +93,46 @@ def running(rows: DataFrame, group: str, stretch: Column, order: list[str], amou
 
 
 def schedule(rows: DataFrame, sources: DataFrame, total: int) -> DataFrame:
-    """The mix in order: slot, source number, the slot's rank in its source."""
+    """The mix in order: slot, source number, block of the source.  Each block of a target has one slot."""
     spark = rows.sparkSession
     slots = -(-total // BLOCK)
     points = spark.range(slots).select(F.col("id").alias("slot"), (F.col("id") * F.lit(PHI)).alias("x"))
     points = points.select("slot", (F.col("x") - F.floor("x")).alias("point"))
     points = points.withColumn("cell", F.floor(F.col("point") * CELLS))
-    stretches = sources.where("target > 0").select(
+    stretches = sources.where("words > 0").select(
         "number", "since", "upto",
         F.explode(F.sequence(F.floor(F.col("since") * CELLS), F.least(F.floor(F.col("upto") * CELLS), F.lit(CELLS - 1)))).alias("cell"),
     )
     placed = points.join(stretches, "cell").where("point >= since AND point < upto").select("slot", "number")
     length = max(RANGE_ROWS, math.isqrt(max(slots, 1)))
-    return running(placed, "number", F.floor(F.col("slot") / length), ["slot"], F.lit(1), "rank")
+    ranked = running(placed, "number", F.floor(F.col("slot") / length), ["slot"], F.lit(1), "block")
+    wanted = sources.where("words > 0").select("number", F.ceil(F.col("words") / BLOCK).alias("wanted"))
+    used = ranked.join(wanted, "number").where("block < wanted").select("slot", "number", "block")
+    had = placed.groupBy("number").agg(F.count("*").alias("had"))
+    short = wanted.join(had, "number", "left").na.fill(0, ["had"]).where("had < wanted")
+    late = short.select("number", "had", F.explode(F.sequence(F.col("had"), F.col("wanted") - 1)).alias("block"))
+    after = F.lit(slots) + (F.col("block") - F.col("had")) * F.lit(sources.count()) + F.col("number") - 1
+    return used.union(late.select(after.alias("slot"), "number", "block"))
 
 
 def blocks(rows: DataFrame, sources: DataFrame, count: int) -> DataFrame:
-    """The shuffled documents cut into blocks: source number, block, row and the words that lie in it, with the
-    place of the first in the block (``at``)."""
+    """What the blocks of a source take of its shuffled documents: source number, block, row and the words that lie
+    in it, with the place of the first in the block (``at``).  A document lies in each lap that its source goes."""
     digits = max(1, math.ceil(math.log(max(count / RANGE_ROWS, 1), 16)))
-    numbered = rows.join(sources.select(F.col("source").alias("_of"), "number"), F.col("source").eqNullSafe(F.col("_of")))
-    numbered = numbered.where("size > 0").select("row", "number", "size", "place", "doc_id")
+    about = sources.where("words > 0").select(F.col("source").alias("_of"), "number", "source_size", F.col("words").alias("wanted"))
+    numbered = rows.join(about, F.col("source").eqNullSafe(F.col("_of"))).where("size > 0")
+    numbered = numbered.select("row", "number", "size", "place", "doc_id", "source_size", "wanted")
     put = running(numbered, "number", F.substring("place", 1, digits), ["place", "doc_id", "size", "row"], F.col("size"), "start")
-    end = F.col("start") + F.col("size")
-    cut = put.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((end - 1) / BLOCK))))
-    first = F.greatest(F.col("start"), F.col("block") * BLOCK)
+    laps = F.floor((F.col("wanted") - 1 - F.col("start")) / F.col("source_size"))
+    turned = put.where("start < wanted").withColumn("lap", F.explode(F.sequence(F.lit(0).cast("long"), laps)))
+    begin = F.col("start") + F.col("lap") * F.col("source_size")
+    end = F.least(begin + F.col("size"), F.col("wanted"))
+    laid = turned.select("number", "row", begin.alias("begin"), end.alias("end"))
+    cut = laid.withColumn("block", F.explode(F.sequence(F.floor(F.col("begin") / BLOCK), F.floor((F.col("end") - 1) / BLOCK))))
+    first = F.greatest(F.col("begin"), F.col("block") * BLOCK)
     return cut.select(
-        "number", "block", "row", (first - F.col("block") * BLOCK).alias("at"), (first - F.col("start")).alias("first_word"),
-        (F.least(end, (F.col("block") + 1) * BLOCK) - first).alias("words"),
+        "number", "block", "row", (first - F.col("block") * BLOCK).alias("at"), (first - F.col("begin")).alias("first_word"),
+        (F.least(F.col("end"), (F.col("block") + 1) * BLOCK) - first).alias("words"),
     )
 
 
@@ -128,15 +143,8 @@ def pieces(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     path = work_dir(spark, "mix-targets")
     targets(rows).write.parquet(path)
     sources = spark.read.parquet(path)
-    held = sources.select("number", F.ceil(F.col("source_size") / BLOCK).alias("n_blocks"))
-    uses = (
-        schedule(rows, sources, totals["total"]).join(held, "number")
-        .where(F.col("rank") < LAPS * F.col("n_blocks"))
-        .select("slot", "number", (F.col("rank") % F.col("n_blocks")).alias("block"))
-    )
-    return sources, blocks(rows, sources, totals["n"]).join(uses, ["number", "block"]).select(
-        "slot", "at", "row", "first_word", "words"
-    )
+    cut = blocks(rows, sources, totals["n"]).join(schedule(rows, sources, totals["total"]), ["number", "block"])
+    return sources, cut.select("slot", "at", "row", "first_word", "words")
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -201,30 +209,15 @@ WITH r AS (
     FROM s1)
 ), s3 AS (
   SELECT source, number, source_size, least({LAPS} * source_size::DOUBLE, top * weight) AS target FROM s2
-), s4 AS (
-  SELECT *, sum(target) OVER (ORDER BY number) / sum(target) OVER () AS upto FROM s3
 ), s AS (
-  SELECT source, number, source_size, target, coalesce(lag(upto) OVER (ORDER BY number), 0) AS since,
-    CASE WHEN number = max(number) OVER () THEN 2 ELSE upto END AS upto
-  FROM s4
-), slots AS (
-  SELECT p.i, s.number, row_number() OVER (PARTITION BY s.number ORDER BY p.i) - 1 AS rank,
-    ceil(s.source_size / {BLOCK})::BIGINT AS n_blocks
-  FROM (SELECT i, i * {PHI}::DOUBLE - floor(i * {PHI}::DOUBLE) AS point
-        FROM range(0, ((SELECT sum(size) FROM r)::BIGINT + {BLOCK - 1}) // {BLOCK}) t(i)) p
-  JOIN s ON p.point >= s.since AND p.point < s.upto AND s.target > 0
-), uses AS (
-  SELECT number, rank % n_blocks AS block, count(*) AS uses FROM slots WHERE rank < {LAPS} * n_blocks GROUP BY 1, 2
+  SELECT *, floor(target + 0.5)::BIGINT AS words FROM s3
 ), put AS (
-  SELECT r.row, s.number, r.size,
+  SELECT r.row, r.size, s.words // s.source_size AS laps, s.words % s.source_size AS rest,
     coalesce(sum(r.size) OVER (PARTITION BY s.number ORDER BY place, doc_id, size, row
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM r JOIN s ON r.source IS NOT DISTINCT FROM s.source WHERE r.size > 0
-), pieces AS (
-  SELECT row, number, block, least(start + size, (block + 1) * {BLOCK}) - greatest(start, block * {BLOCK}) AS words
-  FROM (SELECT *, unnest(range(start // {BLOCK}, (start + size - 1) // {BLOCK} + 1)) AS block FROM put)
 ), taken AS (
-  SELECT row, sum(words * uses)::BIGINT AS taken FROM pieces JOIN uses USING (number, block) GROUP BY row
+  SELECT row, laps * size + greatest(0, least(start + size, rest) - start) AS taken FROM put
 )
 SELECT r.doc_id, r.source, r.size, s.source_size, s.target, coalesce(t.taken, 0)::BIGINT AS taken
 FROM r JOIN s ON r.source IS NOT DISTINCT FROM s.source LEFT JOIN taken t USING (row)

@@ -75,7 +75,7 @@ def mixed_groups(members: DataFrame) -> DataFrame:
 
 
 def with_homes(members: DataFrame) -> DataFrame:
-    """The members with all groups that they are in.  For the first level, where these are a few for each."""
+    """The members with all groups of their level that they are in: those of the first level, times 4/3 a level."""
     homes = members.groupBy("id").agg(F.collect_set("grp").alias("homes"))
     return members.join(homes, "id")
 
@@ -83,15 +83,14 @@ def with_homes(members: DataFrame) -> DataFrame:
 def cross_pairs(members: DataFrame, percent: int, most_bits: int) -> DataFrame:
     """Pairs of a group whose components differ and that are likely near.
 
-    Members outside the group's largest component meet all others, so copies in one component never meet.  With
-    ``homes`` in the members, the groups of each that are compared, two meet in the least that they share only.
+    Members outside the group's largest component meet all others, so copies in one component never meet.  Two meet
+    only in the least of the groups that they share, as ``homes`` says, which lists the groups of each member.
     """
     left, right = members.where("component <> top").alias("l"), members.alias("r")
     once = (F.col("r.component") == F.col("r.top")) | (F.col("l.id") > F.col("r.id"))
+    least = F.array_min(F.array_intersect("l.homes", "r.homes")) == F.col("l.grp")
     meet = (F.col("l.component") != F.col("r.component")) & once & likely(members, "l.", "r.", percent, most_bits)
-    if "homes" in members.columns:
-        meet = meet & (F.array_min(F.array_intersect("l.homes", "r.homes")) == F.col("l.grp"))
-    near = left.join(right, F.col("l.grp") == F.col("r.grp")).where(meet)
+    near = left.join(right, F.col("l.grp") == F.col("r.grp")).where(meet & least)
     return near.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
 
 
@@ -186,8 +185,7 @@ def connected(
     for depth in range(1, LEVELS + 1):
         level = kept(mixed_groups(level), "level")
         is_small = F.lit(depth == LEVELS) | (F.col("crossing") <= small * F.col("members"))
-        compared = level.where(is_small)
-        crossing = cross_pairs(with_homes(compared) if depth == 1 else compared, percent, most_bits)
+        crossing = cross_pairs(with_homes(level.where(is_small)), percent, most_bits)
         candidates = crossing if candidates is None else candidates.union(crossing)
         large = level.where(~is_small)
         if large.isEmpty():

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from weirgate.llm import lines, near
+from weirgate.llm import lines, linking, near
 from weirgate.llm import text as tx
 
 
@@ -92,3 +92,37 @@ def test_short_lines_at_the_threshold(spark):
     found = {r["doc_id"]: (r["keeper_doc"], r["keeper_line"]) for r in judged}
     measured = recall(sets, found)
     assert measured >= 0.97, measured
+
+
+def test_crowded_lines_lose_no_link(spark, monkeypatch):
+    """Buckets that are too crowded to compare lead to the links that comparing them would."""
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    passage = "".join(rng.choice(letters) for _ in range(36))
+    texts = []
+    for _ in range(150):
+        own = "".join(rng.choice(letters) for _ in range(26))
+        texts += [passage + own, passage + own[:-6] + "".join(rng.choice(letters) for _ in range(6))]
+
+    def judged():
+        rows = lines.judged_lines(frame(spark, texts)).collect()
+        return {r["doc_id"]: r["keeper_doc"] for r in rows}
+
+    whole = judged()
+    monkeypatch.setattr(lines, "SMALL", 0)
+    assert judged() == whole and len(set(whole.values())) < 170
+
+
+def test_sets_that_are_near_share_a_rare_element(spark):
+    rng = np.random.default_rng(5)
+    passage, sets = rng.integers(0, 2**63, 40, np.uint64) * 2, []
+    for size in (1, 2, 3, 4, 7, 12, 31, 60):
+        for _ in range(10):
+            one = np.concatenate([passage[: size // 2], rng.integers(0, 2**63, size - size // 2, np.uint64) * 2])
+            sets += [np.unique(one), np.unique(np.concatenate([one[size // 7 :], rng.integers(0, 2**63, size // 9, np.uint64)]))]
+    rows = [(i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    groups = linking.rare_groups(spark.createDataFrame(rows, "id long, payload binary"), near.shingle_set, 75)
+    held = {}
+    for r in groups.collect():
+        held.setdefault(r["id"], set()).add(r["grp"])
+    assert len(links(sets)) >= 50 and all(held[i] & held[j] for i, j in links(sets))

@@ -3,10 +3,10 @@
 Documents are sets of five-word shingles.  One permutation gives each set ``COORDINATES`` MinHash tokens and a
 sketch: its size, one bit of each token and the parity of its shingles in 512 places.  In each of ``TREES`` independent trees documents branch by one or two selected tokens:
 those that share the token share a node.  A node whose documents have at most ``SMALL`` partners on average that are
-not yet known to be connected is compared exhaustively; another branches again by tokens of its own (what is left
-after ``linking.LEVELS`` levels is compared whatever its size).  Two
-documents at the threshold meet below a node with a chance of about 0.81 a level, so all trees miss them with a
-chance of about 1e-7 at the first level and 1e-4 at the third.
+not yet known to be connected is compared exhaustively; another branches again by tokens of its own, up to ``LEVELS``
+levels.  Two documents at the threshold meet below a node with a chance of about 0.81, so all trees miss them with a
+chance of about 1e-7 at the first level.  Branching further loses none beyond that: documents of crowded nodes meet
+once more by their rarest shingles, of which any two that are near share one.
 
 Every link is confirmed on the full sets.  Documents of equal sets are one class from the start.  Before nodes
 are compared, each member meets the node's pivot, which connects a large group of copies by as many links as it has
@@ -39,6 +39,7 @@ COORDINATES = 128
 TREES = 10
 NEAR_BITS = 38  # of 128, asked of large sets only: at the threshold 16 differ on average, with a deviation of 3.7
 ODD = 8  # longs of the odd sketch, which tells sets of up to some 700 shingles apart
+LEVELS = 3  # of crowded nodes, before their documents meet by their rarest shingles
 SMALL = 512  # partners a member that a node may have to be compared exhaustively: the sketches leave few of them
 _EXTRA = 1 / 3  # beside one token, a node selects a second so often: 4/3 on average, one over the threshold
 
@@ -99,7 +100,7 @@ def first_nodes(reps: DataFrame) -> DataFrame:
         for at in choose.sample(range(COORDINATES), 1 + (choose.random() < _EXTRA))
     ]
     nodes = F.array(*[F.xxhash64(F.lit(t), F.lit(i), token(F.lit(i))) for t, i in picks])
-    return reps.select(F.explode(nodes).alias("grp"), "id", "sketch")
+    return reps.select(F.explode(nodes).alias("grp"), "id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -114,9 +115,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     groups = kept(shared_groups(first_nodes(classes)), "groups")
-    texts = kept(payloads(docs, groups.select("id")), "texts")
+    grouped = groups.select("id").distinct()
+    texts = kept(payloads(docs, grouped), "texts")
     labels = connected(
-        groups, lambda ids: texts, lambda ids: classes, shingle_set, PERCENT, NEAR_BITS, COORDINATES, SMALL, scratch
+        groups, classes.select("id", "sketch"), texts, shingle_set, PERCENT, NEAR_BITS, SMALL, scratch, LEVELS, classes, COORDINATES
     )
     scratch.drop("signed", "classes", "components")
 

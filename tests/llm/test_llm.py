@@ -163,6 +163,25 @@ def test_decontamination_finds_all_planted_edits(percent, part):
         assert [h.distance for h in hits if h.item_id == item_id] == ([best[0]] if best else [])
 
 
+@pytest.mark.parametrize("percent", [0, 2, 4])
+def test_walks_find_most_planted_edits(percent):
+    """The walks alone, without the pieces that find the rest; they find nothing that is not there."""
+    random = np.random.default_rng(percent)
+    letters = list("etaoinshrdlu ")
+    items = [(i, "i" + "".join(random.choice(letters, 150)) + "i") for i in range(40)]
+    texts = []
+    for _, item in items:
+        for _ in range(percent * 150 // 100):
+            at, kind = int(random.integers(150)), random.integers(3)
+            item = item[:at] + ("" if kind == 0 else "q" if kind == 1 else "q" + item[at]) + item[at + 1 :]
+        texts.append("".join(random.choice(letters, 90)) + item + "".join(random.choice(letters, 90)))
+    finder = decontaminate.Finder(items)
+    alone = finder._found(texts, [finder._alike])
+    assert sum(any(h.item_id == i for h in hits) for (i, _), hits in zip(items, alone)) >= 36
+    assert all(set(a) <= set(b) for a, b in zip(alone, finder.find(texts)))
+    assert finder.clean([*texts, "", None, "etaoin " * 40]) == [False] * 40 + [True] * 3
+
+
 @pytest.mark.parametrize("edits", [0, 4])
 def test_decontamination_in_text_without_blanks(edits):
     random = np.random.default_rng(7)

@@ -1,9 +1,15 @@
 """Benchmark decontamination: passages of a document within a small edit distance of a benchmark item.
 
-The search is exact.  An item that may suffer ``k`` edits is cut into ``k + 1`` pieces; a passage within ``k`` edits
-holds at least one of them unchanged, moved by ``k`` characters at most.  Wherever a text holds a piece, at any
-character, the stretch that a passage around it can cover is confirmed by its exact edit distance, at most ``EDITS``
-of the item's length.
+Items are embedded by random walks: each step writes a character and a coin, drawn from step and character, says
+whether the walk moves on, so walks over an item and over a passage with few edits soon run side by side (CGK).  Of
+each of ``WALKS`` walks, which cover the whole item, ``TABLES`` samples of ``BITS`` steps are keys; a place in a text
+whose walk has an item's key is a candidate, confirmed by its exact edit distance, at most ``EDITS`` of the item's
+length.
+
+What the walks part is found exactly.  An item that may suffer ``k`` edits is cut into ``k + 1`` pieces; a passage
+within ``k`` edits holds at least one of them unchanged, moved by ``k`` characters at most.  Wherever a text holds a
+piece, at any character, the stretch that a passage around it can cover is confirmed likewise.  Where only clean
+documents are wanted, this is asked of the texts in which the walks found nothing.
 
 Two counts that lose nothing keep most stretches from that: a passage of an item of ``n`` characters holds at least
 n - q + 1 - kq of its q-grams, so a stretch with fewer grams, first of any item and then of this one, holds none.
@@ -18,7 +24,7 @@ bounded size, each against all documents.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +40,10 @@ GRAM = 12  # no piece is shorter: 13 at least, of items of 40 characters
 BLOCK_CHARS = 4 << 20
 SLICE_BYTES = 2 << 20
 PAIRS = 1 << 20
+WALKS = 4
+TABLES = 8
+BITS = 8
+STARTS = 1 << 16
 _MESH_BITS = 24
 
 
@@ -79,6 +89,23 @@ def best_match(item: str, text: str, limit: int) -> tuple[int, int] | None:
     return best if best[0] <= limit else None
 
 
+def walked(codes: np.ndarray, starts: np.ndarray, walk: int, samples: np.ndarray) -> np.ndarray:
+    """For each sample of steps and each start the key of the characters that a walk over ``codes`` has there."""
+    at, last = starts.copy(), len(codes) - 1
+    keys = np.zeros((len(samples), len(starts)), np.uint64)
+    asked: dict[int, list[int]] = {}
+    for sample, steps in enumerate(samples.tolist()):
+        for step in steps:
+            asked.setdefault(step, []).append(sample)
+    coins = tx.mix(np.arange(1, samples.max() + 2, dtype=np.uint64) + (np.uint64(walk + 1) << np.uint64(32))) | np.uint64(1)
+    for step, coin in enumerate(coins):
+        here = codes[np.minimum(at, last)]
+        for sample in asked.get(step, []):
+            keys[sample] = keys[sample] * tx.FACTOR + here
+        at += ((here + np.uint64(1)) * coin >> np.uint64(63)).astype(np.int64)
+    return tx.mix(keys)
+
+
 class Finder:
     """Looks a block of items up in texts."""
 
@@ -104,7 +131,34 @@ class Finder:
             hashed, members, offsets = zip(*sorted(some))
             self.pieces[width] = np.array(hashed, np.uint64), np.array(members, np.int64), np.array(offsets, np.int64)
 
+        # of each walk over items of like length the samples, and of each sample the keys in order and their items
+        self.walks: list[tuple[np.ndarray, int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]] = []
+        like = np.floor(np.log(self.lengths) / np.log(1.25)).astype(np.int64)
+        for size in np.unique(like).tolist():
+            of = np.flatnonzero(like == size)
+            shortest, longest = int(self.lengths[of].min()), int(self.lengths[of].max())
+            padded = [np.concatenate([codes[i], np.zeros(2 * longest - len(codes[i]), np.uint64)]) for i in of]
+            for walk in range(WALKS):
+                random = np.random.default_rng([size, walk])
+                samples = np.sort(random.integers(0, 2 * shortest, (TABLES, BITS)), axis=1)
+                keys = walked(np.concatenate(padded), np.arange(len(of)) * 2 * longest, walk, samples)
+                orders = np.argsort(keys, axis=1, kind="stable")
+                self.walks.append((of, walk, samples, [(k[o], of[o]) for k, o in zip(keys, orders)]))
+
     def find(self, texts: list[str | None]) -> list[list[Hit]]:
+        """All items that each text holds."""
+        return self._found(texts, [self._alike, self._stretches])
+
+    def clean(self, texts: list[str | None]) -> list[bool]:
+        """Whether each text holds no item.  Only where the walks find none it is asked for pieces."""
+        hits = self._found(texts, [self._alike])
+        open_ = [at for at, some in enumerate(hits) if not some]
+        none = [not some for some in hits]
+        for at, some in zip(open_, self._found([texts[at] for at in open_], [self._stretches])):
+            none[at] = not some
+        return none
+
+    def _found(self, texts: list[str | None], searches: list[Callable[..., Iterator[np.ndarray]]]) -> list[list[Hit]]:
         shapes = [plain(t) for t in texts]
         found: list[list[Hit]] = [[] for _ in texts]
         codes = codes_of("\x00".join(shapes)).astype(np.uint64)
@@ -114,7 +168,8 @@ class Finder:
         grams = tx.window_hashes(codes, GRAM)
         held = self.mesh[grams >> np.uint64(64 - _MESH_BITS)]
         upto = np.concatenate([[0], np.cumsum(held, dtype=np.int64), np.full(GRAM - 1, held.sum())])
-        stretches = list(self._stretches(codes, np.flatnonzero(held), bounds, upto))
+        places = np.flatnonzero(held)
+        stretches = [s for search in searches for s in search(codes, places, bounds, upto)] if len(places) else []
         if not stretches:
             return found
         row, member, low, high = np.concatenate(stretches, axis=1)
@@ -141,6 +196,36 @@ class Finder:
             found[at] = [min(h, hit, key=lambda x: (x.distance, x.start)) if h.item_id == hit.item_id else h for h in found[at]]
         return found
 
+    def _alike(self, codes: np.ndarray, places: np.ndarray, bounds: np.ndarray, upto: np.ndarray) -> Iterator[np.ndarray]:
+        """Text, item, begin and end of the stretches where a walk has an item's key and grams enough of any item.
+
+        Walks start up to two grams before a held one, where not all grams just before are held.
+        """
+        near = np.unique(np.maximum(places[:, None] - np.arange(2 * GRAM), 0).ravel()) if len(places) < STARTS else np.arange(len(codes))
+        inside = upto[near] - upto[np.maximum(near - GRAM, 0)] == GRAM
+        near = near[~inside & (upto[np.minimum(near + 2 * GRAM, len(upto) - 1)] > upto[near])]
+        for of, walk, samples, tables in self.walks:
+            reach = int((self.lengths[of] + self.limits[of]).max())
+            begins = near[upto[np.minimum(near + reach, len(upto) - 1)] - upto[near] >= self.least[of].min()]
+            for first in range(0, len(begins), STARTS):
+                starts = begins[first : first + STARTS]
+                for key, (known, members) in zip(walked(codes, starts, walk, samples), tables):
+                    left, right = np.searchsorted(known, key, "left"), np.searchsorted(known, key, "right")
+                    hit = np.flatnonzero(right > left)
+                    n = right[hit] - left[hit]
+                    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    yield self._around(np.repeat(starts[hit], n), members[np.repeat(left[hit], n) + within], bounds, upto)
+
+    def _around(self, start: np.ndarray, member: np.ndarray, bounds: np.ndarray, upto: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+        """What a passage of the item that begins about ``start``, in the text of ``place``, can cover, if it has grams
+        enough of any item."""
+        row = np.searchsorted(bounds, start if place is None else place, "right") - 1
+        low = np.maximum(start - self.limits[member], bounds[row])
+        high = np.minimum(start + self.lengths[member] + self.limits[member], bounds[row + 1] - 1)
+        high = np.maximum(high, low)
+        enough = upto[high] - upto[low] >= self.least[member]
+        return np.stack([row, member, low, high])[:, enough]
+
     def _stretches(self, codes: np.ndarray, places: np.ndarray, bounds: np.ndarray, upto: np.ndarray) -> Iterator[np.ndarray]:
         """Text, item, begin and end of the stretches around pieces that have grams enough of any item."""
         total = np.zeros(len(places), np.uint64)
@@ -159,12 +244,7 @@ class Finder:
                 within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 piece, place = np.repeat(left[some[part]], n) + within, np.repeat(places[some[part]], n)
                 member, start = members[piece], place - offsets[piece]
-                row = np.searchsorted(bounds, place, "right") - 1
-                low = np.maximum(start - self.limits[member], bounds[row])
-                high = np.minimum(start + self.lengths[member] + self.limits[member], bounds[row + 1] - 1)
-                high = np.maximum(high, low)
-                enough = upto[high] - upto[low] >= self.least[member]
-                yield np.stack([row, member, low, high])[:, enough]
+                yield self._around(start, member, bounds, upto, place)
 
 
 def joined(row: np.ndarray, member: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -220,8 +300,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 numbered = batch.rename_columns([str(i) for i in range(batch.num_columns)])
                 for piece in tx.slices([numbered], str(column), SLICE_BYTES):
-                    clean = [not hits for hits in finder.find(piece.column(column).to_pylist())]
-                    yield piece.filter(pa.array(clean)).rename_columns(batch.schema.names)
+                    clean = finder.clean(piece.column(column).to_pylist())
+                    yield piece.filter(pa.array(clean, pa.bool_())).rename_columns(batch.schema.names)
 
         docs = docs.mapInArrow(keep, schema)
     return docs

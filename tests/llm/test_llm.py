@@ -346,6 +346,25 @@ def test_language_model(spark, docs):
     assert unseen["s"] > unseen["b"]
 
 
+def test_language_model_knows_the_word_before(spark):
+    learned = [(i, f"red fox {i % 7} blue sky", False) for i in range(60)]
+    table = spark.createDataFrame(
+        [*learned, (100, "red fox blue sky", True), (101, "fox red sky blue", True)], "doc_id long, text string, held_out boolean"
+    )
+    of = {r["doc_id"]: r for r in lm.score(table).collect()}
+    assert of[100]["base_score"] == pytest.approx(of[101]["base_score"]) and of[100]["score"] > of[101]["score"] + 2
+
+
+def test_language_model_whatever_the_partitions(spark):
+    """Scores are the same, and the probabilities of different texts stay below one in all."""
+    learned = [(i, f"a {'bcd'[i % 3]} a {'bd'[i % 2]}", False) for i in range(50)]
+    asked = [(100 + i, f"a {w}", True) for i, w in enumerate(["a", "b", "c", "d", "never", ""])]
+    table = spark.createDataFrame([*learned, *asked], "doc_id long, text string, held_out boolean")
+    one, many = ({r["doc_id"]: r["score"] for r in lm.score(table.repartition(n)).collect()} for n in (1, 5))
+    assert one == pytest.approx(many, abs=1e-6)
+    assert sum(10 ** one[100 + i] for i in range(6)) < 1
+
+
 def test_word_probabilities_sum_to_one():
     """Over the letters of every context that was seen, with the rest of all code points at the root's base."""
     import pandas as pd

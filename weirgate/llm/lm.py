@@ -1,15 +1,16 @@
 """LM scoring with a hierarchical Pitman-Yor model of words and their letters.
 
-A word is drawn from the word restaurant, whose base is the word's spelling: letter by letter, each from the
-restaurant of the letters before it.  The restaurant of a context is a child of that of the context without its
-first letter, down to the empty context, whose base is uniform over all code points.  Contexts so share parents, and
-a word never seen still has the probability of its letters.  Words are exchangeable in a text: a layer of word
-contexts would move every pair of words twice, about five times the input.
-
-Customers of the letter restaurants are the word restaurant's tables, one for each word at first.  Seating is sampled by
-Gibbs in blocks: the customers of one dish leave and are seated again one after other, given all other tables as
-they stand (from the fifth on a quarter more at a time).  Probabilities are averaged over ``SAMPLES`` seatings after
-``BURN_IN``; perplexity is ``10 ** (-score / n_tokens)``.
+A word is drawn from the restaurant of the word before it (of the end, for the first one), a child of the word
+restaurant, whose base is the word's spelling: letter by letter, each from the restaurant of the letters before it.  The
+restaurant of a context is a child of that of the context without its first letter, down to the empty context, whose
+base is uniform over all code points.  Contexts so share parents, and a word never seen still has the probability of
+its letters.
+
+Seating is sampled by Gibbs in blocks: the customers of one dish leave and are seated again one after other, given all
+other tables as they stand (from the fifth on a quarter more at a time).  Restaurants after a word are seated first,
+given the words' probabilities by their counts; their tables, averaged over ``SAMPLES`` seatings after ``BURN_IN``, are
+the customers of the word restaurant.  Customers of the letter restaurants are one table for each word.  Probabilities
+are averaged likewise; perplexity is ``10 ** (-score / n_tokens)``.
 
 ``score`` is over the learned words and one type for all others, as the base score is; ``spelled_score`` tells unknown
 words apart by their letters.
@@ -19,18 +20,21 @@ their own.  An empty table gives an empty result; with nothing to learn from, sp
 are not read.  Texts are taken whole, and all texts that are not held out are learned from.
 
 What is gathered grows with the input: the distinct words of each chunk of texts meet their counts, and their
-probabilities come back.  Letters are sampled in one group for each last letter of the context, whose size is bounded by
-the alphabet to the power ``ORDER``, not by the number of texts.
+probabilities come back; so do its distinct pairs of words, as packed numbers.  A pair's group is that of its first
+word, a word of more than ``HOT`` customers is split into several.  Words are named there by 64-bit hashes.  Letters are
+sampled in one group for each last letter of the context, whose size is bounded by the alphabet to the power ``ORDER``,
+not by the number of texts.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +50,8 @@ CODE_POINTS = 0x110000
 BEGIN, END = "\x02", "\x03"
 CHUNK_BYTES = 24 << 20
 WORDS_A_HOME = 100_000
+TOKENS_A_HOME = 1_500_000
+HOT = 200_000
 
 
 def grams(word: str) -> list[str]:
@@ -231,6 +237,125 @@ def spelling(words: DataFrame) -> DataFrame:
     return words.groupBy("home").cogroup(answered.groupBy("home")).applyInArrow(spell, "word string, c long, base double")
 
 
+class Pairs:
+    """The tokens of a chunk as pairs with the word before: ``of_token`` numbers its distinct pairs, which are in the
+    order of their ``home`` and lie between ``bounds`` of it."""
+
+    def __init__(self, row: dict, counted: np.ndarray, homes: int):
+        counts = np.array(row["n_words"], np.int64)
+        packed = pa.decompress(row["ids"], int(counts.sum()) * 4, "zstd", asbytes=True) if counts.sum() else b""
+        ids, offsets = np.frombuffer(packed, np.int32).astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
+        end = len(counted) - 1
+        self.word, self.before = np.insert(ids, offsets[1:], end), np.insert(ids, offsets[:-1], end)
+        self.begins = offsets[:-1] + np.arange(len(counts))
+        found, inverse = np.unique(self.before * len(counted) + self.word, return_inverse=True)
+        names = tx.hash_strings(pa.array(row["words"], pa.string()))
+        self.first, self.second = found // len(counted), found % len(counted)
+        parts = np.maximum(1, -(-counted // HOT)).astype(np.uint64)[self.first]
+        part = tx.mix(names[self.second]) % parts
+        home = (tx.mix(names[self.first] + part * tx.FACTOR) % np.uint64(homes)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.of_token, self.parts = place[inverse], parts[order].astype(np.int64)
+        self.first, self.second, home = self.first[order], self.second[order], home[order]
+        self.u, self.w = names[self.first], names[self.second]
+        trained = np.repeat(~np.array(row["held_out"], bool), counts + 1)
+        self.n = np.bincount(self.of_token[trained], minlength=len(order))
+        self.homes, begins = np.unique(home, return_index=True)
+        self.bounds = np.append(begins, len(order))
+
+
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    return pa.compress(values.astype(kind).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: str, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, size * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
+
+
+def seat_pairs(group: pa.Table) -> pa.Table:
+    """The customers and tables of each pair, in the order each chunk has them, and what they add to their words.
+
+    Restaurants are those of the group's first words.  One that is split counts the tables of all its parts as it would
+    from its own.
+    """
+    rows = group.to_pylist()
+    sizes = [r["size"] for r in rows]
+
+    def whole(column: str, kind: str) -> np.ndarray:
+        return np.concatenate([_unpacked(r[column], kind, r["size"]) for r in rows])
+
+    keys = np.empty(sum(sizes), [("u", "u8"), ("w", "u8")])
+    keys["u"], keys["w"] = whole("u", "u8"), whole("w", "u8")
+    pairs, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    customers = np.bincount(inverse, whole("n", "i4")).astype(np.int64)
+    chance, parts = whole("p", "f8")[at], whole("parts", "i4")[at]
+    room = np.unique(pairs["u"], return_inverse=True)[1]
+    once, twice = int((customers == 1).sum()), int((customers == 2).sum())
+    less, random = discount(once, twice), np.random.default_rng(rows[0]["home"])
+    tables, total, again = (customers > 0).astype(np.int64), np.zeros(len(pairs), np.int64), customers > 1
+    for sweep in range(BURN_IN + SAMPLES):
+        fresh = (STRENGTH + less * np.bincount(room, tables)[room] * parts) * chance
+        tables[again] = seat(customers[again], fresh[again], less, random)
+        if sweep >= BURN_IN:
+            total += tables
+    out, begin = [], 0
+    for r in rows:
+        mine = inverse[begin : begin + r["size"]]
+        begin += r["size"]
+        out.append({"chunk": r["chunk"], "home": r["home"], "n": _packed(customers[mine], "<i4"), "tables": _packed(total[mine], "<i4")})
+    some = total > 0
+    for side, column in (("u", "held"), ("w", "up")):
+        names, of = np.unique(pairs[side][some], return_inverse=True)
+        out.append({"names": names.view(np.int64).tolist(), column: np.bincount(of, total[some]).astype(np.int64).tolist()})
+    out.append({"once": once, "twice": twice})
+    return pa.Table.from_pylist(out, SEATS)
+
+
+SEATS = pa.schema([
+    ("chunk", pa.int64()), ("home", pa.int64()), ("n", pa.binary()), ("tables", pa.binary()), ("names", pa.list_(pa.int64())),
+    ("held", pa.list_(pa.int64())), ("up", pa.list_(pa.int64())), ("once", pa.int64()), ("twice", pa.int64()),
+])
+_SEATS_DDL = "chunk long, home long, n binary, tables binary, names array<long>, held array<long>, up array<long>, once long, twice long"
+
+
+def seat_words(words: DataFrame, less: float, rest: float) -> DataFrame:
+    """The words (home, word, base, customers and others) with ``tables``, the mean of ``SAMPLES`` seatings."""
+
+    def seats(group: pa.Table) -> pa.Table:
+        group = group.sort_by("word")
+        customers, base = group.column("customers").to_numpy(), group.column("base").to_numpy()
+        random = np.random.default_rng(group.column("home")[0].as_py())
+        mean = np.mean([seat(customers, rest * base, less, random) for _ in range(SAMPLES)], axis=0)
+        return group.append_column("tables", pa.array(mean, pa.float64()))
+
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields)
+    return words.groupBy("home").applyInArrow(seats, f"{ddl}, tables double")
+
+
+class WordLevel:
+    """The word restaurant with the numbers that its probabilities need."""
+
+    def __init__(self, words: DataFrame, scratch: Callable[[DataFrame, str], DataFrame], label: str):
+        known = F.col("customers")
+        seen = words.agg(
+            F.coalesce(F.sum(known), F.lit(0)).alias("n"), F.coalesce(F.sum((known > 0).cast("long")), F.lit(0)).alias("v"),
+            F.coalesce(F.sum((known == 1).cast("long")), F.lit(0)).alias("once"),
+            F.coalesce(F.sum((known == 2).cast("long")), F.lit(0)).alias("twice"),
+        ).first()
+        less = discount(seen["once"], seen["twice"])
+        self.seated = scratch(seat_words(words, less, STRENGTH + less * seen["v"]), label)
+        # the average over seatings is linear in the tables, so their mean serves
+        sums = self.seated.agg(
+            F.coalesce(F.sum("tables"), F.lit(0.0)), F.coalesce(F.sum(F.when(known > 0, F.col("base"))), F.lit(0.0))
+        ).first()
+        standing, mass = STRENGTH + less * sums[0], STRENGTH + seen["n"]
+        self.unknown = standing * max(1 - sums[1], 1e-12) / mass  # of all words never learned together
+        chance = (known - less * F.col("tables") + standing * F.col("base")) / mass
+        self.chances = self.seated.withColumn("chance", F.greatest(chance, F.lit(float(np.finfo(float).tiny))))
+
+
 def score(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, held_out): the contract's measures and the model's log10 probability."""
     spark = docs.sparkSession
@@ -244,67 +369,95 @@ def score(docs: DataFrame) -> DataFrame:
     flat = texts.select(F.explode(F.arrays_zip("words", "trained")).alias("w"))
     counted = kept(flat.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.trained").alias("c")), "lm-counts")
     seen = counted.agg(
-        F.count("*").alias("all"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v"),
-        F.sum((F.col("c") == 1).cast("long")).alias("once"), F.sum((F.col("c") == 2).cast("long")).alias("twice"),
+        F.count("*").alias("all"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")
     ).first()
     total, distinct = seen["n"], seen["v"] or 0
     homes = max(1, math.ceil(seen["all"] / WORDS_A_HOME))
     words = counted.withColumn("home", F.pmod(F.xxhash64("word"), F.lit(homes)))
-    less = discount(seen["once"] or 0, seen["twice"] or 0)
-    rest = STRENGTH + less * distinct
-
-    def seats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c, base = batch.column("c").to_numpy(), batch.column("base").to_numpy()
-            names = tx.hash_strings(batch.column("word"))
-            random = np.random.default_rng(int(names.sum(dtype=np.uint64)) if len(names) else 0)
-            tables = [seat(c, rest * base, less, random) for _ in range(SAMPLES)]
-            mean, most = np.mean(tables, axis=0), tables[0]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(c), pa.array(base), pa.array(mean), pa.array(most)],
-                ["word", "c", "base", "tables", "sampled"],
-            )
-
-    seated = kept(spelling(words).mapInArrow(seats, "word string, c long, base double, tables double, sampled long"), "lm-words")
-    # the average over seatings is linear in the tables, so their mean serves
-    sums = seated.agg(
-        F.coalesce(F.sum("tables"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("c") > 0, F.col("base"))), F.lit(0.0))
-    ).first()
-    standing = STRENGTH + less * sums[0]
-    unknown = standing * max(1 - sums[1], 1e-12) / (STRENGTH + total)  # of all words never learned together
-    chance = (F.col("c") - less * F.col("tables") + standing * F.col("base")) / (STRENGTH + total)
-    floor = math.log10(np.finfo(float).tiny)
-    answers = seated.select("word", "c", F.greatest(F.log10(chance), F.lit(floor)).alias("chance"))
+    named = F.pmod(F.xxhash64("word"), F.lit(homes)).alias("home")
+    spelled = kept(spelling(words).select(named, "word", "c", "base", F.col("c").alias("customers")), "lm-spelled")
+    counts_only = WordLevel(spelled, kept, "lm-words")
 
     asked = texts.select(F.col("chunk").alias("of_chunk"), F.posexplode("words").alias("at", "word"))
-    answered = asked.join(answers, "word").select("of_chunk", "at", "c", "chance")
-    base_mass = total + 0.1 * (distinct + 1)
+    answered = asked.join(counts_only.chances.select("word", "c", "chance"), "word").select("of_chunk", "at", "c", "chance")
+    tokens = texts.agg(F.sum(F.aggregate("n_words", F.lit(0).cast("long"), lambda x, y: x + y + 1))).first()[0] or 0
+    pair_homes = max(1, math.ceil(tokens / TOKENS_A_HOME))
 
-    def measure(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
+    def pack(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("at").to_numpy())
         c, chance = found.column("c").to_numpy()[order], found.column("chance").to_numpy()[order]
-        base = np.log10((c + 0.1) / base_mass)
+        pairs, out = Pairs(chunk.to_pylist()[0], c, pair_homes), []
+        for home, first, last in zip(pairs.homes.tolist(), pairs.bounds[:-1], pairs.bounds[1:]):
+            some = slice(first, last)
+            out.append((
+                home, key[0].as_py(), int(last - first), _packed(pairs.u[some], "<u8"), _packed(pairs.w[some], "<u8"),
+                _packed(pairs.n[some], "<i4"), _packed(chance[pairs.second[some]], "<f8"), _packed(pairs.parts[some], "<i4"),
+            ))
+        names = ["home", "chunk", "size", "u", "w", "n", "p", "parts"]
+        types = [pa.int64()] * 3 + [pa.binary()] * 5
+        return pa.table([pa.array(list(v), t) for v, t in zip(zip(*out), types)], names=names)
+
+    packed = texts.groupBy("chunk").cogroup(answered.groupBy("of_chunk")).applyInArrow(
+        pack, "home long, chunk long, size long, u binary, w binary, n binary, p binary, parts binary"
+    )
+    pairs = kept(packed.groupBy("home").applyInArrow(seat_pairs, _SEATS_DDL), "lm-pairs")
+    own = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
+    pair_less = discount(own[0], own[1])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = tx.hash_strings(batch.column("word")).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.int64())], [*batch.schema.names, "name"])
+
+    none = F.transform("names", lambda _: F.lit(0).cast("long"))
+    zipped = F.arrays_zip("names", F.coalesce("held", none).alias("held"), F.coalesce("up", none).alias("up"))
+    sums = pairs.where("names IS NOT NULL").select(F.inline(zipped)).toDF("name", "held", "up").groupBy("name").agg(
+        (F.sum("held") / SAMPLES).alias("held"), (F.sum("up") / SAMPLES).alias("up")
+    )
+    renamed = spelled.drop("customers").mapInArrow(hashed, "home long, word string, c long, base double, name long")
+    fed = renamed.join(sums, "name", "left").select(
+        "home", "word", "c", "base", F.coalesce("held", F.lit(0.0)).alias("held"),
+        F.when(F.col("c") > 0, F.greatest(F.lit(1), F.round("up"))).otherwise(0).cast("long").alias("customers"),
+    )
+    level = WordLevel(fed, kept, "lm-fed")
+    base_mass, unknown = total + 0.1 * (distinct + 1), level.unknown
+    answers = asked.join(level.chances.select("word", "c", "held", "chance"), "word").select(
+        "of_chunk", "at", "c", "held", "chance", F.lit(None).cast("long").alias("home"),
+        F.lit(None).cast("binary").alias("n"), F.lit(None).cast("binary").alias("tables"),
+    )
+    of_pairs = pairs.where("chunk IS NOT NULL").select(
+        F.col("chunk").alias("of_chunk"), F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("c"),
+        F.lit(None).cast("double").alias("held"), F.lit(None).cast("double").alias("chance"), "home", "n", "tables",
+    )
+
+    def measure(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
         row = chunk.to_pylist()[0]
-        counts = np.array(row["n_words"], np.int64)
-        packed = pa.decompress(row["ids"], int(counts.sum()) * 4, "zstd", asbytes=True) if counts.sum() else b""
-        ids, offsets = np.frombuffer(packed, np.int32), np.concatenate([[0], np.cumsum(counts)])
+        of_words = found.filter(pc.is_valid(found.column("at")))
+        order = np.argsort(of_words.column("at").to_numpy())
+        c, held, chance = (of_words.column(x).to_numpy()[order] for x in ("c", "held", "chance"))
+        pairs = Pairs(row, c, pair_homes)
+        n, tables = np.zeros(len(pairs.u)), np.zeros(len(pairs.u))
+        for r in found.filter(pc.is_valid(found.column("home"))).select(["home", "n", "tables"]).to_pylist():
+            at = int(np.searchsorted(pairs.homes, r["home"]))
+            some = slice(pairs.bounds[at], pairs.bounds[at + 1])
+            n[some] = _unpacked(r["n"], "<i4", some.stop - some.start)
+            tables[some] = _unpacked(r["tables"], "<i4", some.stop - some.start) / SAMPLES
+        first, second = pairs.first, pairs.second
+        direct, back, mass = n - pair_less * tables, STRENGTH + pair_less * held[first], STRENGTH + c[first]
+        known = np.where(c > 0, chance, unknown)[second]
 
         def summed(values: np.ndarray) -> np.ndarray:
-            total = np.zeros(len(counts))
-            some = np.flatnonzero(counts)
-            if len(some):
-                total[some] = np.add.reduceat(values[ids], offsets[some])
-            return total + values[-1]  # and the end
+            return np.add.reduceat(values[pairs.of_token], pairs.begins) if len(pairs.begins) else np.zeros(0)
 
         return pa.table({
             "doc_id": pa.array(row["doc_id"], pa.int64()), "held_out": pa.array(row["held_out"], pa.bool_()),
-            "n_tokens": counts + 1, "n_known": summed(c > 0).astype(np.int64),
-            "train_tokens": np.full(len(counts), total), "base_score": summed(base),
-            "score": summed(np.where(c > 0, chance, math.log10(unknown))), "spelled_score": summed(chance),
+            "n_tokens": np.array(row["n_words"], np.int64) + 1, "n_known": summed((c > 0)[second].astype(np.int64)).astype(np.int64),
+            "train_tokens": np.full(len(pairs.begins), total), "base_score": summed(np.log10((c + 0.1) / base_mass)[second]),
+            "score": summed(np.log10((direct + back * known) / mass)),
+            "spelled_score": summed(np.log10(np.maximum((direct + back * chance[second]) / mass, np.finfo(float).tiny))),
         })
 
-    coded = texts.select("chunk", "doc_id", "held_out", "n_words", "ids").groupBy("chunk")
-    return coded.cogroup(answered.groupBy("of_chunk")).applyInArrow(
+    return texts.groupBy("chunk").cogroup(answers.union(of_pairs).groupBy("of_chunk")).applyInArrow(
         measure,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double,"
         " spelled_score double",

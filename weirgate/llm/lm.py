@@ -8,7 +8,7 @@ its letters.
 
 Seating is sampled by Gibbs in blocks: the customers of one dish leave and are seated again one after other, given all
 other tables as they stand (from the fifth on a quarter more at a time).  Restaurants after a word are seated first,
-given the words' probabilities by their counts; their tables, averaged over ``SAMPLES`` seatings after ``BURN_IN``, are
+given the words' probabilities with one table each; their tables, averaged over ``SAMPLES`` seatings after ``BURN_IN``, are
 the customers of the word restaurant.  Customers of the letter restaurants are one table for each word.  Probabilities
 are averaged likewise; perplexity is ``10 ** (-score / n_tokens)``.
 
@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.llm import text as tx
+from weirgate.llm.linking import Scratch
 from weirgate.session import work_dir
 
 ORDER = 5
@@ -52,6 +53,7 @@ CHUNK_BYTES = 24 << 20
 WORDS_A_HOME = 100_000
 TOKENS_A_HOME = 1_500_000
 HOT = 200_000
+TINY = float(np.finfo(float).tiny)
 
 
 def grams(word: str) -> list[str]:
@@ -200,15 +202,10 @@ def letter_root(leaves: DataFrame) -> dict[str, float]:
     return {letter: float((c - less * t + rest) / mass) for (letter, c), t in zip(counts.items(), tables)}
 
 
-def spelling(words: DataFrame) -> DataFrame:
-    """The words (home, word, c) with ``base``, the probability of the spelling."""
+def spelling(words: DataFrame, kept: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The words (home, word, c) with ``base``, the probability of the spelling.  ``kept`` writes tables by name."""
     spark = words.sparkSession
 
-    def kept(frame: DataFrame, label: str) -> DataFrame:
-        path = work_dir(spark, label)
-        frame.write.option("compression", "zstd").parquet(path)
-        return spark.read.parquet(path)
-
     def split(table: pa.Table) -> pa.Table:
         counted: dict[str, int] = {}
         for word, c in zip(table.column("word").to_pylist(), table.column("c").to_pylist()):
@@ -217,8 +214,8 @@ def spelling(words: DataFrame) -> DataFrame:
         home = table.column("home")[0].as_py()
         return pa.table({"home": pa.array([home] * len(counted), pa.int64()), "gram": list(counted), "n": list(counted.values())})
 
-    asked = kept(words.groupBy("home").applyInArrow(split, "home long, gram string, n long"), "lm-grams")
-    leaves = kept(asked.groupBy("gram").agg(F.sum("n").alias("n")), "lm-letters")
+    asked = kept(words.groupBy("home").applyInArrow(split, "home long, gram string, n long"), "grams")
+    leaves = kept(asked.groupBy("gram").agg(F.sum("n").alias("n")), "letters")
     root = spark.sparkContext.broadcast(letter_root(leaves))
 
     def sample(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -226,7 +223,7 @@ def spelling(words: DataFrame) -> DataFrame:
         return sample_letters(ordered, root.value, ord(key[0]))
 
     last = F.substring("gram", -2, 1).alias("last")
-    chances = kept(leaves.groupBy(last).applyInPandas(sample, "gram string, chance double"), "lm-chances")
+    chances = kept(leaves.groupBy(last).applyInPandas(sample, "gram string, chance double"), "chances")
 
     def spell(key: tuple, of_words: pa.Table, answers: pa.Table) -> pa.Table:
         chance = dict(zip(answers.column("gram").to_pylist(), np.log(answers.column("chance").to_numpy()).tolist()))
@@ -290,7 +287,7 @@ def seat_pairs(group: pa.Table) -> pa.Table:
     keys["u"], keys["w"] = whole("u", "u8"), whole("w", "u8")
     pairs, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
     customers = np.bincount(inverse, whole("n", "i4")).astype(np.int64)
-    chance, parts = whole("p", "f8")[at], whole("parts", "i4")[at]
+    chance, parts = whole("p", "f4")[at].astype(float), whole("parts", "i4")[at]
     room = np.unique(pairs["u"], return_inverse=True)[1]
     once, twice = int((customers == 1).sum()), int((customers == 2).sum())
     less, random = discount(once, twice), np.random.default_rng(rows[0]["home"])
@@ -337,7 +334,7 @@ def seat_words(words: DataFrame, less: float, rest: float) -> DataFrame:
 class WordLevel:
     """The word restaurant with the numbers that its probabilities need."""
 
-    def __init__(self, words: DataFrame, scratch: Callable[[DataFrame, str], DataFrame], label: str):
+    def __init__(self, words: DataFrame, kept: Callable[[DataFrame, str], DataFrame], label: str):
         known = F.col("customers")
         seen = words.agg(
             F.coalesce(F.sum(known), F.lit(0)).alias("n"), F.coalesce(F.sum((known > 0).cast("long")), F.lit(0)).alias("v"),
@@ -345,7 +342,7 @@ class WordLevel:
             F.coalesce(F.sum((known == 2).cast("long")), F.lit(0)).alias("twice"),
         ).first()
         less = discount(seen["once"], seen["twice"])
-        self.seated = scratch(seat_words(words, less, STRENGTH + less * seen["v"]), label)
+        self.seated = kept(seat_words(words, less, STRENGTH + less * seen["v"]), label)
         # the average over seatings is linear in the tables, so their mean serves
         sums = self.seated.agg(
             F.coalesce(F.sum("tables"), F.lit(0.0)), F.coalesce(F.sum(F.when(known > 0, F.col("base"))), F.lit(0.0))
@@ -353,33 +350,34 @@ class WordLevel:
         standing, mass = STRENGTH + less * sums[0], STRENGTH + seen["n"]
         self.unknown = standing * max(1 - sums[1], 1e-12) / mass  # of all words never learned together
         chance = (known - less * F.col("tables") + standing * F.col("base")) / mass
-        self.chances = self.seated.withColumn("chance", F.greatest(chance, F.lit(float(np.finfo(float).tiny))))
+        self.chances = self.seated.withColumn("chance", F.greatest(chance, F.lit(TINY)))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, held_out): the contract's measures and the model's log10 probability."""
-    spark = docs.sparkSession
-
-    def kept(frame: DataFrame, label: str) -> DataFrame:
-        path = work_dir(spark, label)
-        frame.write.option("compression", "zstd").parquet(path)
-        return spark.read.parquet(path)
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lm")
+    kept = scratch.kept
 
     texts = chunks(docs)
     flat = texts.select(F.explode(F.arrays_zip("words", "trained")).alias("w"))
-    counted = kept(flat.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.trained").alias("c")), "lm-counts")
+    counted = kept(flat.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.trained").alias("c")), "counts")
     seen = counted.agg(
-        F.count("*").alias("all"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")
+        F.count("*").alias("all"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v"),
+        F.sum((F.col("c") == 1).cast("long")).alias("once"), F.sum((F.col("c") == 2).cast("long")).alias("twice"),
     ).first()
     total, distinct = seen["n"], seen["v"] or 0
     homes = max(1, math.ceil(seen["all"] / WORDS_A_HOME))
     words = counted.withColumn("home", F.pmod(F.xxhash64("word"), F.lit(homes)))
     named = F.pmod(F.xxhash64("word"), F.lit(homes)).alias("home")
-    spelled = kept(spelling(words).select(named, "word", "c", "base", F.col("c").alias("customers")), "lm-spelled")
-    counts_only = WordLevel(spelled, kept, "lm-words")
+    spelled = kept(spelling(words, kept).select(named, "word", "c", "base"), "spelled")
+    scratch.drop("spelled")
+    less = discount(seen["once"] or 0, seen["twice"] or 0)
+    # at first each word has one table
+    chance = F.col("c") - less * (F.col("c") > 0).cast("int") + (STRENGTH + less * distinct) * F.col("base")
+    first = spelled.select("word", "c", F.greatest(chance / (STRENGTH + total), F.lit(TINY)).alias("chance"))
 
     asked = texts.select(F.col("chunk").alias("of_chunk"), F.posexplode("words").alias("at", "word"))
-    answered = asked.join(counts_only.chances.select("word", "c", "chance"), "word").select("of_chunk", "at", "c", "chance")
+    answered = asked.join(first, "word").select("of_chunk", "at", "c", "chance")
     tokens = texts.agg(F.sum(F.aggregate("n_words", F.lit(0).cast("long"), lambda x, y: x + y + 1))).first()[0] or 0
     pair_homes = max(1, math.ceil(tokens / TOKENS_A_HOME))
 
@@ -391,7 +389,7 @@ def score(docs: DataFrame) -> DataFrame:
             some = slice(first, last)
             out.append((
                 home, key[0].as_py(), int(last - first), _packed(pairs.u[some], "<u8"), _packed(pairs.w[some], "<u8"),
-                _packed(pairs.n[some], "<i4"), _packed(chance[pairs.second[some]], "<f8"), _packed(pairs.parts[some], "<i4"),
+                _packed(pairs.n[some], "<i4"), _packed(chance[pairs.second[some]], "<f4"), _packed(pairs.parts[some], "<i4"),
             ))
         names = ["home", "chunk", "size", "u", "w", "n", "p", "parts"]
         types = [pa.int64()] * 3 + [pa.binary()] * 5
@@ -400,7 +398,7 @@ def score(docs: DataFrame) -> DataFrame:
     packed = texts.groupBy("chunk").cogroup(answered.groupBy("of_chunk")).applyInArrow(
         pack, "home long, chunk long, size long, u binary, w binary, n binary, p binary, parts binary"
     )
-    pairs = kept(packed.groupBy("home").applyInArrow(seat_pairs, _SEATS_DDL), "lm-pairs")
+    pairs = kept(packed.groupBy("home").applyInArrow(seat_pairs, _SEATS_DDL), "pairs")
     own = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
     pair_less = discount(own[0], own[1])
 
@@ -414,12 +412,13 @@ def score(docs: DataFrame) -> DataFrame:
     sums = pairs.where("names IS NOT NULL").select(F.inline(zipped)).toDF("name", "held", "up").groupBy("name").agg(
         (F.sum("held") / SAMPLES).alias("held"), (F.sum("up") / SAMPLES).alias("up")
     )
-    renamed = spelled.drop("customers").mapInArrow(hashed, "home long, word string, c long, base double, name long")
+    renamed = spelled.mapInArrow(hashed, "home long, word string, c long, base double, name long")
     fed = renamed.join(sums, "name", "left").select(
         "home", "word", "c", "base", F.coalesce("held", F.lit(0.0)).alias("held"),
         F.when(F.col("c") > 0, F.greatest(F.lit(1), F.round("up"))).otherwise(0).cast("long").alias("customers"),
     )
-    level = WordLevel(fed, kept, "lm-fed")
+    level = WordLevel(fed, kept, "fed")
+    scratch.drop("pairs", "fed")
     base_mass, unknown = total + 0.1 * (distinct + 1), level.unknown
     answers = asked.join(level.chances.select("word", "c", "held", "chance"), "word").select(
         "of_chunk", "at", "c", "held", "chance", F.lit(None).cast("long").alias("home"),
@@ -454,7 +453,7 @@ def score(docs: DataFrame) -> DataFrame:
             "n_tokens": np.array(row["n_words"], np.int64) + 1, "n_known": summed((c > 0)[second].astype(np.int64)).astype(np.int64),
             "train_tokens": np.full(len(pairs.begins), total), "base_score": summed(np.log10((c + 0.1) / base_mass)[second]),
             "score": summed(np.log10((direct + back * known) / mass)),
-            "spelled_score": summed(np.log10(np.maximum((direct + back * chance[second]) / mass, np.finfo(float).tiny))),
+            "spelled_score": summed(np.log10(np.maximum((direct + back * chance[second]) / mass, TINY))),
         })
 
     return texts.groupBy("chunk").cogroup(answers.union(of_pairs).groupBy("of_chunk")).applyInArrow(

@@ -70,6 +70,16 @@ def test_members_are_cut_without_rewriting_the_rest(spark, body, expected):
     assert one(spark, body_without(F.lit(body).cast("string"), ["a"])) == expected
 
 
+def test_cut_members_reads_each_escaped_name_once(monkeypatch):
+    from weirgate.functions import json_cut
+
+    read, loads = [], json_cut.json.loads
+    monkeypatch.setattr(json_cut.json, "loads", lambda text, **options: read.append(text) or loads(text, **options))
+    bodies = [f'{{"a": {i}, "\\u0062": 1, "c\\\\": "x\\\\"}}' for i in range(50)]
+    assert list(cut_members(pd.Series(bodies), ("b", "d"))) == [f'{{"a": {i}, "c\\\\": "x\\\\"}}' for i in range(50)]
+    assert len(read) == 2
+
+
 def test_cut_members_against_a_parser(spark):
     rng = random.Random(5)
 

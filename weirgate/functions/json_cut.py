@@ -7,6 +7,7 @@ import json
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _QUOTE, _ESCAPE, _COMMA, _COLON = (ord(c) for c in '"\\,:')
 
@@ -14,16 +15,19 @@ _QUOTE, _ESCAPE, _COMMA, _COLON = (ord(c) for c in '"\\,:')
 def _row_state(steps: np.ndarray, row_starts: np.ndarray, of_row: np.ndarray) -> np.ndarray:
     """Running sums of ``steps`` that begin anew in every row."""
     running = np.concatenate([[0], np.cumsum(steps)])
-    return running[1:] - running[row_starts][of_row]
+    return running[1:] - np.repeat(running[row_starts], np.diff(np.append(row_starts, len(steps))))
 
 
 def _escaped(raw: np.ndarray) -> np.ndarray:
     """Which bytes follow an odd run of backslashes."""
-    slash = raw == _ESCAPE
-    at = np.arange(len(raw))
-    last_other = np.maximum.accumulate(np.where(slash, -1, at))
-    odd = slash & ((at - last_other) % 2 == 1)
-    return np.concatenate([[False], odd[:-1]])
+    escaped = np.zeros(len(raw), bool)
+    slashes = np.flatnonzero(raw == _ESCAPE)
+    if len(slashes):
+        begins = np.flatnonzero(np.diff(slashes, prepend=-2) != 1)  # of runs
+        run = np.repeat(slashes[begins], np.diff(np.append(begins, len(slashes))))
+        after = slashes[(slashes - run) % 2 == 0] + 1
+        escaped[after[after < len(raw)]] = True
+    return escaped
 
 
 def cut_members(bodies: pd.Series, names: tuple[str, ...]) -> pd.Series:
@@ -35,18 +39,19 @@ def cut_members(bodies: pd.Series, names: tuple[str, ...]) -> pd.Series:
     """
     texts = pa.array(bodies, pa.large_string())
     filled = texts.fill_null("")
-    sizes = np.array([len(t) for t in filled.cast(pa.large_binary()).to_pylist()], np.int64)
+    sizes = pc.binary_length(filled).to_numpy().astype(np.int64)
     ends = np.cumsum(sizes)
     if not len(ends) or not ends[-1]:
         return bodies
     starts = ends - sizes
-    raw = np.frombuffer(b"".join(filled.cast(pa.large_binary()).to_pylist()), np.uint8)
+    first = int(np.frombuffer(filled.buffers()[1], np.int64)[filled.offset])
+    raw = np.frombuffer(filled.buffers()[2], np.uint8)[first : first + int(ends[-1])]
     of_row = np.repeat(np.arange(len(sizes)), sizes)
 
     quote = (raw == _QUOTE) & ~_escaped(raw)
     inside = _row_state(quote, starts, of_row) % 2 == 1  # from an opening quote up to its closing one
     outside = ~inside & ~quote
-    opening, closing = outside & np.isin(raw, [ord("{"), ord("[")]), outside & np.isin(raw, [ord("}"), ord("]")])
+    opening, closing = outside & ((raw == ord("{")) | (raw == ord("["))), outside & ((raw == ord("}")) | (raw == ord("]")))
     depth = _row_state(opening.astype(np.int64) - closing, starts, of_row)
 
     top = outside & (depth == 1)
@@ -66,19 +71,22 @@ def cut_members(bodies: pd.Series, names: tuple[str, ...]) -> pd.Series:
     lengths, spelled = key_ends - key_begins, np.concatenate([[0], np.cumsum(raw == _ESCAPE)])
     plain = spelled[key_ends] == spelled[key_begins]
     gone = np.zeros(len(begins), bool)
-    for at in np.flatnonzero(~plain | np.isin(lengths, [len(name) for name in wanted])):
+    for name in wanted:
+        alike = np.flatnonzero(plain & (lengths == len(name)))
+        letters = raw[key_begins[alike][:, None] + np.arange(len(name))]
+        gone[member[alike[(letters == np.frombuffer(name, np.uint8)).all(axis=1)]]] = True
+    read: dict[bytes, bool] = {}  # of each escaped spelling, whether it is one of the names
+    for at in np.flatnonzero(~plain):
         key = raw[key_begins[at] : key_ends[at]].tobytes()
-        if not plain[at]:
-            key = json.loads(b'"' + key + b'"', strict=False).encode("utf-8", "surrogatepass")
-        gone[member[at]] = key in wanted
+        if key not in read:
+            read[key] = json.loads(b'"' + key + b'"', strict=False).encode("utf-8", "surrogatepass") in wanted
+        gone[member[at]] = read[key]
 
     row = of_row[begins]
     kept_before = _row_state(~gone, np.searchsorted(row, np.arange(rows)), row) - ~gone
     orphan = ~gone & (kept_before == 0) & (raw[begins] == _COMMA)  # its comma has nothing left before it
     opens = raw[begins] != _COMMA
-    change = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(change, begins[gone] + opens[gone], 1)
-    np.add.at(change, stops[gone], -1)
+    change = np.bincount(begins[gone] + opens[gone], minlength=len(raw) + 1) - np.bincount(stops[gone], minlength=len(raw) + 1)
     keep = np.cumsum(change)[:-1] == 0
     keep[begins[orphan]] = False
     left = np.concatenate([[0], np.cumsum(keep)])

@@ -121,7 +121,8 @@ def test_sets_that_are_near_share_a_rare_element(spark):
             one = np.concatenate([passage[: size // 2], rng.integers(0, 2**63, size - size // 2, np.uint64) * 2])
             sets += [np.unique(one), np.unique(np.concatenate([one[size // 7 :], rng.integers(0, 2**63, size // 9, np.uint64)]))]
     rows = [(i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
-    groups = linking.rare_groups(spark.createDataFrame(rows, "id long, payload binary"), near.shingle_set, 75)
+    table = spark.createDataFrame(rows, "id long, payload binary")
+    groups = linking.rare_groups(table, table.select("id"), near.shingle_set, 75)
     held = {}
     for r in groups.collect():
         held.setdefault(r["id"], set()).add(r["grp"])

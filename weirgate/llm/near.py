@@ -39,6 +39,7 @@ COORDINATES = 128
 TREES = 10
 NEAR_BITS = 38  # of 128, asked of large sets only: at the threshold 16 differ on average, with a deviation of 3.7
 ODD = 8  # longs of the odd sketch, which tells sets of up to some 700 shingles apart
+SLICE_BYTES = 2 << 20
 LEVELS = 3  # of crowded nodes, before their documents meet by their rarest shingles
 SMALL = 512  # partners a member that a node may have to be compared exhaustively: the sketches leave few of them
 _EXTRA = 1 / 3  # beside one token, a node selects a second so often: 4/3 on average, one over the threshold
@@ -48,7 +49,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """Per row: number of shingles, two hashes that name the set, the tokens and the sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in tx.slices(batches, "text"):
+        for piece in tx.slices(batches, "text", SLICE_BYTES):
             sets = tx.word_shingles(piece.column("text"), WIDTH)
             tokens = [tx.one_permutation(s, COORDINATES) for s in sets]
             stack = np.stack(tokens) if tokens else np.empty((0, COORDINATES), np.uint64)
@@ -79,7 +80,7 @@ def payloads(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     mesh = sieve(wanted, "id")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tx.slices(batches, "text"):
+        for batch in tx.slices(batches, "text", SLICE_BYTES):
             ids = pc.fill_null(batch.column("id"), -1).to_numpy(zero_copy_only=False)
             some = batch.filter(pa.array(passing(mesh.value, ids)))
             packed = [s.tobytes() for s in tx.word_shingles(some.column("text"), WIDTH)]

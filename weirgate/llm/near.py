@@ -40,7 +40,7 @@ TREES = 10
 NEAR_BITS = 38  # of 128, asked of large sets only: at the threshold 16 differ on average, with a deviation of 3.7
 ODD = 8  # longs of the odd sketch, which tells sets of up to some 700 shingles apart
 SLICE_BYTES = 2 << 20
-LEVELS = 3  # of crowded nodes, before their documents meet by their rarest shingles
+LEVELS = 2  # of crowded nodes, before their documents meet by their rarest shingles
 SMALL = 512  # partners a member that a node may have to be compared exhaustively: the sketches leave few of them
 _EXTRA = 1 / 3  # beside one token, a node selects a second so often: 4/3 on average, one over the threshold
 

@@ -61,3 +61,14 @@ def test_only_sets_of_pairs_are_moved(spark):
     assert kept.count() == 10
     found = linking.verified(pairs, payloads, near.shingle_set, 75).collect()
     assert {tuple(r) for r in found} == {(2 * i + 1, 2 * i) for i in range(5)}
+
+
+def test_sketches_are_of_distinct_lines(spark):
+    texts = ["one line of some words\nanother line of words"] * 4 + ["one line of some words", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    names = [lines.name(s) for s in ("one line of some words", "another line of words")]
+    found = lines.payloads(docs, spark.createDataFrame([(n,) for n in names], "id long")).collect()
+    assert sorted(r["id"] for r in found) == sorted(names)
+    for row in found:
+        assert row["n"] == len(lines.shingle_set(bytes(row["payload"])))
+        assert [row[p] for p in lines.PARTS] == lines.sketched([bytes(row["payload"]).decode()])[0].tolist()

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from weirgate.llm import lines, linking
+from weirgate.llm import lines, linking, near
 from weirgate.session import folder_names, stepwise, work_dir
 
 
@@ -60,6 +60,17 @@ def test_final_joins_are_not_planned_by_estimates(spark):
         assert "strategy=merge" in plan
 
 
+def test_near_leaves_only_what_its_result_reads(spark):
+    root = work_dir(spark, "x").rsplit("/", 1)[0]
+    before = set(folder_names(spark, root))
+    found = near.near_duplicates(frame(spark))
+    left = sorted(n for n in set(folder_names(spark, root)) - before if n.startswith("near-"))
+    assert [n.rsplit("-", 1)[0] for n in left] == ["near-components", "near-names", "near-rows"]
+    for name in left:
+        assert not {"tokens", "sketch", "s1"} & set(spark.read.parquet(f"{root}/{name}").columns)
+    assert found.count() == 6
+
+
 def test_lines_leave_only_what_their_result_reads(spark):
     root = work_dir(spark, "x").rsplit("/", 1)[0]
     before = set(folder_names(spark, root))

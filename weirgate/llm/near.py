@@ -104,8 +104,8 @@ def first_nodes(reps: DataFrame) -> DataFrame:
     return reps.select(F.explode(nodes).alias("grp"), "id")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every row (doc_id, n_shingles, k1, k2), the id of each class of equal sets, and the component of every id that is linked."""
     scratch = Scratch(docs.sparkSession, "near")
     kept = scratch.kept
     signed = kept(signatures(docs), "signed").withColumn("n", F.col("n_shingles"))
@@ -115,19 +115,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("k1", "k2", "n_shingles", F.col("r.doc_id").alias("id"), "r.tokens", "r.sketch"),
         "classes",
     )
+    rows = kept(signed.select("doc_id", "n_shingles", "k1", "k2"), "rows")
+    scratch.remove("signed")
     groups = kept(shared_groups(first_nodes(classes)), "groups")
-    grouped = groups.select("id").distinct()
-    texts = kept(payloads(docs, grouped), "texts")
+    texts = kept(payloads(docs, groups.select("id").distinct()), "texts")
     labels = connected(
         groups, classes.select("id", "sketch"), texts, shingle_set, PERCENT, NEAR_BITS, SMALL, scratch, LEVELS, classes, COORDINATES
     )
-    scratch.drop("signed", "classes", "components")
+    names = kept(classes.select("id", "k1", "k2", "n_shingles"), "names")
+    scratch.drop("rows", "names", "components")
+    return rows, names, labels.withColumnRenamed("node", "id")
+
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
+    rows, names, labels = _labelled(docs)
     component = F.coalesce("component", "id")
-    named = classes.select("id", *[F.col(c).alias(f"_{c}") for c in ("k1", "k2", "n_shingles")])
-    named = named.join(labels.withColumnRenamed("node", "id"), "id", "left").select("_k1", "_k2", "_n_shingles", component.alias("component_id"))
+    named = names.select("id", *[F.col(c).alias(f"_{c}") for c in ("k1", "k2", "n_shingles")])
+    named = named.join(labels, "id", "left").select("_k1", "_k2", "_n_shingles", component.alias("component_id"))
     same = [F.col(c) == F.col(f"_{c}") for c in ("k1", "k2", "n_shingles")] + [F.col("doc_id").isNotNull()]
-    out = signed.select("doc_id", "n_shingles", "k1", "k2").join(named, same, "left")
+    out = rows.join(named, same, "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from weirgate.llm import text as tx
 from weirgate.llm.linking import Scratch, connected, shared_groups, sketch_of, token
 from weirgate.llm.sampling import passing, sieve
+from weirgate.session import stepwise
 
 WIDTH = 5
 PERCENT = 75
@@ -129,12 +130,13 @@ def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id that links lead to) and kept."""
-    rows, names, labels = _labelled(docs)
+    with stepwise(docs.sparkSession):
+        rows, names, labels = _labelled(docs)
     component = F.coalesce("component", "id")
     named = names.select("id", *[F.col(c).alias(f"_{c}") for c in ("k1", "k2", "n_shingles")])
-    named = named.join(labels, "id", "left").select("_k1", "_k2", "_n_shingles", component.alias("component_id"))
+    named = named.join(labels.hint("merge"), "id", "left").select("_k1", "_k2", "_n_shingles", component.alias("component_id"))
     same = [F.col(c) == F.col(f"_{c}") for c in ("k1", "k2", "n_shingles")] + [F.col("doc_id").isNotNull()]
-    out = rows.join(named, same, "left")
+    out = rows.join(named.hint("merge"), same, "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

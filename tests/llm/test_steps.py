@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirgate.llm import lines, linking, near
-from weirgate.session import folder_names, stepwise, work_dir
+from weirgate.session import path_exists, stepwise
 
 
 def frame(spark):
@@ -60,24 +60,24 @@ def test_final_joins_are_not_planned_by_estimates(spark):
         assert "strategy=merge" in plan
 
 
-def test_near_leaves_only_what_its_result_reads(spark):
-    root = work_dir(spark, "x").rsplit("/", 1)[0]
-    before = set(folder_names(spark, root))
-    found = near.near_duplicates(frame(spark))
-    left = sorted(n for n in set(folder_names(spark, root)) - before if n.startswith("near-"))
-    assert [n.rsplit("-", 1)[0] for n in left] == ["near-components", "near-names", "near-rows"]
-    for name in left:
-        assert not {"tokens", "sketch", "s1"} & set(spark.read.parquet(f"{root}/{name}").columns)
-    assert found.count() == 6
-
-
-def test_lines_leave_only_what_their_result_reads(spark):
-    root = work_dir(spark, "x").rsplit("/", 1)[0]
-    before = set(folder_names(spark, root))
-    lines.judged_lines(frame(spark))
-    left = sorted(n for n in set(folder_names(spark, root)) - before if n.startswith("lines-"))
-    assert [n.rsplit("-", 1)[0] for n in left] == ["lines-components", "lines-lines"]
-    assert "bands" not in spark.read.parquet(f"{root}/{left[1]}").columns
+@pytest.mark.parametrize(
+    "judge, read", [(lines.judged_lines, ["components", "lines"]), (near.near_duplicates, ["components", "names", "rows"])]
+)
+def test_only_what_results_read_is_left(spark, monkeypatch, judge, read):
+    written, write = [], linking.Scratch.kept
+
+    def kept(self, rows, name):
+        out = write(self, rows, name)
+        written.append(self.paths[-1])
+        return out
+
+    monkeypatch.setattr(linking.Scratch, "kept", kept)
+    found = judge(frame(spark))
+    left = sorted((name, path) for name, path in written if path_exists(spark, path))
+    assert [name for name, _ in left] == read
+    for _, path in left:
+        assert not {"bands", "tokens", "sketch", "s1"} & set(spark.read.parquet(path).columns)
+    assert found.count() == (7 if judge is lines.judged_lines else 6)
 
 
 def met(spark, groups):
